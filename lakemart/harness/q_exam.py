@@ -271,3 +271,23 @@ def d06(spark, sf_dir):
     return positional_audit(exam_bronze(spark, sf_dir),
                             {"tp_presenca_mt": "nu_nota_mt", "tp_presenca_cn": "nu_nota_cn",
                              "tp_presenca_ch": "nu_nota_ch", "tp_presenca_lc": "nu_nota_lc"})
+
+
+# ---------------------------------------------------------------- M09 raw → bronze
+
+XB_OUT = ["nu_inscricao", "nu_sequencial", "tp_sexo", "tp_cor_raca", "tp_faixa_etaria", "tp_st_conclusao",
+          "in_treineiro", "tp_escola", "tp_dependencia_adm_esc", "q001", "q002", "q005", "q006", "q007",
+          "no_municipio_prova", "sg_uf_prova", "tp_presenca_mt", "tp_presenca_cn", "tp_presenca_ch",
+          "tp_presenca_lc", "nu_nota_mt", "nu_nota_cn", "nu_nota_ch", "nu_nota_lc", "nu_nota_redacao", "ano"]
+
+
+@register("m09_raw_to_bronze", with_xb(f"SELECT {', '.join(XB_OUT)} FROM xb"))
+def m09(spark, sf_dir):
+    from lakemart.plans.exam.bronze import build_bronze, read_bronze
+    from lakemart.plans.fixtures import exam_bronze_columns, table, write_exam_raw
+    from lakemart.session import scratch_path
+    raw_root = scratch_path(spark, "exam_raw")
+    inputs = write_exam_raw(exam_bronze_columns(table(spark, sf_dir, "orders")), raw_root)
+    out = scratch_path(spark, "exam_bronze")
+    build_bronze(spark, inputs, out)
+    return read_bronze(spark, out).select(*XB_OUT)

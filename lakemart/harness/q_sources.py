@@ -1 +1,152 @@
-"""placeholder"""
+"""Source / sink / catalog bindings.
+
+Round trips write below the shared checkpoint directory (a fresh folder per
+call) and return the re-read DataFrame, so the check covers write + read.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+from pyspark.sql.types import (DoubleType, IntegerType, LongType, StringType, StructField,
+                               StructType)
+
+from lakemart.harness.common import ORDER_COLS, orders_with_year, staging, table
+from lakemart.harness.q_relational import ORDERS_FLAT
+from lakemart.harness.registry import register
+from lakemart.harness.sqltext import MART_STATE_SQL, with_stg
+from lakemart.operators.schema import conform
+from lakemart.plans.exam.marts import mart_state
+from lakemart.session import scratch_path
+from lakemart.sources import (as_table, as_view, preview, raw_inventory, read_delimited,
+                              read_inferred, read_period, register_table, scan_periods,
+                              write_csv, write_partitioned)
+
+CUSTOMER_TEXT = StructType([
+    StructField("c_custkey", LongType()), StructField("c_name", StringType()),
+    StructField("c_nationkey", IntegerType()), StructField("c_acctbal", DoubleType()),
+    StructField("c_mktsegment", StringType()), StructField("cidade", StringType()),
+])
+ORDERS_BY_YEAR = StructType(ORDERS_FLAT.fields + [StructField("ano", StringType())])
+FLAT = ", ".join(ORDER_COLS)
+
+
+def _unique(name: str) -> str:
+    return f"lm_{name}_{uuid.uuid4().hex[:10]}"
+
+
+@register("s01_read_delimited", """
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment,
+       'São ' || CAST(c_custkey % 50 AS VARCHAR) AS cidade
+FROM customer
+""")
+def s01(spark, sf_dir):
+    path = scratch_path(spark, "s01")
+    c = table(spark, sf_dir, "customer")
+    raw = c.select(*[F.col(x).alias(x.upper()) for x in c.columns],
+                   F.concat(F.lit("São "), (F.col("c_custkey") % 50).cast("string")).alias("CIDADE"))
+    write_csv(raw, path, sep=";", encoding="ISO-8859-1")
+    back = read_delimited(spark, path, sep=";", encoding="ISO-8859-1")
+    return conform(back.toDF(*[x.lower() for x in back.columns]), CUSTOMER_TEXT)
+
+
+@register("s02_read_inferred", "SELECT * FROM nation")
+def s02(spark, sf_dir):
+    path = scratch_path(spark, "s02")
+    write_csv(table(spark, sf_dir, "nation"), path)
+    return read_inferred(spark, path)
+
+
+def _orders_csv_by_year(spark, sf_dir) -> str:
+    root = scratch_path(spark, "orders_raw")
+    (orders_with_year(spark, sf_dir).write.partitionBy("ano")
+     .option("header", True).option("sep", ";").csv(root))
+    return root
+
+
+@register("s03_read_period", f"SELECT {FLAT} FROM orders WHERE year(o_orderdate) = 1997")
+def s03(spark, sf_dir):
+    root = _orders_csv_by_year(spark, sf_dir)
+    return conform(read_period(spark, root, "1997", encoding="UTF-8"), ORDERS_FLAT)
+
+
+def _orders_bronze(spark, sf_dir) -> str:
+    path = scratch_path(spark, "orders_by_year")
+    write_partitioned(orders_with_year(spark, sf_dir), path, "ano")
+    return path
+
+
+ORDERS_YEAR_SQL = f"SELECT {FLAT}, CAST(year(o_orderdate) AS VARCHAR) AS ano FROM orders"
+
+
+@register("s04_write_partitioned", ORDERS_YEAR_SQL)
+def s04(spark, sf_dir):
+    return spark.read.schema(ORDERS_BY_YEAR).parquet(_orders_bronze(spark, sf_dir))
+
+
+@register("s05_write_csv", "SELECT * FROM supplier")
+def s05(spark, sf_dir):
+    s = table(spark, sf_dir, "supplier")
+    path = scratch_path(spark, "s05")
+    write_csv(s, path)
+    return spark.read.schema(s.schema).option("header", True).csv(path)
+
+
+@register("s06_register_table", """
+SELECT CAST(year(o_orderdate) AS VARCHAR) AS ano, COUNT(*) AS n FROM orders GROUP BY 1
+""")
+def s06(spark, sf_dir):
+    name = _unique("orders")
+    register_table(spark, name, _orders_bronze(spark, sf_dir), ORDERS_BY_YEAR, ["ano"])
+    return spark.sql(f"SELECT ano, COUNT(*) AS n FROM {name} GROUP BY ano")
+
+
+@register("s07_scan_periods", f"{ORDERS_YEAR_SQL} WHERE year(o_orderdate) = 1997")
+def s07(spark, sf_dir):
+    name = _unique("orders")
+    register_table(spark, name, _orders_bronze(spark, sf_dir), ORDERS_BY_YEAR, ["ano"])
+    return scan_periods(spark, name, ["1997"])
+
+
+@register("f01_partition_equality", f"{ORDERS_YEAR_SQL} WHERE year(o_orderdate) = 1996")
+def f01(spark, sf_dir):
+    df = spark.read.schema(ORDERS_BY_YEAR).parquet(_orders_bronze(spark, sf_dir))
+    return df.where(F.col("ano") == "1996")
+
+
+@register("f02_partition_in_list", f"{ORDERS_YEAR_SQL} WHERE year(o_orderdate) IN (1995, 2000)")
+def f02(spark, sf_dir):
+    df = spark.read.schema(ORDERS_BY_YEAR).parquet(_orders_bronze(spark, sf_dir))
+    return df.where(F.col("ano").isin("1995", "2000"))
+
+
+@register("s08_staging_view", with_stg("""
+SELECT ano, sexo, COUNT(*) AS total FROM stg GROUP BY ano, sexo
+"""))
+def s08(spark, sf_dir):
+    name = _unique("stg_exam")
+    as_view(staging(spark, sf_dir), name)
+    return spark.sql(f"SELECT ano, sexo, COUNT(*) AS total FROM {name} GROUP BY ano, sexo")
+
+
+@register("s09_mart_table", with_stg(MART_STATE_SQL))
+def s09(spark, sf_dir):
+    name = _unique("mart_state")
+    return as_table(mart_state(staging(spark, sf_dir), ordered=False), name,
+                    path=scratch_path(spark, "s09"))
+
+
+@register("s10_raw_inventory")
+def s10(spark, sf_dir):
+    root = scratch_path(spark, "raw_zone")
+    write_csv(table(spark, sf_dir, "region"), f"{root}/ano=2023/region")
+    write_csv(table(spark, sf_dir, "nation"), f"{root}/ano=2024/nation")
+    write_csv(table(spark, sf_dir, "supplier"), f"{root}/ano=2024/supplier")
+    table(spark, sf_dir, "region").select("r_name").write.text(f"{root}/ano=2024/notes")
+    return raw_inventory(spark, root)
+
+
+@register("s11_preview", "SELECT * FROM nation ORDER BY n_nationkey LIMIT 20")
+def s11(spark, sf_dir):
+    return preview(table(spark, sf_dir, "nation"), 20, by="n_nationkey")

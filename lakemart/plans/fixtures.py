@@ -74,3 +74,38 @@ def exam_bronze_columns(orders: DataFrame) -> DataFrame:
 def exam_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """XB conformed to the 79-column bronze schema."""
     return conform(exam_bronze_columns(table(spark, sf_dir, "orders")), BRONZE_SCHEMA)
+
+
+# Columns of the two keyless 2024 files (the split is ours; only the overlap is given).
+PARTICIPANT_COLS = ["nu_inscricao", "tp_sexo", "tp_cor_raca", "tp_faixa_etaria", "tp_st_conclusao",
+                    "in_treineiro", "q001", "q002", "q005", "q006", "q007"]
+RESULT_COLS = ["tp_escola", "tp_dependencia_adm_esc", "tp_presenca_mt", "tp_presenca_cn",
+               "tp_presenca_ch", "tp_presenca_lc", "nu_nota_mt", "nu_nota_cn", "nu_nota_ch",
+               "nu_nota_lc", "nu_nota_redacao"]
+SHARED_COLS = ["nu_ano", "co_municipio_prova", "no_municipio_prova", "co_uf_prova", "sg_uf_prova"]
+
+
+def write_exam_raw(xb_columns: DataFrame, root: str, left_files: int = 4, right_files: int = 7):
+    """Lay XB out as raw releases: 2023 as one unified `;`/Latin-1 folder with
+    upper-case headers; 2024 as two keyless folders (participants / results)
+    in key order, with different file counts and a padding column on one side
+    so their split boundaries never coincide.  Returns ``BronzeInputs``."""
+    from lakemart.plans.exam.bronze import BronzeInputs
+
+    opts = {"header": True, "sep": ";", "encoding": "ISO-8859-1"}
+    shout = lambda cols: [F.col(c).alias(c.upper()) for c in cols]
+    xb = xb_columns.withColumn("nu_ano", F.col("ano").cast("long")) \
+                   .withColumn("co_municipio_prova", F.lit(None).cast("long")) \
+                   .withColumn("co_uf_prova", F.lit(None).cast("long"))
+    every = PARTICIPANT_COLS + RESULT_COLS + SHARED_COLS
+    xb.where(F.col("ano") == "2023").select(*shout(every)).write.options(**opts).csv(f"{root}/ano=2023")
+    y24 = xb.where(F.col("ano") == "2024")
+    (y24.repartitionByRange(left_files, "nu_inscricao").sortWithinPartitions("nu_inscricao")
+        .select(*shout(PARTICIPANT_COLS + SHARED_COLS))
+        .write.options(**opts).csv(f"{root}/ano=2024/participantes"))
+    (y24.repartitionByRange(right_files, "nu_inscricao").sortWithinPartitions("nu_inscricao")
+        .select(*shout(SHARED_COLS + RESULT_COLS),
+                F.repeat(F.lit("-"), (F.col("nu_inscricao") % 53).cast("int")).alias("PADDING"))
+        .write.options(**opts).csv(f"{root}/ano=2024/resultados"))
+    return BronzeInputs(single={"2023": f"{root}/ano=2023"},
+                        split={"2024": (f"{root}/ano=2024/participantes", f"{root}/ano=2024/resultados")})

@@ -20,6 +20,11 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "smallint": "SMALLINT",
+                 "float": "FLOAT"}
+
+
 def duck(sf_dir):
     con = duckdb.connect()
     for t in TABLES:
@@ -59,6 +64,11 @@ def compare(spark, con, name, fn, sql, sf_dir):
     if sorted(scols) != sorted(dcols):
         out.update(ok=False, note=f"columns differ: {scols} vs {dcols}")
         return out
+    dtypes = {d[0]: str(d[1]) for d in res.description}
+    tmis = [(f.name, f.dataType.simpleString(), dtypes.get(f.name)) for f in sdf.schema.fields
+            if SPARK_TO_DUCK.get(f.dataType.simpleString()) != dtypes.get(f.name)]
+    if tmis:
+        out["type_note"] = str(tmis)
     a, b = rows_of(scols, srows), rows_of(dcols, drows)
     if a != b:
         diff = [x for x in a if x not in set(b)][:3]
