@@ -32,6 +32,19 @@ def lenient_cast(col, to: DataType, source: DataType | None = StringType()) -> C
     return c.try_cast(to)
 
 
+def lenient_cast_sql(name: str, to: DataType, source: DataType | None = StringType()) -> str:
+    """``lenient_cast`` as Spark SQL text over column ``name`` (same semantics)."""
+    from lakemart.functions.sqlexpr import ident
+    c, t = ident(name), to.simpleString()
+    if isinstance(to, _INTEGRAL) and (source is None or isinstance(source, StringType)):
+        return f"coalesce(try_cast(trim({c}) AS {t}), try_cast(try_cast(trim({c}) AS decimal(38,6)) AS {t}))"
+    if isinstance(source, StringType) and not isinstance(to, StringType):
+        return f"try_cast(trim({c}) AS {t})"
+    if source is not None and source == to:
+        return c
+    return f"try_cast({c} AS {t})"
+
+
 def typed_null(to: DataType) -> Column:
     """A NULL literal of the given type."""
     return F.lit(None).cast(to)

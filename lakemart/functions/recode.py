@@ -12,14 +12,20 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, functions as F
 
 from lakemart.functions.casts import _as_col
+from lakemart.functions.sqlexpr import ident, literal
 
 
 def map_codes(col, mapping: Mapping, default=None) -> Column:
     """Simple CASE: ``CASE col WHEN k THEN v ... [ELSE default] END``.
 
     Unmapped codes give ``default`` (NULL when omitted); a NULL code also
-    takes ``default``, exactly as a simple CASE with ELSE does.
+    takes ``default``, exactly as a simple CASE with ELSE does.  With a column
+    *name* the CASE is sent as one SQL expression.
     """
+    if isinstance(col, str) and not isinstance(default, Column) and mapping:
+        whens = " ".join(f"WHEN {ident(col)} = {literal(k)} THEN {literal(v)}" for k, v in mapping.items())
+        tail = f" ELSE {literal(default)}" if default is not None else ""
+        return F.expr(f"CASE {whens}{tail} END")
     c = _as_col(col)
     expr = None
     for code, label in mapping.items():
@@ -63,5 +69,10 @@ def code_to_bool(col, true_code=1, false_code=0) -> Column:
 
 def bucket_by_membership(col, groups: Mapping[str, Iterable], default=None) -> Column:
     """Label a value by the first group whose member list contains it."""
+    if isinstance(col, str) and not isinstance(default, Column) and groups:
+        whens = " ".join(f"WHEN {ident(col)} IN ({', '.join(literal(m) for m in members)}) THEN {literal(label)}"
+                         for label, members in groups.items())
+        tail = f" ELSE {literal(default)}" if default is not None else ""
+        return F.expr(f"CASE {whens}{tail} END")
     c = _as_col(col)
     return harmonize([(c.isin(list(members)), label) for label, members in groups.items()], default)

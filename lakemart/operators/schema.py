@@ -11,7 +11,8 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-from lakemart.functions.casts import lenient_cast, typed_null
+from lakemart.functions.casts import lenient_cast_sql
+from lakemart.functions.sqlexpr import ident
 
 
 class SchemaError(ValueError):
@@ -40,11 +41,12 @@ def conform(df: DataFrame, schema: StructType, keep: Iterable[str] = ()) -> Data
     out = []
     for f in schema.fields:
         if f.name in types:
-            out.append(lenient_cast(F.col(f.name), f.dataType, source=types[f.name]).alias(f.name))
+            e = lenient_cast_sql(f.name, f.dataType, source=types[f.name])
         else:
-            out.append(typed_null(f.dataType).alias(f.name))
-    out += [F.col(k) for k in keep if k in types and k not in schema.fieldNames()]
-    return df.select(out)
+            e = f"CAST(NULL AS {f.dataType.simpleString()})"
+        out.append(f"{e} AS {ident(f.name)}")
+    out += [ident(k) for k in keep if k in types and k not in schema.fieldNames()]
+    return df.selectExpr(*out)
 
 
 def tag(df: DataFrame, name: str, value) -> DataFrame:

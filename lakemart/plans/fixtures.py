@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakemart.operators.schema import conform
 from lakemart.plans.exam.bronze import BRONZE_SCHEMA
@@ -28,47 +28,50 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def _letter(alphabet: str, idx: Column) -> Column:
-    return F.substr(F.lit(alphabet), (idx + 1).cast("int"), F.lit(1))
-
-
-def _grade(k: Column, u: Column, a: int, b: int, absent_mod: int) -> Column:
-    g = ((k * a + u * b) % 401).cast("double") * F.lit(2.5)
-    return F.when(k % absent_mod == 0, F.lit(None).cast("double")).otherwise(g)
+def _letter(alphabet: str, idx: str) -> str:
+    return f"substr('{alphabet}', CAST(({idx}) + 1 AS INT), 1)"
+
+
+def _grade(a: int, b: int, absent_mod: int) -> str:
+    return (f"CASE WHEN k % {absent_mod} = 0 THEN CAST(NULL AS DOUBLE) "
+            f"ELSE CAST((k * {a} + u * {b}) % 401 AS DOUBLE) * 2.5D END")
+
+
+# Derived exam columns over k = o_orderkey, u = o_custkey, y23 = period 2023.
+_XB_EXPRS = [
+    "k AS nu_inscricao",
+    "CASE WHEN u % 2 = 0 THEN 'F' ELSE 'M' END AS tp_sexo",
+    "k % 7 AS tp_cor_raca",
+    "k % 15 + 1 AS tp_faixa_etaria",
+    "u % 5 + 1 AS tp_st_conclusao",
+    "CASE u % 3 WHEN 0 THEN 1 WHEN 1 THEN 0 END AS in_treineiro",
+    "CASE WHEN y23 THEN 1 + k % 3 END AS tp_escola",
+    "CASE WHEN NOT y23 AND k % 6 <> 0 THEN CAST(k % 5 + 1 AS DOUBLE) END AS tp_dependencia_adm_esc",
+    f"{_letter(LETTERS_8, '(k + u) % 8')} AS q001",
+    f"{_letter(LETTERS_8, 'k % 8')} AS q002",
+    "u % 10 + 1 AS q005",
+    f"CASE WHEN y23 THEN {_letter(LETTERS_17, 'u % 17')} ELSE {_letter('AB', 'u % 2')} END AS q006",
+    f"CASE WHEN y23 THEN {_letter('ABCD', 'u % 4')} "
+    f"WHEN u % 19 <> 0 THEN {_letter(LETTERS_17, 'u % 17')} END AS q007",
+    "concat('São ', CAST(u % 50 AS STRING)) AS no_municipio_prova",
+    f"substr('{UF_SLOTS}', CAST((u % 28) * 2 + 1 AS INT), 2) AS sg_uf_prova",
+    "CASE WHEN k % 11 = 0 THEN 0 ELSE 1 END AS tp_presenca_mt",
+    "CASE WHEN k % 13 = 0 THEN 0 ELSE 1 END AS tp_presenca_cn",
+    "CASE WHEN k % 17 = 0 THEN 2 ELSE 1 END AS tp_presenca_ch",
+    "CASE WHEN k % 19 = 0 THEN 0 ELSE 1 END AS tp_presenca_lc",
+    f"{_grade(7919, 104729, 11)} AS nu_nota_mt",
+    f"{_grade(6101, 7207, 13)} AS nu_nota_cn",
+    f"{_grade(5303, 9109, 17)} AS nu_nota_ch",
+    f"{_grade(4409, 8101, 19)} AS nu_nota_lc",
+    "CAST((k * 31 + u * 17) % 51 AS DOUBLE) * 20.0D AS nu_nota_redacao",
+    "CASE WHEN y23 THEN '2023' ELSE '2024' END AS ano",
+]
 
 
 def exam_bronze_columns(orders: DataFrame) -> DataFrame:
     """The derived exam columns (before conforming to the bronze schema)."""
-    k, u = F.col("o_orderkey"), F.col("o_custkey")
-    y23 = F.year("o_orderdate") <= 1998
-    return orders.select(
-        k.alias("nu_inscricao"),
-        F.when(u % 2 == 0, "F").otherwise("M").alias("tp_sexo"),
-        (k % 7).alias("tp_cor_raca"),
-        (k % 15 + 1).alias("tp_faixa_etaria"),
-        (u % 5 + 1).alias("tp_st_conclusao"),
-        F.when(u % 3 == 0, 1).when(u % 3 == 1, 0).alias("in_treineiro"),
-        F.when(y23, 1 + k % 3).alias("tp_escola"),
-        F.when(~y23 & (k % 6 != 0), (k % 5 + 1).cast("double")).alias("tp_dependencia_adm_esc"),
-        _letter(LETTERS_8, (k + u) % 8).alias("q001"),
-        _letter(LETTERS_8, k % 8).alias("q002"),
-        (u % 10 + 1).alias("q005"),
-        F.when(y23, _letter(LETTERS_17, u % 17)).otherwise(_letter("AB", u % 2)).alias("q006"),
-        F.when(y23, _letter("ABCD", u % 4))
-         .when(u % 19 != 0, _letter(LETTERS_17, u % 17)).alias("q007"),
-        F.concat(F.lit("São "), (u % 50).cast("string")).alias("no_municipio_prova"),
-        F.substr(F.lit(UF_SLOTS), ((u % 28) * 2 + 1).cast("int"), F.lit(2)).alias("sg_uf_prova"),
-        F.when(k % 11 == 0, 0).otherwise(1).alias("tp_presenca_mt"),
-        F.when(k % 13 == 0, 0).otherwise(1).alias("tp_presenca_cn"),
-        F.when(k % 17 == 0, 2).otherwise(1).alias("tp_presenca_ch"),
-        F.when(k % 19 == 0, 0).otherwise(1).alias("tp_presenca_lc"),
-        _grade(k, u, 7919, 104729, 11).alias("nu_nota_mt"),
-        _grade(k, u, 6101, 7207, 13).alias("nu_nota_cn"),
-        _grade(k, u, 5303, 9109, 17).alias("nu_nota_ch"),
-        _grade(k, u, 4409, 8101, 19).alias("nu_nota_lc"),
-        (((k * 31 + u * 17) % 51).cast("double") * F.lit(20.0)).alias("nu_nota_redacao"),
-        F.when(y23, "2023").otherwise("2024").alias("ano"),
-    )
+    base = orders.selectExpr("o_orderkey AS k", "o_custkey AS u", "year(o_orderdate) <= 1998 AS y23")
+    return base.selectExpr(*_XB_EXPRS)
 
 
 def exam_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
