@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lakemart.session import ensure_checkpoint_dir
+from lakemart.session import materialize
 
 
 def _key(k) -> Column:
@@ -36,18 +36,17 @@ def top_k(df: DataFrame, by, k: int, tie_break: Sequence = (), cols: Sequence |
 def with_position(df: DataFrame, keys: Sequence, name: str = "pos") -> DataFrame:
     """Sort by ``keys`` and add the 1-based global position of each row.
 
-    Never funnels the data into one task: the sorted, tagged rows are cut
-    from their lineage with a reliable checkpoint, the per-partition counts
+    Never funnels the data into one task: the sorted rows, tagged with their
+    partition and in-partition id, are written once to the shared checkpoint
+    folder (so a retry cannot re-sample different range boundaries), the per-partition counts
     (one row per shuffle partition — a bound fixed by configuration) are
     turned into offsets, and each row's position is offset + index in its
     partition.  Keys should be unique for a deterministic position.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    tagged = (df.orderBy(*[_key(k) for k in keys])
-              .select("*", F.spark_partition_id().alias("_lm_p"),
-                      F.monotonically_increasing_id().alias("_lm_m"))
-              .checkpoint(eager=True))
+    tagged = materialize(df.orderBy(*[_key(k) for k in keys])
+                         .select("*", F.spark_partition_id().alias("_lm_p"),
+                                 F.monotonically_increasing_id().alias("_lm_m")),
+                         "sorted-positions")
     before = Window.orderBy("_lm_p").rowsBetween(Window.unboundedPreceding, -1)
     parts = (tagged.groupBy("_lm_p")
              .agg(F.count(F.lit(1)).alias("_lm_n"), F.min("_lm_m").alias("_lm_m0"))

@@ -12,7 +12,8 @@ equal ids.  The ordinal here is exact for any split layout:
 2. Aggregate one row per split (count, min id) and turn the counts into an
    exclusive running sum in (path, start) order.  This table has one row per
    input split, so its size is bounded by input bytes / split size; it is
-   written to the checkpoint directory (lineage cut) and counted.
+   written once as a small table in the shared checkpoint folder (lineage
+   cut, one job) and counted.
 3. Join it back — broadcast when the counted size is under
    ``BLOCK_BROADCAST_LIMIT``, a shuffle join otherwise — and compute
    ``ordinal = offset + id - min(id)``.  A row whose split is missing from the
@@ -30,7 +31,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame, Window, functions as F
 
 from lakemart.operators.schema import drop_overlap
-from lakemart.session import ensure_checkpoint_dir
+from lakemart.session import materialize
 
 # A split row is five longs/strings (~100 bytes): 200k splits ≈ 20 MB, i.e. a
 # 25 TB file at 128 MB splits.  Above that the block table is joined by shuffle.
@@ -50,18 +51,16 @@ def ordinal_index(df: DataFrame, name: str = "_idx") -> tuple[DataFrame, int]:
     ``_metadata`` column); read each side with ``multiLine`` off so that a
     split boundary never falls inside a record.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     cols = [F.col(f"`{c}`") for c in df.columns]
     tagged = df.select(*cols,
                        F.col("_metadata.file_path").alias(_FP),
                        F.col("_metadata.file_block_start").alias(_BS),
                        F.monotonically_increasing_id().alias(_MID))
     before = Window.orderBy(_FP, _BS).rowsBetween(Window.unboundedPreceding, -1)
-    blocks = (tagged.groupBy(_FP, _BS)
-              .agg(F.count(F.lit(1)).alias(_N), F.min(_MID).alias(_M0))
-              .withColumn(_OFF, F.coalesce(F.sum(_N).over(before), F.lit(0)).cast("bigint"))
-              .checkpoint(eager=True))
+    blocks = materialize(tagged.groupBy(_FP, _BS)
+                         .agg(F.count(F.lit(1)).alias(_N), F.min(_MID).alias(_M0))
+                         .withColumn(_OFF, F.coalesce(F.sum(_N).over(before), F.lit(0)).cast("bigint")),
+                         "split-blocks")
     summary = blocks.agg(F.count(F.lit(1)).alias("splits"), F.sum(_N).alias("rows")).first()
     n_splits, n_rows = summary["splits"], summary["rows"] or 0
     side = F.broadcast(blocks) if n_splits <= BLOCK_BROADCAST_LIMIT else blocks

@@ -12,7 +12,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str | None = None, app: str = "lakemart",
@@ -68,3 +68,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint directory."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base.rstrip("/"), "lakemart-scratch", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Cut lineage: write ``df`` once as Parquet below the shared checkpoint
+    folder and return the re-read table.  One job (``checkpoint()`` would
+    compute an un-persisted plan twice); survives executor loss because the
+    files live on shared storage."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
