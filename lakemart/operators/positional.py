@@ -6,22 +6,21 @@ row number for free, and ``monotonically_increasing_id`` encodes
 equal ids.  The ordinal here is exact for any split layout:
 
 1. Tag each row with its input split (``_metadata.file_path`` /
-   ``file_block_start``) and ``monotonically_increasing_id`` (rows of one split
-   are contiguous inside one task, so ``id - min(id)`` is the row's index in
-   its split).
+   ``file_block_start``) and ``monotonically_increasing_id`` — rows of one
+   split are contiguous inside one task, so ``id - min(id)`` is the row's
+   index in its split — and write the tagged rows once, as Parquet, to the
+   shared checkpoint folder.  From here on the tags are stored values: a
+   later pass that splits or packs the input differently (executors lost,
+   different parallelism) cannot change them, and the text is parsed once.
 2. Aggregate one row per split (count, min id) and turn the counts into an
    exclusive running sum in (path, start) order.  This table has one row per
-   input split, so its size is bounded by input bytes / split size; it is
-   written once as a small table in the shared checkpoint folder (lineage
-   cut, one job) and counted.
+   input split — bounded by input bytes / split size — and is counted.
 3. Join it back — broadcast when the counted size is under
    ``BLOCK_BROADCAST_LIMIT``, a shuffle join otherwise — and compute
-   ``ordinal = offset + id - min(id)``.  A row whose split is missing from the
-   table (split layout changed between the two passes) raises instead of
-   being dropped.
+   ``ordinal = offset + id - min(id)``.
 
 The two sides are then equi-joined on the ordinal after checking that their
-row counts (known from step 2, no extra scan) are equal.
+row counts (known from step 2, no extra scan of the text) are equal.
 """
 
 from __future__ import annotations
@@ -52,23 +51,21 @@ def ordinal_index(df: DataFrame, name: str = "_idx") -> tuple[DataFrame, int]:
     split boundary never falls inside a record.
     """
     cols = [F.col(f"`{c}`") for c in df.columns]
-    tagged = df.select(*cols,
-                       F.col("_metadata.file_path").alias(_FP),
-                       F.col("_metadata.file_block_start").alias(_BS),
-                       F.monotonically_increasing_id().alias(_MID))
+    tagged = materialize(df.select(*cols,
+                                   F.col("_metadata.file_path").alias(_FP),
+                                   F.col("_metadata.file_block_start").alias(_BS),
+                                   F.monotonically_increasing_id().alias(_MID)),
+                         "indexed-rows")
     before = Window.orderBy(_FP, _BS).rowsBetween(Window.unboundedPreceding, -1)
-    blocks = materialize(tagged.groupBy(_FP, _BS)
-                         .agg(F.count(F.lit(1)).alias(_N), F.min(_MID).alias(_M0))
-                         .withColumn(_OFF, F.coalesce(F.sum(_N).over(before), F.lit(0)).cast("bigint")),
-                         "split-blocks")
+    blocks = (tagged.groupBy(_FP, _BS)
+              .agg(F.count(F.lit(1)).alias(_N), F.min(_MID).alias(_M0))
+              .withColumn(_OFF, F.coalesce(F.sum(_N).over(before), F.lit(0)).cast("bigint")))
     summary = blocks.agg(F.count(F.lit(1)).alias("splits"), F.sum(_N).alias("rows")).first()
     n_splits, n_rows = summary["splits"], summary["rows"] or 0
     side = F.broadcast(blocks) if n_splits <= BLOCK_BROADCAST_LIMIT else blocks
-    joined = tagged.join(side, [_FP, _BS], "left")
-    ordinal = (F.when(F.col(_OFF).isNull(),
-                      F.raise_error(F.lit("positional index: input split layout changed between passes")))
-               .otherwise(F.col(_OFF) + F.col(_MID) - F.col(_M0)))
-    out = joined.select(*[F.col(f"`{c}`") for c in df.columns], ordinal.cast("bigint").alias(name))
+    out = (tagged.join(side, [_FP, _BS])
+           .select(*[F.col(f"`{c}`") for c in df.columns],
+                   (F.col(_OFF) + F.col(_MID) - F.col(_M0)).cast("bigint").alias(name)))
     return out, int(n_rows)
 
 
