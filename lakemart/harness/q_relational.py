@@ -33,10 +33,11 @@ def j01(spark, sf_dir):
     position only."""
     o = table(spark, sf_dir, "orders")
     base = scratch_path(spark, "j01")
+    width = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
     ordered = lambda k: o.repartitionByRange(k, "o_orderkey").sortWithinPartitions("o_orderkey")
-    (ordered(3).select("o_orderkey", "o_custkey", "o_orderstatus")
+    (ordered(width).select("o_orderkey", "o_custkey", "o_orderstatus")
      .write.option("header", True).option("sep", ";").csv(f"{base}/narrow"))
-    (ordered(5).select("o_custkey", "o_totalprice", "o_orderpriority",
+    (ordered(width * 3 // 2 + 1).select("o_custkey", "o_totalprice", "o_orderpriority",
                        F.repeat(F.lit("#"), (F.col("o_orderkey") % 37).cast("int")).alias("padding"))
      .write.option("header", True).option("sep", ";").csv(f"{base}/wide"))
     narrow = read_delimited(spark, f"{base}/narrow", sep=";", encoding="UTF-8")

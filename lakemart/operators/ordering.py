@@ -41,9 +41,13 @@ def with_position(df: DataFrame, keys: Sequence, name: str = "pos") -> DataFrame
     folder (so a retry cannot re-sample different range boundaries), the per-partition counts
     (one row per shuffle partition — a bound fixed by configuration) are
     turned into offsets, and each row's position is offset + index in its
-    partition.  Keys should be unique for a deterministic position.
+    partition.  Keys should be unique for a deterministic position; a row id
+    is appended as the last sort key so that even a key shared by a third
+    of the rows is spread over several range partitions.
     """
-    tagged = materialize(df.orderBy(*[_key(k) for k in keys])
+    tagged = materialize(df.select("*", F.monotonically_increasing_id().alias("_lm_in"))
+                         .orderBy(*[_key(k) for k in keys], F.col("_lm_in"))
+                         .drop("_lm_in")
                          .select("*", F.spark_partition_id().alias("_lm_p"),
                                  F.monotonically_increasing_id().alias("_lm_m")),
                          "sorted-positions")

@@ -88,13 +88,22 @@ RESULT_COLS = ["tp_escola", "tp_dependencia_adm_esc", "tp_presenca_mt", "tp_pres
 SHARED_COLS = ["nu_ano", "co_municipio_prova", "no_municipio_prova", "co_uf_prova", "sg_uf_prova"]
 
 
-def write_exam_raw(xb_columns: DataFrame, root: str, left_files: int = 4, right_files: int = 7):
+def write_exam_raw(xb_columns: DataFrame, root: str, left_files: int | None = None,
+                   right_files: int | None = None):
     """Lay XB out as raw releases: 2023 as one unified `;`/Latin-1 folder with
     upper-case headers; 2024 as two keyless folders (participants / results)
     in key order, with different file counts and a padding column on one side
-    so their split boundaries never coincide.  Returns ``BronzeInputs``."""
+    so their split boundaries never coincide.  File counts default to the
+    session's shuffle parallelism (and 1.5× + 1 for the wide side), so the
+    layout is written by as many tasks as the data needs.  Returns
+    ``BronzeInputs``."""
     from lakemart.plans.exam.bronze import BronzeInputs
 
+    spark = xb_columns.sparkSession
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    left_files = left_files or max(2, width)
+    right_files = right_files or (left_files * 3 // 2 + 1)
+
     opts = {"header": True, "sep": ";", "encoding": "ISO-8859-1"}
     shout = lambda cols: [F.col(c).alias(c.upper()) for c in cols]
     xb = xb_columns.withColumn("nu_ano", F.col("ano").cast("long")) \

@@ -1,0 +1,64 @@
+"""One Spark application for the whole lakehouse run: raw → bronze →
+staging view → mart tables → expectations → non-empty gate.
+
+The stages are called in plain order (no scheduler); each stage is a lazy
+plan executed by its own write, and the staging plan is shared by the three
+marts (optionally persisted when they run together).
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass, field
+
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
+
+from lakemart.operators.quality import DataQualityError, check_expectations, require_rows
+from lakemart.plans.exam import vocab as V
+from lakemart.plans.exam.bronze import BronzeInputs, build_bronze, read_bronze
+from lakemart.plans.exam.marts import mart_inequality, mart_mobility, mart_state
+from lakemart.plans.exam.staging import stage_exam
+from lakemart.sources.catalog import as_table, as_view
+
+
+@dataclass
+class PipelineConfig:
+    inputs: BronzeInputs
+    bronze_path: str
+    marts_path: str
+    database: str = "default"
+    staging_view: str = "stg_exam"
+    persist_staging: bool = True
+    gate_table: str = "mart_desempenho_por_estado"
+    marts: dict = field(default_factory=lambda: {
+        "mart_desempenho_por_estado": mart_state,
+        "mart_desigualdade": mart_inequality,
+        "mart_mobilidade_educacional": mart_mobility,
+    })
+
+
+def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> dict:
+    """Run every stage; return counts and the expectation results.
+
+    Raises :class:`DataQualityError` when an expectation fails or the gate
+    table is empty.
+    """
+    bronze_info = build_bronze(spark, cfg.inputs, cfg.bronze_path)
+    staging = stage_exam(read_bronze(spark, cfg.bronze_path))
+    if cfg.persist_staging:
+        staging = staging.persist(StorageLevel.MEMORY_AND_DISK)
+    staging = as_view(staging, cfg.staging_view)
+    checks = check_expectations(staging, not_null=V.STAGING_NOT_NULL,
+                                accepted={"ano": [2023, 2024], "sexo": V.ACCEPTED_SEX}).collect()
+    failed = [(r["rule"], r["column"], r["failures"]) for r in checks if not r["passed"]]
+    tables: dict[str, DataFrame] = {}
+    for name, build in cfg.marts.items():
+        tables[name] = as_table(build(staging, ordered=False), f"{cfg.database}.{name}",
+                                path=f"{cfg.marts_path.rstrip('/')}/{name}")
+    gate = require_rows(tables[cfg.gate_table], cfg.gate_table).first()
+    if cfg.persist_staging:
+        staging.unpersist()
+    if failed:
+        raise DataQualityError(f"expectations failed: {failed}")
+    return {"bronze_rows": bronze_info["rows"], "gate_rows": gate["rows"],
+            "expectations": [tuple(r) for r in checks], "marts": list(tables)}

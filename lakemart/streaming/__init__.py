@@ -1,0 +1,7 @@
+"""Deliberately empty.
+
+The modelled workload is a monthly batch over whole yearly releases: no
+stream source, watermark, window or state exists in it, so nothing here
+would be parity — batch readers cover new periods (``read_period``) and
+``write_partitioned(dynamic=True)`` reloads one period in place.
+"""
