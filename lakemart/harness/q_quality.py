@@ -90,3 +90,12 @@ def d07(spark, sf_dir):
     write_csv(table(spark, sf_dir, "orders").select(*ORDER_COLS), f"{root}/ano=2023/orders")
     write_csv(table(spark, sf_dir, "lineitem"), f"{root}/ano=2024/lineitem")
     return ingest_summary(raw_inventory(spark, root), ["2023", "2024", "2025"])
+
+
+@register("d04_missing_period_files", f"""
+SELECT ano FROM (VALUES {', '.join(f"('{y}')" for y in EXPECTED_YEARS)}) AS expected(ano)
+WHERE ano NOT IN (SELECT DISTINCT CAST(year(o_orderdate) AS VARCHAR) FROM orders)
+""")
+def d04_files(spark, sf_dir):
+    from lakemart.operators.quality import missing_period_files
+    return missing_period_files(spark, _orders_bronze(spark, sf_dir), EXPECTED_YEARS)

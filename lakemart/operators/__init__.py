@@ -5,7 +5,8 @@ from lakemart.operators.ordering import sorted_by, top_k, with_position
 from lakemart.operators.positional import (PositionalMismatch, ordinal_index, positional_audit,
                                            with_ordinal, zip_by_position)
 from lakemart.operators.quality import (DataQualityError, check_accepted, check_expectations,
-                                        check_not_null, ingest_summary, missing_periods,
+                                        check_not_null, ingest_summary, missing_period_files,
+                                        missing_periods,
                                         reconcile, require_rows)
 from lakemart.operators.schema import (SchemaError, conform, drop_overlap, extend, lower_names,
                                        overlap, pick, rename, tag)
@@ -15,6 +16,6 @@ __all__ = [
     "grouped_report", "observed", "ratios", "row_counts", "sorted_by", "top_k", "with_position",
     "PositionalMismatch", "ordinal_index", "positional_audit", "with_ordinal", "zip_by_position",
     "DataQualityError", "check_accepted", "check_expectations", "check_not_null",
-    "ingest_summary", "missing_periods", "reconcile", "require_rows", "SchemaError", "conform",
+    "ingest_summary", "missing_period_files", "missing_periods", "reconcile", "require_rows", "SchemaError", "conform",
     "drop_overlap", "extend", "lower_names", "overlap", "pick", "rename", "tag", "stack_periods",
 ]

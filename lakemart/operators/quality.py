@@ -79,6 +79,20 @@ def missing_periods(df: DataFrame, period_col: str, expected: Sequence,
     return missing
 
 
+def missing_period_files(spark: SparkSession, root: str, expected: Sequence, key: str = "ano",
+                         suffix: str = ".parquet") -> DataFrame:
+    """Expected periods with no ``{key}=<period>/*{suffix}`` file under ``root``.
+
+    Works on the file listing only (no data file is opened), like a storage
+    sensor: at least one data file must exist per expected period.
+    """
+    from lakemart.sources.files import raw_inventory
+    present = (raw_inventory(spark, root, suffix=suffix, period_key=key)
+               .select(F.col("period").alias(key)).distinct())
+    want = spark.createDataFrame([(str(v),) for v in expected], StructType([StructField(key, StringType())]))
+    return want.join(present, key, "left_anti")
+
+
 def reconcile(parts: Mapping[str, DataFrame], whole: DataFrame) -> DataFrame:
     """Do the part row counts add up to the whole?  One job, one result row:
     ``(parts_rows, whole_rows, balanced)``."""

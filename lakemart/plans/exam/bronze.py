@@ -10,10 +10,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from lakemart.operators.aggregate import observed
 from lakemart.operators.positional import zip_by_position
 from lakemart.operators.schema import conform, lower_names, tag
 from lakemart.operators.sets import stack_periods
@@ -91,12 +90,30 @@ def bronze_frame(spark: SparkSession, inputs: BronzeInputs) -> DataFrame:
     return stack_periods([period_frame(spark, inputs, p) for p in periods])
 
 
+PRESENCE_GRADE = {"tp_presenca_mt": "nu_nota_mt", "tp_presenca_cn": "nu_nota_cn",
+                  "tp_presenca_ch": "nu_nota_ch", "tp_presenca_lc": "nu_nota_lc"}
+
+
 def build_bronze(spark: SparkSession, inputs: BronzeInputs, path: str,
                  dynamic: bool = False, max_records_per_file: int | None = None) -> dict:
-    """Write bronze partitioned by ``ano``; return the observed row count."""
-    df, obs = observed(bronze_frame(spark, inputs), "bronze_rows")
+    """Write bronze partitioned by ``ano``.
+
+    The audit rides on the write pass itself (an ``Observation``, no extra
+    scan): total rows, rows per period (reconciliation) and, per presence
+    flag, rows marked absent that still carry a grade (positional-join audit).
+    """
+    periods = sorted(set(inputs.single) | set(inputs.split))
+    obs = Observation("bronze_audit")
+    metrics = [F.count(F.lit(1)).alias("rows")]
+    metrics += [F.sum(F.when(F.col("ano") == p, 1).otherwise(0)).alias(f"rows_{p}") for p in periods]
+    metrics += [F.sum(F.when((F.col(pf) != 1) & F.col(g).isNotNull(), 1).otherwise(0)).alias(f"{g}_inconsistent")
+                for pf, g in PRESENCE_GRADE.items()]
+    df = bronze_frame(spark, inputs).observe(obs, *metrics)
     write_partitioned(df, path, "ano", dynamic=dynamic, max_records_per_file=max_records_per_file)
-    return {"rows": obs.get["rows"], "path": path}
+    got = obs.get
+    return {"rows": got["rows"], "path": path,
+            "rows_by_period": {p: got[f"rows_{p}"] for p in periods},
+            "inconsistent": {g: got[f"{g}_inconsistent"] for g in PRESENCE_GRADE.values()}}
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:

@@ -85,9 +85,10 @@ def write_csv(df: DataFrame, path: str, files: int | None = None, header: bool =
 
 
 def raw_inventory(spark: SparkSession, root: str, suffix: str = ".csv", period_key: str = "ano",
-                  require: bool = False) -> DataFrame:
+                  require: bool = False, folder: str | None = None) -> DataFrame:
     """List raw files under ``root`` (recursively) that end in ``suffix``,
-    case-insensitively (S10).
+    case-insensitively (S10); with ``folder`` only files inside a directory
+    of that name (any depth, case-insensitive) are kept.
 
     Output ``(period, path, name, length)``; ``name`` is the lower-cased base
     name and ``period`` the ``{period_key}=`` directory value (NULL if none).
@@ -96,7 +97,10 @@ def raw_inventory(spark: SparkSession, root: str, suffix: str = ".csv", period_k
     """
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
              .select("path", "length"))
-    inv = (files.where(F.lower(F.col("path")).endswith(suffix.lower()))
+    keep = F.lower(F.col("path")).endswith(suffix.lower())
+    if folder:
+        keep = keep & F.lower(F.col("path")).contains("/" + folder.strip("/").lower() + "/")
+    inv = (files.where(keep)
            .select(F.nullif(F.regexp_extract("path", rf"{period_key}=([^/]+)", 1), F.lit("")).alias("period"),
                    F.col("path"),
                    F.lower(F.regexp_extract("path", r"([^/]+)$", 1)).alias("name"),

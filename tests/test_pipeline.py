@@ -16,3 +16,22 @@ def test_pipeline_runs_all_stages(spark, scratch):
     assert out["gate_rows"] > 0
     assert all(r[3] for r in out["expectations"])
     assert spark.table("default.mart_desigualdade").where(F.col("cor_raca") == "Não declarado").count() == 0
+
+
+def test_bronze_audit_rides_on_write(spark, scratch):
+    from lakemart.plans.exam.bronze import build_bronze
+    inputs = write_exam_raw(exam_bronze_columns(table(spark, SF_SMALL, "orders")), scratch("raw"))
+    out = build_bronze(spark, inputs, scratch("bronze"))
+    assert out["rows"] == sum(out["rows_by_period"].values()) == 1500
+    assert out["rows_by_period"] == {"2023": 925, "2024": 575}
+    assert set(out["inconsistent"].values()) == {0}
+
+
+def test_raw_inventory_folder_filter(spark, scratch):
+    from lakemart.sources import raw_inventory
+    root = scratch("zip")
+    table(spark, SF_SMALL, "region").write.option("header", True).csv(f"{root}/ano=2023/DADOS/region")
+    table(spark, SF_SMALL, "nation").write.option("header", True).csv(f"{root}/ano=2023/LEIA-ME/nation")
+    inv = raw_inventory(spark, root, folder="dados").collect()
+    assert len(inv) >= 1 and all("/DADOS/" in r["path"] for r in inv)
+    assert all(r["period"] == "2023" and r["name"] == r["name"].lower() for r in inv)
