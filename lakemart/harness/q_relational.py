@@ -14,6 +14,7 @@ from lakemart.operators.ordering import top_k, with_position
 from lakemart.operators.positional import zip_by_position
 from lakemart.operators.schema import conform
 from lakemart.operators.sets import stack_periods
+from lakemart.plans.fixtures import layout_files
 from lakemart.session import scratch_path
 from lakemart.sources.files import read_delimited
 
@@ -33,11 +34,11 @@ def j01(spark, sf_dir):
     position only."""
     o = table(spark, sf_dir, "orders")
     base = scratch_path(spark, "j01")
-    width = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    narrow_files, wide_files = layout_files(o.count())
     ordered = lambda k: o.repartitionByRange(k, "o_orderkey").sortWithinPartitions("o_orderkey")
-    (ordered(width).select("o_orderkey", "o_custkey", "o_orderstatus")
+    (ordered(narrow_files).select("o_orderkey", "o_custkey", "o_orderstatus")
      .write.option("header", True).option("sep", ";").csv(f"{base}/narrow"))
-    (ordered(width * 3 // 2 + 1).select("o_custkey", "o_totalprice", "o_orderpriority",
+    (ordered(wide_files).select("o_custkey", "o_totalprice", "o_orderpriority",
                        F.repeat(F.lit("#"), (F.col("o_orderkey") % 37).cast("int")).alias("padding"))
      .write.option("header", True).option("sep", ";").csv(f"{base}/wide"))
     narrow = read_delimited(spark, f"{base}/narrow", sep=";", encoding="UTF-8")

@@ -12,22 +12,24 @@ equal ids.  The ordinal here is exact for any split layout:
    shared checkpoint folder.  From here on the tags are stored values: a
    later pass that splits or packs the input differently (executors lost,
    different parallelism) cannot change them, and the text is parsed once.
+   The row count is observed on that same write.
 2. Aggregate one row per split (count, min id) and turn the counts into an
    exclusive running sum in (path, start) order.  This table has one row per
-   input split — bounded by input bytes / split size — and is counted.
-3. Join it back — broadcast when the counted size is under
+   input split; its size is bounded before any job runs (input partitions +
+   input files, see ``split_bound``).
+3. Join it back — broadcast when the bound is under
    ``BLOCK_BROADCAST_LIMIT``, a shuffle join otherwise — and compute
    ``ordinal = offset + id - min(id)``.
 
 The two sides are then equi-joined on the ordinal after checking that their
-row counts (known from step 2, no extra scan of the text) are equal.
+row counts (observed in step 1, no extra scan) are equal.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Observation, Window, functions as F
 
 from lakemart.operators.schema import drop_overlap
 from lakemart.session import materialize
@@ -43,6 +45,13 @@ class PositionalMismatch(ValueError):
     """The two inputs of a positional join do not have the same row count."""
 
 
+def split_bound(df: DataFrame) -> int:
+    """Upper bound on the number of input splits of a file scan, from planning
+    only (no job): every full-size split fills its own partition and each file
+    adds at most one smaller tail split, so splits ≤ partitions + files."""
+    return df.rdd.getNumPartitions() + len(df.inputFiles())
+
+
 def ordinal_index(df: DataFrame, name: str = "_idx") -> tuple[DataFrame, int]:
     """Add a 0-based dense row ordinal in file order; also return the row count.
 
@@ -51,18 +60,20 @@ def ordinal_index(df: DataFrame, name: str = "_idx") -> tuple[DataFrame, int]:
     split boundary never falls inside a record.
     """
     cols = [F.col(f"`{c}`") for c in df.columns]
+    bound = split_bound(df)
+    obs = Observation("ordinal_rows")
     tagged = materialize(df.select(*cols,
                                    F.col("_metadata.file_path").alias(_FP),
                                    F.col("_metadata.file_block_start").alias(_BS),
-                                   F.monotonically_increasing_id().alias(_MID)),
+                                   F.monotonically_increasing_id().alias(_MID))
+                         .observe(obs, F.count(F.lit(1)).alias("rows")),
                          "indexed-rows")
+    n_rows = obs.get["rows"]
     before = Window.orderBy(_FP, _BS).rowsBetween(Window.unboundedPreceding, -1)
     blocks = (tagged.groupBy(_FP, _BS)
               .agg(F.count(F.lit(1)).alias(_N), F.min(_MID).alias(_M0))
               .withColumn(_OFF, F.coalesce(F.sum(_N).over(before), F.lit(0)).cast("bigint")))
-    summary = blocks.agg(F.count(F.lit(1)).alias("splits"), F.sum(_N).alias("rows")).first()
-    n_splits, n_rows = summary["splits"], summary["rows"] or 0
-    side = F.broadcast(blocks) if n_splits <= BLOCK_BROADCAST_LIMIT else blocks
+    side = F.broadcast(blocks) if bound <= BLOCK_BROADCAST_LIMIT else blocks
     out = (tagged.join(side, [_FP, _BS])
            .select(*[F.col(f"`{c}`") for c in df.columns],
                    (F.col(_OFF) + F.col(_MID) - F.col(_M0)).cast("bigint").alias(name)))

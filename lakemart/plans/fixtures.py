@@ -88,20 +88,26 @@ RESULT_COLS = ["tp_escola", "tp_dependencia_adm_esc", "tp_presenca_mt", "tp_pres
 SHARED_COLS = ["nu_ano", "co_municipio_prova", "no_municipio_prova", "co_uf_prova", "sg_uf_prova"]
 
 
+def layout_files(rows: int, rows_per_file: int = 1_000_000, minimum: int = 4) -> tuple[int, int]:
+    """File counts for a two-sided keyless layout: one per ~``rows_per_file``
+    rows (never fewer than ``minimum``), and a different count for the other
+    side so file boundaries differ."""
+    left = max(minimum, -(-rows // rows_per_file))
+    return left, left * 3 // 2 + 1
+
+
 def write_exam_raw(xb_columns: DataFrame, root: str, left_files: int | None = None,
                    right_files: int | None = None):
     """Lay XB out as raw releases: 2023 as one unified `;`/Latin-1 folder with
     upper-case headers; 2024 as two keyless folders (participants / results)
     in key order, with different file counts and a padding column on one side
-    so their split boundaries never coincide.  File counts default to the
-    session's shuffle parallelism (and 1.5× + 1 for the wide side), so the
-    layout is written by as many tasks as the data needs.  Returns
-    ``BronzeInputs``."""
+    so their split boundaries never coincide.  File counts follow the data
+    volume (``layout_files``): several files even for small inputs, about a
+    million rows per file for large ones.  Returns ``BronzeInputs``."""
     from lakemart.plans.exam.bronze import BronzeInputs
 
-    spark = xb_columns.sparkSession
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    left_files = left_files or max(2, width)
+    if left_files is None:
+        left_files, right_files = layout_files(xb_columns.count())
     right_files = right_files or (left_files * 3 // 2 + 1)
 
     opts = {"header": True, "sep": ";", "encoding": "ISO-8859-1"}

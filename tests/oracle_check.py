@@ -83,8 +83,13 @@ def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     prefixes = sys.argv[2:]
     import __spark_entry__ as E
-    from lakemart import build_session
-    spark = build_session("local[8]", shuffle_partitions=8)
+    if os.environ.get("PLAIN_SESSION"):
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
+                 .getOrCreate())
+    else:
+        from lakemart import build_session
+        spark = build_session("local[8]", shuffle_partitions=8)
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(sf_dir)
     qs, orc = E.queries(), E.oracle_sql()
