@@ -24,8 +24,18 @@ LETTERS_17 = "ABCDEFGHIJKLMNOPQ"
 UF_SLOTS = "ACALAPAMBACEDFESGOMAMTMSMGPAPBPRPEPIRJRNRSRORRSCSPSETOZZ"
 
 
+_TABLES: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """A supplied table, resolved once per session (schema and file listing
+    are reused like a catalog table's instead of being re-inferred per query)."""
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    key = (spark.sparkContext.applicationId, id(spark), path)
+    df = _TABLES.get(key)
+    if df is None:
+        df = _TABLES[key] = spark.read.parquet(path)
+    return df
 
 
 def _letter(alphabet: str, idx: str) -> str:
