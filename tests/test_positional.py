@@ -104,3 +104,17 @@ def test_positional_audit(spark):
     df = spark.createDataFrame([(1, 500.0), (0, None), (0, 10.0), (2, None)], "pres long, grade double")
     r = positional_audit(df, {"pres": "grade"}).first()
     assert (r["rows"], r["grade_inconsistent"]) == (4, 1)
+
+
+def test_shuffle_join_path_beyond_broadcast_limit(spark, scratch, monkeypatch):
+    """When the split table's bound exceeds the limit it is joined by shuffle;
+    the result must be identical."""
+    import lakemart.operators.positional as P
+    monkeypatch.setattr(P, "BLOCK_BROADCAST_LIMIT", 0)
+    root = scratch("noshortcut")
+    write_sides(spark, root, 1200, 3, 4, 17)
+    with small_splits(spark):
+        left = read_delimited(spark, f"{root}/left", encoding="UTF-8")
+        idx, rows = P.ordinal_index(left)
+        got = idx.select(F.col("k").cast("long"), "_idx").collect()
+    assert rows == 1200 and all(r[0] == r[1] for r in got)

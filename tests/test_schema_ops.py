@@ -66,3 +66,14 @@ def test_with_position_is_global(spark):
     out = with_position(df.repartition(7), ["k"])
     rows = {r["k"]: r["pos"] for r in out.collect()}
     assert all(rows[k] == k + 1 for k in range(500))
+
+
+def test_read_period_addresses_year_directory(spark, scratch):
+    from lakemart.sources import period_path, read_period
+    root = scratch("periods")
+    for y in ("2023", "2024"):
+        spark.createDataFrame([(y, "São Paulo")], "k string, city string").write \
+            .option("header", True).option("sep", ";").option("encoding", "ISO-8859-1") \
+            .csv(period_path(root, y, "part"))
+    got = read_period(spark, root, "2024", "part").collect()
+    assert [tuple(r) for r in got] == [("2024", "São Paulo")]
