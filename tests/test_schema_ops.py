@@ -77,3 +77,15 @@ def test_read_period_addresses_year_directory(spark, scratch):
             .csv(period_path(root, y, "part"))
     got = read_period(spark, root, "2024", "part").collect()
     assert [tuple(r) for r in got] == [("2024", "São Paulo")]
+
+
+def test_static_vs_dynamic_period_overwrite(spark, scratch):
+    from lakemart.sources import write_partitioned
+    path = scratch("overwrite")
+    both = spark.createDataFrame([(1, "2023"), (2, "2024")], "k int, ano string")
+    write_partitioned(both, path, "ano")
+    write_partitioned(spark.createDataFrame([(3, "2024")], "k int, ano string"), path, "ano", dynamic=True)
+    read = lambda: sorted(tuple(r) for r in spark.read.schema("k int, ano string").parquet(path).collect())
+    assert read() == [(1, "2023"), (3, "2024")]          # one period reloaded in place
+    write_partitioned(spark.createDataFrame([(4, "2024")], "k int, ano string"), path, "ano")
+    assert read() == [(4, "2024")]                       # static overwrite replaces every period
