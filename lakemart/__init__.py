@@ -11,7 +11,7 @@ Sub-packages:
 * ``lakemart.operators`` – DataFrame operators (conform, positional join, reports,
                            ordering, data-quality checks)
 * ``lakemart.plans``     – the exam lakehouse (bronze → staging → marts), the
-                           games notebook flows and the pipeline runner
+                           games notebook flows and the lakehouse runner
 * ``lakemart.streaming`` – intentionally empty (the modelled workload is batch)
 """
 

@@ -1,3 +1,3 @@
 """End-to-end flows built from the operators: the exam lakehouse
 (``lakemart.plans.exam``), the games notebook (``lakemart.plans.games``), the
-pipeline runner and the derived exam fixture."""
+lakehouse runner and the derived exam fixture."""

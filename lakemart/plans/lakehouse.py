@@ -22,7 +22,7 @@ from lakemart.sources.catalog import as_table, as_view
 
 
 @dataclass
-class PipelineConfig:
+class LakehouseConfig:
     inputs: BronzeInputs
     bronze_path: str
     marts_path: str
@@ -37,7 +37,7 @@ class PipelineConfig:
     })
 
 
-def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> dict:
+def run_lakehouse(spark: SparkSession, cfg: LakehouseConfig) -> dict:
     """Run every stage; return counts and the expectation results.
 
     Raises :class:`DataQualityError` when an expectation fails or the gate

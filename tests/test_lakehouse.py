@@ -1,17 +1,17 @@
-"""run_pipeline end to end on the exam fixture laid out as raw releases."""
+"""run_lakehouse end to end on the exam fixture laid out as raw releases."""
 
 from pyspark.sql import functions as F
 
 from lakemart.plans.fixtures import exam_bronze_columns, table, write_exam_raw
-from lakemart.plans.pipeline import PipelineConfig, run_pipeline
+from lakemart.plans.lakehouse import LakehouseConfig, run_lakehouse
 
 from conftest import SF_SMALL
 
 
-def test_pipeline_runs_all_stages(spark, scratch):
+def test_lakehouse_runs_all_stages(spark, scratch):
     inputs = write_exam_raw(exam_bronze_columns(table(spark, SF_SMALL, "orders")), scratch("raw"))
-    cfg = PipelineConfig(inputs=inputs, bronze_path=scratch("bronze"), marts_path=scratch("marts"))
-    out = run_pipeline(spark, cfg)
+    cfg = LakehouseConfig(inputs=inputs, bronze_path=scratch("bronze"), marts_path=scratch("marts"))
+    out = run_lakehouse(spark, cfg)
     assert out["bronze_rows"] == table(spark, SF_SMALL, "orders").count()
     assert out["gate_rows"] > 0
     assert all(r[3] for r in out["expectations"])
