@@ -27,25 +27,32 @@ ORDERS_FLAT = StructType([
 # ---------------------------------------------------------------- J01 / U01
 
 
-@register("j01_positional_join", f"SELECT {', '.join(ORDER_COLS)} FROM orders")
-def j01(spark, sf_dir):
-    """orders in key order, written as two keyless files of different width and
-    file count (narrow: key + status; wide: totals + padding), re-aligned by
-    position only."""
-    o = table(spark, sf_dir, "orders")
-    base = scratch_path(spark, "j01")
-    narrow_files, wide_files = layout_files(o.count())
-    ordered = lambda k: o.repartitionByRange(k, "o_orderkey").sortWithinPartitions("o_orderkey")
+def write_positional_sides(spark, orders, base: str) -> tuple[str, str]:
+    """orders in key order as two keyless CSV folders of different width and
+    file count (narrow: key + status; wide: totals + padding)."""
+    narrow_files, wide_files = layout_files(orders.count())
+    ordered = lambda k: orders.repartitionByRange(k, "o_orderkey").sortWithinPartitions("o_orderkey")
     (ordered(narrow_files).select("o_orderkey", "o_custkey", "o_orderstatus")
      .write.option("header", True).option("sep", ";").csv(f"{base}/narrow"))
     (ordered(wide_files).select("o_custkey", "o_totalprice", "o_orderpriority",
-                       F.repeat(F.lit("#"), (F.col("o_orderkey") % 37).cast("int")).alias("padding"))
+                                F.repeat(F.lit("#"), (F.col("o_orderkey") % 37).cast("int")).alias("padding"))
      .write.option("header", True).option("sep", ";").csv(f"{base}/wide"))
-    narrow = read_delimited(spark, f"{base}/narrow", sep=";", encoding="UTF-8")
-    wide = read_delimited(spark, f"{base}/wide", sep=";", encoding="UTF-8")
+    return f"{base}/narrow", f"{base}/wide"
+
+
+def zip_orders(spark, narrow_path: str, wide_path: str):
+    """Re-align the two sides by position only and type the result."""
+    narrow = read_delimited(spark, narrow_path, sep=";", encoding="UTF-8")
+    wide = read_delimited(spark, wide_path, sep=";", encoding="UTF-8")
     return conform(zip_by_position(narrow, wide, expected_overlap=["o_custkey"]), ORDERS_FLAT)
 
 
+@register("j01_positional_join", f"SELECT {', '.join(ORDER_COLS)} FROM orders")
+def j01(spark, sf_dir):
+    sides = write_positional_sides(spark, table(spark, sf_dir, "orders"), scratch_path(spark, "j01"))
+    return zip_orders(spark, *sides)
+
+
 @register("u01_union_by_name", f"SELECT {', '.join(ORDER_COLS)} FROM orders")
 def u01(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
