@@ -35,3 +35,19 @@ def test_raw_inventory_folder_filter(spark, scratch):
     inv = raw_inventory(spark, root, folder="dados").collect()
     assert len(inv) >= 1 and all("/DADOS/" in r["path"] for r in inv)
     assert all(r["period"] == "2023" and r["name"] == r["name"].lower() for r in inv)
+
+
+def test_command_line_bronze_and_reports(spark, scratch, capsys):
+    import json
+    from lakemart.__main__ import main
+    inputs = write_exam_raw(exam_bronze_columns(table(spark, SF_SMALL, "orders")), scratch("raw"))
+    bronze = scratch("bronze")
+    left, right = inputs.split["2024"]
+    assert main(["bronze", "--single", f"2023={inputs.single['2023']}", "--split", f"2024={left},{right}",
+                 "--bronze", bronze]) == 0
+    info = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert info["rows"] == 1500
+    out = scratch("reports")
+    assert main(["reports", "--bronze", bronze, "--out", out]) == 0
+    back = spark.read.option("header", True).csv(f"{out}/mother_schooling")
+    assert back.count() == 7
