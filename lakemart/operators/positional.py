@@ -28,6 +28,7 @@ row counts (observed in step 1, no extra scan) are equal.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, Window, functions as F
 
@@ -97,8 +98,11 @@ def zip_by_position(left: DataFrame, right: DataFrame,
     or mispair rows.
     """
     idx = "_lm_idx"
-    lft, n_left = ordinal_index(left, idx)
-    rgt, n_right = ordinal_index(right, idx)
+    # the two tagging passes are independent jobs: submit them together so
+    # neither side's tasks wait for the other's
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        fut_l, fut_r = pool.submit(ordinal_index, left, idx), pool.submit(ordinal_index, right, idx)
+        (lft, n_left), (rgt, n_right) = fut_l.result(), fut_r.result()
     if n_left != n_right:
         raise PositionalMismatch(f"positional join needs equal row counts: {n_left} vs {n_right}")
     if prepare is not None:
