@@ -118,3 +118,22 @@ def test_shuffle_join_path_beyond_broadcast_limit(spark, scratch, monkeypatch):
         idx, rows = P.ordinal_index(left)
         got = idx.select(F.col("k").cast("long"), "_idx").collect()
     assert rows == 1200 and all(r[0] == r[1] for r in got)
+
+
+def test_coalesced_id_pairing_is_wrong_where_ordinal_is_exact(spark, scratch):
+    """Negative control for the trap the ordinal avoids: equal partition
+    *counts* (``coalesce(8)``) + ``monotonically_increasing_id`` + inner join
+    loses and mispairs rows once the two sides split differently."""
+    root = scratch("naive")
+    write_sides(spark, root, 6000, 3, 5, 50)
+    with small_splits(spark, 8192):
+        left = read_delimited(spark, f"{root}/left", encoding="UTF-8")
+        right = read_delimited(spark, f"{root}/right", encoding="UTF-8")
+        naive = (left.coalesce(8).withColumn("_i", F.monotonically_increasing_id())
+                 .join(right.drop("a").coalesce(8).withColumn("_i", F.monotonically_increasing_id()), "_i"))
+        naive_rows = naive.select(F.col("k").cast("long"), F.col("b").cast("long")).collect()
+        exact = zip_by_position(left, right, expected_overlap=["a"])
+        exact_rows = exact.select(F.col("k").cast("long"), F.col("b").cast("long")).collect()
+    naive_ok = sum(1 for k, b in naive_rows if b == k + 1000)
+    assert len(naive_rows) < 6000 or naive_ok < len(naive_rows)
+    assert len(exact_rows) == 6000 and all(b == k + 1000 for k, b in exact_rows)
