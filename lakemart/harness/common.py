@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakemart.plans.fixtures import exam_bronze, table  # noqa: F401  (re-exported)
@@ -12,11 +10,6 @@ from lakemart.plans.exam.staging import stage_exam
 ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
 
 
-def orders_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """orders without the timestamp column (the modelled data has no timestamps)."""
-    return table(spark, sf_dir, "orders").select(*ORDER_COLS)
-
-
 def orders_with_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     return o.select(*ORDER_COLS, F.year("o_orderdate").cast("string").alias("ano"))
@@ -24,7 +17,3 @@ def orders_with_year(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage_exam(exam_bronze(spark, sf_dir))
-
-
-def join_path(base: str, *parts: str) -> str:
-    return os.path.join(base, *parts)

@@ -1,6 +1,5 @@
 """Games-notebook flows on small typed samples of our own."""
 
-from pyspark.sql import functions as F
 
 from lakemart.plans.games import entry_ratios, export_csv, load_tables, top_list
 

@@ -1,8 +1,6 @@
 """Data-quality checks: must-pass and must-fail rows with exact counts."""
 
-import duckdb
 import pytest
-from pyspark.sql import functions as F
 
 from lakemart.operators import (DataQualityError, check_expectations, grouped_report, ingest_summary,
                                 missing_periods, reconcile, require_rows)
