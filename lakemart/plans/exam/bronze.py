@@ -17,6 +17,7 @@ from lakemart.operators.positional import zip_by_position
 from lakemart.operators.schema import conform, lower_names, tag
 from lakemart.operators.sets import stack_periods
 from lakemart.plans.exam.vocab import OVERLAP_2024
+from lakemart.session import scratch_scope
 from lakemart.sources.files import read_delimited, write_partitioned
 
 _L, _D, _S = LongType(), DoubleType(), StringType()
@@ -108,9 +109,10 @@ def build_bronze(spark: SparkSession, inputs: BronzeInputs, path: str,
     metrics += [F.sum(F.when(F.col("ano") == p, 1).otherwise(0)).alias(f"rows_{p}") for p in periods]
     metrics += [F.sum(F.when((F.col(pf) != 1) & F.col(g).isNotNull(), 1).otherwise(0)).alias(f"{g}_inconsistent")
                 for pf, g in PRESENCE_GRADE.items()]
-    df = bronze_frame(spark, inputs).observe(obs, *metrics)
-    write_partitioned(df, path, "ano", dynamic=dynamic, max_records_per_file=max_records_per_file)
-    got = obs.get
+    with scratch_scope(spark):       # positional tags are dropped once bronze is committed
+        df = bronze_frame(spark, inputs).observe(obs, *metrics)
+        write_partitioned(df, path, "ano", dynamic=dynamic, max_records_per_file=max_records_per_file)
+        got = obs.get
     return {"rows": got["rows"], "path": path,
             "rows_by_period": {p: got[f"rows_{p}"] for p in periods},
             "inconsistent": {g: got[f"{g}_inconsistent"] for g in PRESENCE_GRADE.values()}}

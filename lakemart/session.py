@@ -8,8 +8,10 @@ the master is local (unit tests) do we create a local temporary one.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -64,10 +66,46 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+_SCOPES: list[list[str]] = []
+_SCOPES_LOCK = threading.Lock()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder below the shared checkpoint directory."""
+    """A fresh, unique folder below the shared checkpoint directory.
+
+    Inside a :func:`scratch_scope` the folder is removed when the scope ends.
+    """
     base = ensure_checkpoint_dir(spark)
-    return os.path.join(base.rstrip("/"), "lakemart-scratch", f"{name}-{uuid.uuid4().hex[:12]}")
+    path = os.path.join(base.rstrip("/"), "lakemart-scratch", f"{name}-{uuid.uuid4().hex[:12]}")
+    with _SCOPES_LOCK:
+        if _SCOPES:
+            _SCOPES[-1].append(path)
+    return path
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession):
+    """Delete the scratch folders created inside the block when it ends.
+
+    Use it around work whose *output is written* within the block (e.g. a
+    bronze build): intermediate tables such as positional tags are then no
+    longer referenced.  Do not return a lazy DataFrame that reads them.
+    """
+    created: list[str] = []
+    with _SCOPES_LOCK:
+        _SCOPES.append(created)
+    try:
+        yield created
+    finally:
+        with _SCOPES_LOCK:
+            _SCOPES.remove(created)
+        for path in created:
+            _delete(spark, path)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

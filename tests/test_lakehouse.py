@@ -51,3 +51,18 @@ def test_command_line_bronze_and_reports(spark, scratch, capsys):
     assert main(["reports", "--bronze", bronze, "--out", out]) == 0
     back = spark.read.option("header", True).csv(f"{out}/mother_schooling")
     assert back.count() == 7
+
+
+def test_bronze_build_drops_its_intermediate_tables(spark, scratch):
+    import os
+    from lakemart.plans.exam.bronze import build_bronze
+    from lakemart.session import ensure_checkpoint_dir
+    inputs = write_exam_raw(exam_bronze_columns(table(spark, SF_SMALL, "orders")), scratch("raw"))
+    base = ensure_checkpoint_dir(spark).replace("file:", "")
+    scratch_dir = os.path.join(base, "lakemart-scratch")
+    before = set(os.listdir(scratch_dir))
+    out = scratch("bronze")
+    build_bronze(spark, inputs, out)
+    new = set(os.listdir(scratch_dir)) - before
+    assert all(not n.startswith("indexed-rows") for n in new), new
+    assert spark.read.parquet(out).count() == 1500
