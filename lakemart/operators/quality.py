@@ -107,18 +107,29 @@ def reconcile(parts: Mapping[str, DataFrame], whole: DataFrame) -> DataFrame:
     return agg.withColumn("balanced", F.col("parts_rows") == F.col("whole_rows"))
 
 
-def ingest_summary(inventory: DataFrame, expected: Sequence, period_col: str = "period") -> DataFrame:
+def ingest_summary(inventory: DataFrame, expected: Sequence, period_col: str = "period",
+                   with_total: bool = True) -> DataFrame:
     """Per expected period: files, bytes and status present/missing.
 
-    ``inventory`` is the output of ``raw_inventory`` (period, path, name, length).
+    ``inventory`` is the output of ``raw_inventory`` (period, path, name,
+    length).  With ``with_total`` a last row (period ``total``) sums files and
+    bytes and reports ``<present>/<expected> present``.
     """
     spark: SparkSession = inventory.sparkSession
     want = spark.createDataFrame([(str(v),) for v in expected], StructType([StructField(period_col, StringType())]))
     per = (inventory.groupBy(period_col)
            .agg(F.count(F.lit(1)).alias("files"), F.sum("length").cast("bigint").alias("bytes")))
-    out = want.join(per, period_col, "left")
-    return out.select(
+    out = want.join(per, period_col, "left").select(
         period_col,
         F.coalesce("files", F.lit(0)).cast("bigint").alias("files"),
         F.coalesce("bytes", F.lit(0)).cast("bigint").alias("bytes"),
         F.when(F.col("files") > 0, F.lit("present")).otherwise(F.lit("missing")).alias("status"))
+    if not with_total:
+        return out
+    total = out.agg(
+        F.lit("total").alias(period_col),
+        F.sum("files").cast("bigint").alias("files"),
+        F.sum("bytes").cast("bigint").alias("bytes"),
+        F.format_string("%d/%d present", F.sum(F.when(F.col("status") == "present", 1).otherwise(0)),
+                        F.count(F.lit(1))).alias("status"))
+    return out.unionByName(total)

@@ -71,7 +71,7 @@ def test_ingest_summary(spark):
     inv = spark.createDataFrame([("2023", "p/a.csv", "a.csv", 10), ("2023", "p/b.csv", "b.csv", 5)],
                                 "period string, path string, name string, length long")
     got = {r["period"]: (r["files"], r["bytes"], r["status"]) for r in ingest_summary(inv, ["2023", "2024"]).collect()}
-    assert got == {"2023": (2, 15, "present"), "2024": (0, 0, "missing")}
+    assert got == {"2023": (2, 15, "present"), "2024": (0, 0, "missing"), "total": (2, 15, "1/2 present")}
 
 
 def test_group_on_code_vs_label(spark):
