@@ -83,13 +83,16 @@ def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     prefixes = sys.argv[2:]
     import __spark_entry__ as E
+    extra = dict(kv.split("=", 1) for kv in os.environ.get("EXTRA_CONF", "").split(",") if kv)
     if os.environ.get("PLAIN_SESSION"):
         from pyspark.sql import SparkSession
-        spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
-                 .getOrCreate())
+        b = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
+        for k, v in extra.items():
+            b = b.config(k, v)
+        spark = b.getOrCreate()
     else:
         from lakemart import build_session
-        spark = build_session("local[8]", shuffle_partitions=8)
+        spark = build_session("local[8]", shuffle_partitions=8, extra=extra)
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(sf_dir)
     qs, orc = E.queries(), E.oracle_sql()
