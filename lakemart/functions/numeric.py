@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, functions as F
+from pyspark.sql.types import DoubleType
 
 from lakemart.functions.casts import _as_col
 
@@ -18,7 +19,8 @@ def rounded(col, scale: int = 1) -> Column:
     so ``1.005`` rounds to ``1.0`` as there.  Stays a built-in expression.
     """
     factor = float(10 ** scale)
-    return F.round(_as_col(col).cast("double") * F.lit(factor), 0) / F.lit(factor)
+    # multiplying by a double literal already widens ints and decimals to double
+    return F.round(_as_col(col) * F.lit(factor), 0) / F.lit(factor)
 
 
 def row_mean(cols: Sequence, scale: int | None = 1) -> Column:
@@ -31,4 +33,4 @@ def row_mean(cols: Sequence, scale: int | None = 1) -> Column:
 
 def safe_ratio(part, total) -> Column:
     """``part / total`` as double; NULL when ``total`` is 0 or NULL (never throws)."""
-    return F.try_divide(_as_col(part).cast("double"), _as_col(total).cast("double"))
+    return F.try_divide(_as_col(part).cast(DoubleType()), _as_col(total).cast(DoubleType()))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 from lakemart.functions import eligible, count_where
 from lakemart.harness.common import exam_bronze, staging
@@ -170,7 +171,7 @@ FROM xb
 """))
 def p11(spark, sf_dir):
     xb = exam_bronze(spark, sf_dir)
-    return xb.select("nu_inscricao", "ano", public_school(F.col("ano").cast("int")).alias("escola_publica"))
+    return xb.select("nu_inscricao", "ano", public_school(F.col("ano").cast(IntegerType())).alias("escola_publica"))
 
 
 @register("p12_period_school_type", with_xb("""
@@ -186,7 +187,7 @@ FROM xb
 """))
 def p12(spark, sf_dir):
     xb = exam_bronze(spark, sf_dir)
-    return xb.select("nu_inscricao", "ano", school_type(F.col("ano").cast("int")).alias("tipo_escola"))
+    return xb.select("nu_inscricao", "ano", school_type(F.col("ano").cast(IntegerType())).alias("tipo_escola"))
 
 
 @register("p13_period_column_pick", with_xb("""
@@ -197,7 +198,7 @@ FROM xb
 """))
 def p13(spark, sf_dir):
     xb = exam_bronze(spark, sf_dir)
-    y = F.col("ano").cast("int")
+    y = F.col("ano").cast(IntegerType())
     return xb.select("nu_inscricao", "ano",
                      by_period(y, {2023: F.col("q006"), 2024: F.col("q007")}).alias("renda_familiar_cod"))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from lakemart.functions import count_where, n
 from lakemart.harness.common import table
@@ -21,7 +22,7 @@ def m10(spark, sf_dir):
     write_csv(table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), path)
     loaded = load_tables(spark, {"orders": path})["orders"]
     return top_list(loaded, "o_totalprice", "o_orderkey").select(
-        F.col("o_orderkey").cast("long").alias("o_orderkey"), "o_totalprice")
+        F.col("o_orderkey").cast(LongType()).alias("o_orderkey"), "o_totalprice")
 
 
 @register("m11_entry_ratios", """

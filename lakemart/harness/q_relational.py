@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from lakemart.functions import count_where, harmonize, map_codes, mean, n, share_where
 from lakemart.harness.common import ORDER_COLS, table
@@ -35,7 +35,7 @@ def write_positional_sides(spark, orders, base: str) -> tuple[str, str]:
     (ordered(narrow_files).select("o_orderkey", "o_custkey", "o_orderstatus")
      .write.option("header", True).option("sep", ";").csv(f"{base}/narrow"))
     (ordered(wide_files).select("o_custkey", "o_totalprice", "o_orderpriority",
-                                F.repeat(F.lit("#"), (F.col("o_orderkey") % 37).cast("int")).alias("padding"))
+                                F.repeat(F.lit("#"), (F.col("o_orderkey") % 37).cast(IntegerType())).alias("padding"))
      .write.option("header", True).option("sep", ";").csv(f"{base}/wide"))
     return f"{base}/narrow", f"{base}/wide"
 

@@ -36,7 +36,7 @@ FROM part
 def p02(spark, sf_dir):
     p = table(spark, sf_dir, "part")
     # every column as text (as a raw CSV would deliver it), permuted, plus an extra one
-    as_text = p.select(*[F.col(c).cast("string").alias(c) for c in reversed(p.columns)],
+    as_text = p.select(*[F.col(c).cast(StringType()).alias(c) for c in reversed(p.columns)],
                        F.lit("x").alias("p_extra"))
     return conform(as_text, PART_TARGET)
 
@@ -146,11 +146,11 @@ FROM orders
 """)
 def p15(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
-    year_text = F.year("o_orderdate").cast("string")
+    year_text = F.year("o_orderdate").cast(StringType())
     return o.select("o_orderkey",
                     lenient_cast(year_text, IntegerType()).alias("order_year"),
-                    (F.col("o_custkey") % 10).cast("int").alias("cust_bucket"),
-                    F.col("o_custkey").cast("double").alias("cust_as_double"))
+                    (F.col("o_custkey") % 10).cast(IntegerType()).alias("cust_bucket"),
+                    F.col("o_custkey").cast(DoubleType()).alias("cust_as_double"))
 
 
 @register("p16_round", """

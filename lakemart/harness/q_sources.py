@@ -45,7 +45,7 @@ def s01(spark, sf_dir):
     path = scratch_path(spark, "s01")
     c = table(spark, sf_dir, "customer")
     raw = c.select(*[F.col(x).alias(x.upper()) for x in c.columns],
-                   F.concat(F.lit("São "), (F.col("c_custkey") % 50).cast("string")).alias("CIDADE"))
+                   F.concat(F.lit("São "), (F.col("c_custkey") % 50).cast(StringType())).alias("CIDADE"))
     write_csv(raw, path, sep=";", encoding="ISO-8859-1")
     back = read_delimited(spark, path, sep=";", encoding="ISO-8859-1")
     return conform(back.toDF(*[x.lower() for x in back.columns]), CUSTOMER_TEXT)

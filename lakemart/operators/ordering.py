@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import LongType
 
 from lakemart.session import materialize
 
@@ -56,6 +57,6 @@ def with_position(df: DataFrame, keys: Sequence, name: str = "pos") -> DataFrame
              .agg(F.count(F.lit(1)).alias("_lm_n"), F.min("_lm_m").alias("_lm_m0"))
              .withColumn("_lm_off", F.coalesce(F.sum("_lm_n").over(before), F.lit(0))))
     out = (tagged.join(F.broadcast(parts), "_lm_p")
-           .withColumn(name, (F.col("_lm_off") + F.col("_lm_m") - F.col("_lm_m0") + 1).cast("bigint"))
+           .withColumn(name, (F.col("_lm_off") + F.col("_lm_m") - F.col("_lm_m0") + 1).cast(LongType()))
            .drop("_lm_p", "_lm_m", "_lm_n", "_lm_m0", "_lm_off"))
     return out

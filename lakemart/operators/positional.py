@@ -31,6 +31,7 @@ from collections.abc import Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, Window, functions as F
+from pyspark.sql.types import LongType
 
 from lakemart.operators.schema import drop_overlap
 from lakemart.session import materialize
@@ -73,11 +74,11 @@ def ordinal_index(df: DataFrame, name: str = "_idx") -> tuple[DataFrame, int]:
     before = Window.orderBy(_FP, _BS).rowsBetween(Window.unboundedPreceding, -1)
     blocks = (tagged.groupBy(_FP, _BS)
               .agg(F.count(F.lit(1)).alias(_N), F.min(_MID).alias(_M0))
-              .withColumn(_OFF, F.coalesce(F.sum(_N).over(before), F.lit(0)).cast("bigint")))
+              .withColumn(_OFF, F.coalesce(F.sum(_N).over(before), F.lit(0)).cast(LongType())))
     side = F.broadcast(blocks) if bound <= BLOCK_BROADCAST_LIMIT else blocks
     out = (tagged.join(side, [_FP, _BS])
            .select(*[F.col(f"`{c}`") for c in df.columns],
-                   (F.col(_OFF) + F.col(_MID) - F.col(_M0)).cast("bigint").alias(name)))
+                   (F.col(_OFF) + F.col(_MID) - F.col(_M0)).cast(LongType()).alias(name)))
     return out, int(n_rows)
 
 
@@ -119,6 +120,6 @@ def positional_audit(df: DataFrame, present_vs_value: Mapping[str, str], present
     governs.  One aggregation pass; a correct alignment gives all zeros.
     """
     aggs = [F.sum(F.when((F.col(p) != F.lit(present_code)) & F.col(v).isNotNull(), 1).otherwise(0))
-            .cast("bigint").alias(f"{v}_inconsistent")
+            .cast(LongType()).alias(f"{v}_inconsistent")
             for p, v in present_vs_value.items()]
     return df.agg(F.count(F.lit(1)).alias("rows"), *aggs)

@@ -18,7 +18,7 @@ class DataQualityError(RuntimeError):
 
 
 def _fail_count(pred) -> F.Column:
-    return F.sum(F.when(pred, 1).otherwise(0)).cast("bigint")
+    return F.sum(F.when(pred, 1).otherwise(0)).cast(LongType())
 
 
 def check_expectations(df: DataFrame, not_null: Iterable[str] = (),
@@ -102,8 +102,8 @@ def reconcile(parts: Mapping[str, DataFrame], whole: DataFrame) -> DataFrame:
     u = tagged[0]
     for t in tagged[1:]:
         u = u.unionByName(t)
-    agg = u.agg(F.sum(F.when(F.col("side") == "part", F.col("rows")).otherwise(0)).cast("bigint").alias("parts_rows"),
-                F.sum(F.when(F.col("side") == "whole", F.col("rows")).otherwise(0)).cast("bigint").alias("whole_rows"))
+    agg = u.agg(F.sum(F.when(F.col("side") == "part", F.col("rows")).otherwise(0)).cast(LongType()).alias("parts_rows"),
+                F.sum(F.when(F.col("side") == "whole", F.col("rows")).otherwise(0)).cast(LongType()).alias("whole_rows"))
     return agg.withColumn("balanced", F.col("parts_rows") == F.col("whole_rows"))
 
 
@@ -118,18 +118,18 @@ def ingest_summary(inventory: DataFrame, expected: Sequence, period_col: str = "
     spark: SparkSession = inventory.sparkSession
     want = spark.createDataFrame([(str(v),) for v in expected], StructType([StructField(period_col, StringType())]))
     per = (inventory.groupBy(period_col)
-           .agg(F.count(F.lit(1)).alias("files"), F.sum("length").cast("bigint").alias("bytes")))
+           .agg(F.count(F.lit(1)).alias("files"), F.sum("length").cast(LongType()).alias("bytes")))
     out = want.join(per, period_col, "left").select(
         period_col,
-        F.coalesce("files", F.lit(0)).cast("bigint").alias("files"),
-        F.coalesce("bytes", F.lit(0)).cast("bigint").alias("bytes"),
+        F.coalesce("files", F.lit(0)).cast(LongType()).alias("files"),
+        F.coalesce("bytes", F.lit(0)).cast(LongType()).alias("bytes"),
         F.when(F.col("files") > 0, F.lit("present")).otherwise(F.lit("missing")).alias("status"))
     if not with_total:
         return out
     total = out.agg(
         F.lit("total").alias(period_col),
-        F.sum("files").cast("bigint").alias("files"),
-        F.sum("bytes").cast("bigint").alias("bytes"),
+        F.sum("files").cast(LongType()).alias("files"),
+        F.sum("bytes").cast(LongType()).alias("bytes"),
         F.format_string("%d/%d present", F.sum(F.when(F.col("status") == "present", 1).otherwise(0)),
                         F.count(F.lit(1))).alias("status"))
     return out.unionByName(total)

@@ -10,6 +10,7 @@ filtered scan: filters go to Parquet, only the ~25 referenced columns are read.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import IntegerType
 
 from lakemart.functions import (bucket_by_membership, by_period, code_to_bool, eligible,
                                 harmonize, map_codes, rounded, row_mean)
@@ -50,7 +51,7 @@ def school_type(year: Column) -> Column:
 def stage_exam(bronze: DataFrame) -> DataFrame:
     """The 23-column staging projection of eligible rows."""
     src = bronze.where(staging_filter())
-    year = F.col("ano").cast("int")
+    year = F.col("ano").cast(IntegerType())
     return src.select(
         F.col("nu_inscricao"),
         F.col("nu_sequencial"),
@@ -65,7 +66,7 @@ def stage_exam(bronze: DataFrame) -> DataFrame:
         by_period(year, {2023: F.col("q006"), 2024: F.col("q007")}).alias("renda_familiar_cod"),
         F.col("q001").alias("escolaridade_pai_cod"),
         F.col("q002").alias("escolaridade_mae_cod"),
-        F.col("q005").cast("int").alias("pessoas_na_residencia"),
+        F.col("q005").cast(IntegerType()).alias("pessoas_na_residencia"),
         F.col("sg_uf_prova").alias("uf"),
         F.col("no_municipio_prova").alias("municipio"),
         bucket_by_membership("sg_uf_prova", V.REGIONS).alias("regiao"),

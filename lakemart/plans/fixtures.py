@@ -14,6 +14,7 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import IntegerType, LongType
 
 from lakemart.operators.schema import conform
 from lakemart.plans.exam.bronze import BRONZE_SCHEMA
@@ -122,9 +123,9 @@ def write_exam_raw(xb_columns: DataFrame, root: str, left_files: int | None = No
 
     opts = {"header": True, "sep": ";", "encoding": "ISO-8859-1"}
     shout = lambda cols: [F.col(c).alias(c.upper()) for c in cols]
-    xb = xb_columns.withColumn("nu_ano", F.col("ano").cast("long")) \
-                   .withColumn("co_municipio_prova", F.lit(None).cast("long")) \
-                   .withColumn("co_uf_prova", F.lit(None).cast("long"))
+    xb = xb_columns.withColumn("nu_ano", F.col("ano").cast(LongType())) \
+                   .withColumn("co_municipio_prova", F.lit(None).cast(LongType())) \
+                   .withColumn("co_uf_prova", F.lit(None).cast(LongType()))
     every = PARTICIPANT_COLS + RESULT_COLS + SHARED_COLS
     xb.where(F.col("ano") == "2023").select(*shout(every)).write.options(**opts).csv(f"{root}/ano=2023")
     y24 = xb.where(F.col("ano") == "2024")
@@ -133,7 +134,7 @@ def write_exam_raw(xb_columns: DataFrame, root: str, left_files: int | None = No
         .write.options(**opts).csv(f"{root}/ano=2024/participantes"))
     (y24.repartitionByRange(right_files, "nu_inscricao").sortWithinPartitions("nu_inscricao")
         .select(*shout(SHARED_COLS + RESULT_COLS),
-                F.repeat(F.lit("-"), (F.col("nu_inscricao") % 53).cast("int")).alias("PADDING"))
+                F.repeat(F.lit("-"), (F.col("nu_inscricao") % 53).cast(IntegerType())).alias("PADDING"))
         .write.options(**opts).csv(f"{root}/ano=2024/resultados"))
     return BronzeInputs(single={"2023": f"{root}/ano=2023"},
                         split={"2024": (f"{root}/ano=2024/participantes", f"{root}/ano=2024/resultados")})

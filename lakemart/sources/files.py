@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructType
 
 
 def read_delimited(spark: SparkSession, path, sep: str = ";", encoding: str = "ISO-8859-1",
@@ -104,7 +104,7 @@ def raw_inventory(spark: SparkSession, root: str, suffix: str = ".csv", period_k
            .select(F.nullif(F.regexp_extract("path", rf"{period_key}=([^/]+)", 1), F.lit("")).alias("period"),
                    F.col("path"),
                    F.lower(F.regexp_extract("path", r"([^/]+)$", 1)).alias("name"),
-                   F.col("length").cast("bigint").alias("length")))
+                   F.col("length").cast(LongType()).alias("length")))
     if require and inv.limit(1).count() == 0:
         raise FileNotFoundError(f"no {suffix} files under {root}")
     return inv
