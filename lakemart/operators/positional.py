@@ -92,6 +92,12 @@ def zip_by_position(left: DataFrame, right: DataFrame,
                     prepare=None) -> DataFrame:
     """Pair row *i* of ``left`` with row *i* of ``right`` (both as read from files).
 
+    Each side may be one file or a folder; rows are numbered in
+    lexicographic path order, then by position inside each file (so a
+    folder written by Spark — ``part-00000…`` — keeps its write order).
+    Records must not span lines (``multiLine`` off); blank lines are skipped
+    by the reader, which the equal-count check would expose.
+
     ``prepare`` (optional) is applied to each side after indexing (e.g.
     ``lower_names``).  Columns of ``right`` that ``left`` also has are dropped
     (``expected_overlap`` guards against surprises).  Unequal row counts raise
