@@ -139,12 +139,15 @@ def s09(spark, sf_dir):
 
 @register("s10_raw_inventory")
 def s10(spark, sf_dir):
+    """Releases unpacked per year: data CSVs under DADOS/, documentation
+    elsewhere; only CSVs inside DADOS/ are inventoried."""
     root = scratch_path(spark, "raw_zone")
-    write_csv(table(spark, sf_dir, "region"), f"{root}/ano=2023/region")
-    write_csv(table(spark, sf_dir, "nation"), f"{root}/ano=2024/nation")
-    write_csv(table(spark, sf_dir, "supplier"), f"{root}/ano=2024/supplier")
-    table(spark, sf_dir, "region").select("r_name").write.text(f"{root}/ano=2024/notes")
-    return raw_inventory(spark, root)
+    write_csv(table(spark, sf_dir, "region"), f"{root}/ano=2023/DADOS/region")
+    write_csv(table(spark, sf_dir, "nation"), f"{root}/ano=2024/DADOS/nation")
+    write_csv(table(spark, sf_dir, "supplier"), f"{root}/ano=2024/DADOS/supplier")
+    write_csv(table(spark, sf_dir, "part"), f"{root}/ano=2024/LEIA-ME/part")
+    table(spark, sf_dir, "region").select("r_name").write.text(f"{root}/ano=2024/DADOS/notes")
+    return raw_inventory(spark, root, folder="dados")
 
 
 @register("s11_preview", "SELECT * FROM nation ORDER BY n_nationkey LIMIT 20")
