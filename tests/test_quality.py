@@ -81,3 +81,10 @@ def test_group_on_code_vs_label(spark):
     by_label = grouped_report(df, [label.alias("label")], {"n": n()}).collect()
     assert sorted((r["label"] or "", r["n"]) for r in by_code) == [("", 1), ("", 1), ("a", 1)]
     assert sorted((r["label"] or "", r["n"]) for r in by_label) == [("", 2), ("a", 1)]
+
+
+def test_observed_counts_on_the_write_pass(spark, scratch):
+    from lakemart.operators import observed
+    df, obs = observed(spark.range(0, 1234), "rows")
+    df.write.parquet(scratch("obs"))
+    assert obs.get["rows"] == 1234
