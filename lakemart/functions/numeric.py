@@ -12,15 +12,23 @@ from lakemart.functions.casts import _as_col
 
 
 def rounded(col, scale: int = 1) -> Column:
-    """``ROUND(x, scale)`` on a double, half away from zero on the scaled value.
-
-    Computed as ``round(x * 10^s) / 10^s`` — the rule of the SQL engines the
-    reports were written for — instead of rounding the decimal text of ``x``,
-    so ``1.005`` rounds to ``1.0`` as there.  Stays a built-in expression.
+    """``ROUND(x, scale)`` on a double: half away from zero on ``x * 10^s``.
+
+    This is the rule of the SQL engines the reports were written for
+    (``round(x * 10^s) / 10^s``; ``1.005`` → ``1.0``, ``-0.04`` → ``-0.0``),
+    not Spark's ``round``, which rounds the decimal text of ``x`` through a
+    ``BigDecimal`` per value.  Computed with plain double arithmetic — the
+    fractional part ``|v| % 1`` is exact — so it costs no more than a multiply
+    and stays inside generated code.
     """
     factor = float(10 ** scale)
-    # multiplying by a double literal already widens ints and decimals to double
-    return F.round(_as_col(col) * F.lit(factor), 0) / F.lit(factor)
+    x = _as_col(col)
+    v = x * F.lit(factor)
+    a = F.abs(v)
+    frac = a % F.lit(1.0)
+    magnitude = a - frac + F.when(frac >= F.lit(0.5), F.lit(1.0)).otherwise(F.lit(0.0))
+    return (F.when(a == F.lit(float("inf")), x)
+            .otherwise(F.signum(v) * magnitude / F.lit(factor)))
 
 
 def row_mean(cols: Sequence, scale: int | None = 1) -> Column:

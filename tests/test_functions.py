@@ -55,10 +55,12 @@ def test_bucket_by_membership(spark):
 
 
 def test_rounded_half_away_from_zero_on_scaled_value(spark):
-    df = spark.createDataFrame([(0.25,), (-2.25,), (1.005,), (2.675,), (0.15,), (None,)], "x double")
+    df = spark.createDataFrame([(0.25,), (-2.25,), (1.005,), (2.675,), (0.15,), (None,), (-0.04,),
+                                (0.049999999999999996,), (float("inf"),), (float("nan"),)], "x double")
     got = [r[0] for r in df.select(rounded("x", 1)).collect()]
     assert got[:2] == [0.3, -2.3]
     assert got[5] is None
+    assert str(got[6]) == "-0.0" and got[7] == 0.0 and got[8] == float("inf") and got[9] != got[9]
     two = [r[0] for r in df.select(rounded("x", 2)).collect()]
     assert two[2] == 1.0          # 1.005 * 100 is just below 100.5
 
