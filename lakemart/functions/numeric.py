@@ -11,24 +11,26 @@ from pyspark.sql.types import DoubleType
 from lakemart.functions.casts import _as_col
 
 
+_EXACT_INTEGERS = float(2 ** 52)   # every double at or above this magnitude is an integer
+
+
 def rounded(col, scale: int = 1) -> Column:
-    """``ROUND(x, scale)`` on a double: half away from zero on ``x * 10^s``.
+    """``ROUND(x, scale)`` on a double: half away from zero on ``v = x * 10^s``.
 
     This is the rule of the SQL engines the reports were written for
-    (``round(x * 10^s) / 10^s``; ``1.005`` → ``1.0``, ``-0.04`` → ``-0.0``),
-    not Spark's ``round``, which rounds the decimal text of ``x`` through a
-    ``BigDecimal`` per value.  Computed with plain double arithmetic — the
-    fractional part ``|v| % 1`` is exact — so it costs no more than a multiply
-    and stays inside generated code.
+    (``round(v) / 10^s``; ``1.005`` → ``1.0``, ``-0.04`` → ``-0.0``), not
+    Spark's ``round``, which rounds the decimal text of ``x`` through a
+    ``BigDecimal`` per value.  Plain double arithmetic: below 2^52
+    ``|v| - floor(|v|)`` is exact, above it ``v`` is already integral — so the
+    result is bit-identical to the engines' and stays in generated code.
     """
     factor = float(10 ** scale)
-    x = _as_col(col)
-    v = x * F.lit(factor)
+    v = _as_col(col) * F.lit(factor)
     a = F.abs(v)
-    frac = a % F.lit(1.0)
-    magnitude = a - frac + F.when(frac >= F.lit(0.5), F.lit(1.0)).otherwise(F.lit(0.0))
-    return (F.when(a == F.lit(float("inf")), x)
-            .otherwise(F.signum(v) * magnitude / F.lit(factor)))
+    whole = F.floor(a).cast(DoubleType())
+    magnitude = (F.when(a >= F.lit(_EXACT_INTEGERS), a)
+                 .otherwise(whole + F.when(a - whole >= F.lit(0.5), F.lit(1.0)).otherwise(F.lit(0.0))))
+    return F.signum(v) * magnitude / F.lit(factor)
 
 
 def row_mean(cols: Sequence, scale: int | None = 1) -> Column:
