@@ -52,6 +52,7 @@ def run_lakehouse(spark: SparkSession, cfg: LakehouseConfig) -> dict:
                                 accepted={"ano": [2023, 2024], "sexo": V.ACCEPTED_SEX}).collect()
     failed = [(r["rule"], r["column"], r["failures"]) for r in checks if not r["passed"]]
     tables: dict[str, DataFrame] = {}
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{cfg.database}`")
     for name, build in cfg.marts.items():
         tables[name] = as_table(build(staging, ordered=False), f"{cfg.database}.{name}",
                                 path=f"{cfg.marts_path.rstrip('/')}/{name}")

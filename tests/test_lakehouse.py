@@ -10,12 +10,13 @@ from conftest import SF_SMALL
 
 def test_lakehouse_runs_all_stages(spark, scratch):
     inputs = write_exam_raw(exam_bronze_columns(table(spark, SF_SMALL, "orders")), scratch("raw"))
-    cfg = LakehouseConfig(inputs=inputs, bronze_path=scratch("bronze"), marts_path=scratch("marts"))
+    cfg = LakehouseConfig(inputs=inputs, bronze_path=scratch("bronze"), marts_path=scratch("marts"),
+                          database="lm_marts")
     out = run_lakehouse(spark, cfg)
     assert out["bronze_rows"] == table(spark, SF_SMALL, "orders").count()
     assert out["gate_rows"] > 0
     assert all(r[3] for r in out["expectations"])
-    assert spark.table("default.mart_desigualdade").where(F.col("cor_raca") == "Não declarado").count() == 0
+    assert spark.table("lm_marts.mart_desigualdade").where(F.col("cor_raca") == "Não declarado").count() == 0
 
 
 def test_bronze_audit_rides_on_write(spark, scratch):
