@@ -49,9 +49,14 @@ def school_type(year: Column) -> Column:
 
 
 def stage_exam(bronze: DataFrame) -> DataFrame:
-    """The 23-column staging projection of eligible rows."""
-    src = bronze.where(staging_filter())
-    year = F.col("ano").cast(IntegerType())
+    """The 23-column staging projection of eligible rows.
+
+    The period is converted to an integer once (its own projection, kept
+    separate by the optimizer because five rules reuse it) and the rules
+    compare integers, as the modelled staging model does.
+    """
+    src = bronze.where(staging_filter()).select("*", F.col("ano").cast(IntegerType()).alias("_ano_int"))
+    year = F.col("_ano_int")
     return src.select(
         F.col("nu_inscricao"),
         F.col("nu_sequencial"),
