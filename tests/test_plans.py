@@ -51,3 +51,9 @@ def test_catalog_scan_prunes_partitions(spark, scratch):
     df = scan_periods(spark, "lm_test_bronze", ["2024"])
     assert "PartitionFilters" in formatted(df)
     assert df.count() == exam_bronze(spark, SF_SMALL).where(F.col("ano") == "2024").count()
+
+
+def test_staging_runs_in_whole_stage_codegen(spark):
+    text = formatted(stage_exam(exam_bronze(spark, SF_SMALL)))
+    projects = [l for l in text.splitlines() if l.startswith("(") and " Project " in l]
+    assert projects and all("[codegen id" in l for l in projects)
