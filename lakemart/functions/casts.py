@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
-from pyspark.sql.types import (ByteType, DataType, DecimalType, IntegerType, LongType,
+from pyspark.sql.types import (ByteType, DataType, IntegerType, LongType,
                                ShortType, StringType)
 
 _INTEGRAL = (ByteType, ShortType, IntegerType, LongType)
+# sign and digits before a decimal point: "-12.75" -> "-12"; no match -> "" -> NULL
+_INTEGRAL_PART = r"^([+-]?[0-9]+)[.][0-9]*$"
+_INTEGRAL_PART_SQL = _INTEGRAL_PART.replace("\\", "\\\\")
 
 
 def _as_col(c) -> Column:
@@ -16,15 +19,17 @@ def _as_col(c) -> Column:
 def lenient_cast(col, to: DataType, source: DataType | None = StringType()) -> Column:
     """Cast like a non-ANSI engine: bad input becomes NULL instead of an error.
 
-    For integral targets a decimal text such as ``"2.0"`` is accepted and
-    truncated (``coalesce(try_cast(x AS bigint), try_cast(try_cast(x AS
-    decimal(38,6)) AS bigint))``), surrounding blanks are ignored.  Pass
-    ``source`` = the input's type to skip the detour when it is not text.
+    For integral targets a decimal text such as ``"2.0"`` or ``"2.9999999"``
+    is accepted and truncated toward zero (``2``), as the non-ANSI cast does;
+    exponents, letters and out-of-range values give NULL; surrounding blanks
+    are ignored.  The fallback (digits before the point) is evaluated only for
+    values the plain cast rejects.  Pass ``source`` = the input's type to skip
+    the fallback when it is not text.
     """
     c = _as_col(col)
     if isinstance(to, _INTEGRAL) and (source is None or isinstance(source, StringType)):
         t = F.trim(c)
-        return F.coalesce(t.try_cast(to), t.try_cast(DecimalType(38, 6)).try_cast(to))
+        return F.coalesce(t.try_cast(to), F.regexp_extract(t, _INTEGRAL_PART, 1).try_cast(to))
     if isinstance(source, StringType) and not isinstance(to, StringType):
         return F.trim(c).try_cast(to)
     if source is not None and source == to:
@@ -37,7 +42,8 @@ def lenient_cast_sql(name: str, to: DataType, source: DataType | None = StringTy
     from lakemart.functions.sqlexpr import ident
     c, t = ident(name), to.simpleString()
     if isinstance(to, _INTEGRAL) and (source is None or isinstance(source, StringType)):
-        return f"coalesce(try_cast(trim({c}) AS {t}), try_cast(try_cast(trim({c}) AS decimal(38,6)) AS {t}))"
+        return (f"coalesce(try_cast(trim({c}) AS {t}), "
+                f"try_cast(regexp_extract(trim({c}), '{_INTEGRAL_PART_SQL}', 1) AS {t}))")
     if isinstance(source, StringType) and not isinstance(to, StringType):
         return f"try_cast(trim({c}) AS {t})"
     if source is not None and source == to:

@@ -81,3 +81,42 @@ def test_measures(spark):
     r = df.groupBy("k").agg(n().alias("n"), mean("v").alias("m"), count_where(F.col("f")).alias("c"),
                             share_where(F.col("f")).alias("s")).first()
     assert (r["n"], r["m"], r["c"], r["s"]) == (3, 1.5, 1, 33.3)
+
+
+def _non_ansi_long(s):
+    """Brute-force model of the non-ANSI text → bigint cast."""
+    import re
+    if s is None:
+        return None
+    t = s.strip(" ")
+    m = re.fullmatch(r"([+-]?[0-9]+)(\.[0-9]*)?", t)          # ASCII digits only
+    if not m:
+        return None
+    v = int(m.group(1))
+    return v if -2**63 <= v < 2**63 else None
+
+
+def test_lenient_cast_matches_non_ansi_model(spark):
+    from hypothesis import given, settings, strategies as st, HealthCheck
+    from lakemart.operators import conform
+    from pyspark.sql.types import StructField, StructType
+
+    texts = st.one_of(st.none(), st.text(alphabet=" 0123456789.+-ae", max_size=12),
+                      st.from_regex(r" ?[+-]?[0-9]{1,20}(\.[0-9]{0,9})? ?", fullmatch=True))
+
+    @settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(texts, min_size=50, max_size=200))
+    def check(values):
+        values = [v if v is None else v.replace("\n", " ").replace("\t", " ") for v in values]
+        df = spark.createDataFrame([(v,) for v in values], "x string")
+        col_path = [r[0] for r in df.select(lenient_cast("x", LongType())).collect()]
+        sql_path = [r[0] for r in conform(df, StructType([StructField("x", LongType())])).collect()]
+        want = [_non_ansi_long(v) for v in values]
+        assert col_path == want, [(v, g, w) for v, g, w in zip(values, col_path, want) if g != w][:5]
+        assert sql_path == want
+    check()
+
+
+def test_lenient_cast_truncates_long_fractions(spark):
+    df = spark.createDataFrame([("2.9999999",), ("-3.75",), ("12.",), ("1e3",), (".5",)], "x string")
+    assert [r[0] for r in df.select(lenient_cast("x", LongType())).collect()] == [2, -3, 12, None, None]
