@@ -32,7 +32,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A supplied table, resolved once per session (schema and file listing
     are reused like a catalog table's instead of being re-inferred per query)."""
     path = os.path.join(sf_dir, f"{name}.parquet")
-    key = (spark.sparkContext.applicationId, id(spark), path)
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 — sessions without a local SparkContext
+        app = None
+    key = (app, id(spark), path)
     df = _TABLES.get(key)
     if df is None:
         df = _TABLES[key] = spark.read.parquet(path)
