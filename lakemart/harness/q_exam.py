@@ -5,14 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
-from lakemart.functions import eligible, count_where
+from lakemart.functions import by_period, count_where, eligible, n, n_of, row_mean
 from lakemart.harness.common import exam_bronze, staging
 from lakemart.harness.registry import register
 from lakemart.harness.sqltext import MART_STATE_SQL, with_stg, with_xb
 from lakemart.operators.positional import positional_audit
 from lakemart.plans.exam import adhoc, marts
 from lakemart.plans.exam.staging import public_school, school_type
-from lakemart.functions import by_period, row_mean
 
 # ---------------------------------------------------------------- composite queries
 
@@ -256,7 +255,6 @@ def f09(spark, sf_dir):
 SELECT ano, COUNT(nu_nota_cn) AS graded_cn, COUNT(*) AS total FROM xb GROUP BY ano
 """))
 def a02(spark, sf_dir):
-    from lakemart.functions import n, n_of
     return exam_bronze(spark, sf_dir).groupBy("ano").agg(n_of("nu_nota_cn").alias("graded_cn"), n().alias("total"))
 
 
