@@ -155,3 +155,17 @@ def test_whole_lineitem_aligned_by_position(spark, scratch):
         r = z.agg(F.count(F.lit(1)).alias("n"),
                   F.sum(F.when(F.col("k").cast("long") * 3 != F.col("k3").cast("long"), 1).otherwise(0)).alias("bad")).first()
     assert (r["n"], r["bad"]) == (600000, 0)
+
+
+def test_split_bound_is_an_upper_bound(spark, scratch):
+    from lakemart.operators.positional import split_bound
+    base = scratch("bound")
+    spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet").coalesce(1) \
+        .write.option("header", True).csv(f"{base}/one")
+    spark.range(0, 2000).repartition(30).write.option("header", True).csv(f"{base}/tiny")
+    for max_bytes in (1 << 16, 1 << 20):
+        with small_splits(spark, max_bytes):
+            for name in ("one", "tiny"):
+                df = spark.read.option("header", True).csv(f"{base}/{name}")
+                actual = df.select("_metadata.file_path", "_metadata.file_block_start").distinct().count()
+                assert actual <= split_bound(df)
