@@ -120,3 +120,17 @@ def test_lenient_cast_matches_non_ansi_model(spark):
 def test_lenient_cast_truncates_long_fractions(spark):
     df = spark.createDataFrame([("2.9999999",), ("-3.75",), ("12.",), ("1e3",), (".5",)], "x string")
     assert [r[0] for r in df.select(lenient_cast("x", LongType())).collect()] == [2, -3, 12, None, None]
+
+
+def test_long_text_code_books_use_lookup_with_case_semantics(spark):
+    df = spark.createDataFrame([("A",), ("F",), ("Z",), (None,)], "c string")
+    book = {k: f"label {k}" for k in "ABCDEFG"}
+    got = [tuple(r) for r in df.select(map_codes("c", book).alias("a"),
+                                       map_codes("c", book, default="other").alias("b")).collect()]
+    assert got == [("label A", "label A"), ("label F", "label F"), (None, "other"), (None, "other")]
+    groups = {"g1": ["A", "B", "C"], "g2": ["C", "D", "E", "F"]}      # "C" in both: first group wins
+    plan_col = bucket_by_membership("c", groups)
+    assert "try_element_at" in str(plan_col)
+    got = [r[0] for r in spark.createDataFrame([("C",), ("F",), ("Q",), (None,)], "c string")
+           .select(plan_col).collect()]
+    assert got == ["g1", "g2", None, None]
