@@ -114,7 +114,7 @@ def zip_by_position(left: DataFrame, right: DataFrame,
         raise PositionalMismatch(f"positional join needs equal row counts: {n_left} vs {n_right}")
     if prepare is not None:
         lft, rgt = prepare(lft), prepare(rgt)
-    rgt = drop_overlap(lft, rgt, expected=None if expected_overlap is None else list(expected_overlap) ,
+    rgt = drop_overlap(lft, rgt, expected=None if expected_overlap is None else list(expected_overlap),
                        keep=[idx])
     return lft.join(rgt, idx, "inner").drop(idx)
 
