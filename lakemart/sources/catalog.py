@@ -13,14 +13,19 @@ def _ddl(schema: StructType) -> str:
 
 
 def register_table(spark: SparkSession, name: str, path: str, schema: StructType,
-                   partition_by: Sequence[str] = (), fmt: str = "parquet") -> DataFrame:
+                   partition_by: Sequence[str] = (), fmt: str = "parquet",
+                   replace: bool = True) -> DataFrame:
     """Declare an external table over ``path`` with a fixed schema and
     discover its partitions (S06).  The schema is declared, never re-inferred,
     so a partition column stays the declared type (e.g. a string period).
+
+    With ``replace=False`` an existing table is kept and only its partitions
+    are rediscovered — what a re-run after a new period landed needs.
     """
     parts = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} ({_ddl(schema)}) USING {fmt}{parts} LOCATION '{path}'")
+    if replace or not spark.catalog.tableExists(name):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"CREATE TABLE {name} ({_ddl(schema)}) USING {fmt}{parts} LOCATION '{path}'")
     if partition_by:
         spark.sql(f"MSCK REPAIR TABLE {name}")
     return spark.table(name)

@@ -57,3 +57,15 @@ def test_staging_runs_in_whole_stage_codegen(spark):
     text = formatted(stage_exam(exam_bronze(spark, SF_SMALL)))
     projects = [l for l in text.splitlines() if l.startswith("(") and " Project " in l]
     assert projects and all("[codegen id" in l for l in projects)
+
+
+def test_register_table_rediscovers_new_period(spark, scratch):
+    from pyspark.sql.types import StringType, StructField, StructType, LongType
+    schema = StructType([StructField("k", LongType()), StructField("ano", StringType())])
+    path = scratch("periods")
+    spark.createDataFrame([(1, "2023")], schema).write.partitionBy("ano").parquet(path)
+    register_table(spark, "lm_periods", path, schema, ["ano"])
+    assert [r[0] for r in spark.sql("SELECT DISTINCT ano FROM lm_periods").collect()] == ["2023"]
+    spark.createDataFrame([(2, "2024")], schema).write.mode("append").partitionBy("ano").parquet(path)
+    register_table(spark, "lm_periods", path, schema, ["ano"], replace=False)
+    assert sorted(r[0] for r in spark.sql("SELECT DISTINCT ano FROM lm_periods").collect()) == ["2023", "2024"]
