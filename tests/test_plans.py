@@ -69,3 +69,14 @@ def test_register_table_rediscovers_new_period(spark, scratch):
     spark.createDataFrame([(2, "2024")], schema).write.mode("append").partitionBy("ano").parquet(path)
     register_table(spark, "lm_periods", path, schema, ["ano"], replace=False)
     assert sorted(r[0] for r in spark.sql("SELECT DISTINCT ano FROM lm_periods").collect()) == ["2023", "2024"]
+
+
+def test_staging_method_fits_the_jit_limit(spark, scratch):
+    """HotSpot skips JIT compilation of methods above 8000 bytes of bytecode;
+    the fused staging stage over bronze must stay below it."""
+    path = scratch("bronze")
+    write_partitioned(exam_bronze(spark, SF_SMALL), path, "ano")
+    df = stage_exam(read_bronze(spark, path))
+    seq = df._jdf.queryExecution().debug().codegenToSeq()
+    sizes = [seq.apply(i)._3().maxMethodCodeSize() for i in range(seq.size())]
+    assert sizes and max(sizes) < 8000, sizes
