@@ -73,11 +73,12 @@ def write_csv(df: DataFrame, path: str, files: int | None = None, header: bool =
               sep: str = ",", encoding: str | None = None, mode: str = "overwrite") -> None:
     """CSV export with header.
 
-    ``files=None`` writes in parallel (one file per task).  ``files=1``
-    reproduces a single-file layout but serialises the write into one task —
-    use it only for small tables.
+    ``files=None`` writes in parallel (one file per task).  ``files=n``
+    reproduces an n-file layout; the upstream work stays parallel (a
+    ``repartition``, not a ``coalesce`` that would narrow the whole stage) and
+    only the write runs in n tasks — use small n only for small tables.
     """
-    out = df.coalesce(files) if files else df
+    out = df.repartition(files) if files else df
     w = out.write.mode(mode).option("header", header).option("sep", sep)
     if encoding:
         w = w.option("encoding", encoding)
