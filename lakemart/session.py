@@ -32,6 +32,9 @@ def build_session(master: str | None = None, app: str = "lakemart",
         "spark.ui.enabled": "false",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        # coalesce shuffles to the advisory size, not to "as many tasks as cores":
+        # fewer tiny post-shuffle tasks (Spark's advice for busy clusters)
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         # partition columns such as the period key stay strings unless a schema says otherwise
