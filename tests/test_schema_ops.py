@@ -89,3 +89,18 @@ def test_static_vs_dynamic_period_overwrite(spark, scratch):
     assert read() == [(1, "2023"), (3, "2024")]          # one period reloaded in place
     write_partitioned(spark.createDataFrame([(4, "2024")], "k int, ano string"), path, "ano")
     assert read() == [(4, "2024")]                       # static overwrite replaces every period
+
+
+def test_conform_keeps_listed_extras_and_casts_typed_sources(spark):
+    df = spark.createDataFrame([(2.9, 7, "x", "keep me")], "grade_d double, id int, missing string, note string")
+    out = conform(df.withColumnRenamed("grade_d", "grade"), TARGET, keep=["note"])
+    assert out.columns == ["id", "grade", "missing", "note"]
+    assert [f.dataType for f in out.schema.fields][:2] == [LongType(), DoubleType()]
+    assert tuple(out.first()) == (7, 2.9, "x", "keep me")
+
+
+def test_extend_and_pick_are_single_projections(spark):
+    from lakemart.operators import extend, pick
+    df = spark.createDataFrame([(1, 2)], "a int, b int")
+    out = pick(extend(df, c=F.col("a") + F.col("b")), ["c", "a"])
+    assert out.columns == ["c", "a"] and tuple(out.first()) == (3, 1)
