@@ -33,3 +33,20 @@ def test_top_list_ties_nulls(spark):
     assert len(got) == 20
     assert got[:3] == [("C", 5), ("A", 3), ("D", 3)]
     assert ("B", None) not in got
+
+
+def test_read_inferred_with_pinned_schema_and_sampling(spark, scratch):
+    from lakemart.sources import read_inferred, write_csv
+    df = spark.createDataFrame(ENTRIES, "Discipline string, Female int, Male int, Total int")
+    path = scratch("pinned")
+    write_csv(df, path, files=2)
+    pinned = read_inferred(spark, path, schema="Discipline string, Female long, Male long, Total long")
+    assert [f.dataType.simpleString() for f in pinned.schema.fields] == ["string", "bigint", "bigint", "bigint"]
+    sampled = read_inferred(spark, path, sampling_ratio=1.0)
+    assert sorted(tuple(r) for r in sampled.collect()) == sorted(ENTRIES)
+
+
+def test_preview_is_ordered_and_capped(spark):
+    from lakemart.sources import preview
+    df = spark.range(0, 100).selectExpr("99 - id AS k")
+    assert [r[0] for r in preview(df, 5, by="k").collect()] == [0, 1, 2, 3, 4]
