@@ -88,3 +88,11 @@ def test_observed_counts_on_the_write_pass(spark, scratch):
     df, obs = observed(spark.range(0, 1234), "rows")
     df.write.parquet(scratch("obs"))
     assert obs.get["rows"] == 1234
+
+
+def test_gate_without_raising_and_empty_union(spark):
+    from lakemart.operators import stack_periods
+    r = require_rows(spark.createDataFrame([], "a int"), "mart", raise_on_empty=False).first()
+    assert (r["table"], r["rows"], r["passed"]) == ("mart", 0, False)
+    with pytest.raises(ValueError):
+        stack_periods([])
