@@ -3,12 +3,13 @@
 import pytest
 
 import __spark_entry__ as E
+from lakemart.harness import ORACLE as HARNESS_SQL, QUERIES as HARNESS
 from oracle_check import compare, duck
 
 from conftest import SF_SMALL
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+E.queries()                 # loads the harness
+QUERIES, ORACLE = dict(HARNESS), dict(HARNESS_SQL)
 ROWS_ONLY = {"s10_raw_inventory", "d07_ingest_summary"}
 
 
@@ -21,6 +22,8 @@ def test_entry_runs(spark):
 def test_every_query_has_an_oracle_unless_rows_only():
     assert set(QUERIES) - set(ORACLE) == ROWS_ONLY
     assert set(ORACLE) <= set(QUERIES)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
+    assert set(E.oracle_sql()) <= set(E.queries())
 
 
 @pytest.fixture(scope="module")
