@@ -45,9 +45,9 @@ def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
               schema: StructType | str) -> DataFrame:
     """``mapInArrow`` with batches bounded in bytes as well as in rows, so a run
     of very long texts cannot exceed a worker's memory."""
-    spark = df.sparkSession
-    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", str(2**63 - 1)) in (str(2**63 - 1), "9223372036854775807b", "-1"):
-        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get("spark.sql.execution.arrow.maxBytesPerBatch").rstrip("bB")) <= BATCH_BYTES:
+        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return df.mapInArrow(fn, schema)
 
 

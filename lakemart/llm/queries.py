@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakemart.llm import mixing, reputation, revisits, sharding
+from lakemart.llm import contamination, mixing, reputation, revisits, sharding, simhash
 from lakemart.llm.common import load, text_crc32, utf8_bytes, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -208,3 +208,41 @@ def op3_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = revisits.resolve_revisits(capture_records(load(spark, sf_dir, "pages").select("page_id", "url", "html")))
     lines = F.array_join(F.array_sort(F.transform(F.map_entries("headers"), lambda e: F.concat(e["key"], F.lit(": "), e["value"]))), "\n")
     return r.withColumn("merged_headers", lines).drop("headers")
+
+
+OP9_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (
+  SELECT item_id::VARCHAR AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bw AS (
+  SELECT DISTINCT item, least(13, len(w)) AS k, array_to_string(w[i:i + least(13, len(w)) - 1], ' ') AS win
+  FROM b, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS t(i) WHERE len(w) > 0),
+ks AS (SELECT DISTINCT k FROM bw),
+dw AS (
+  SELECT doc_id, k, i, array_to_string(w[i:i + k - 1], ' ') AS win
+  FROM d, ks, unnest(range(1, greatest(len(w) - k + 1, 0) + 1)) AS t(i)),
+hits AS (SELECT dw.doc_id, dw.i, dw.k, bw.item FROM dw JOIN bw USING (k, win)),
+cov AS (SELECT doc_id, count(DISTINCT i + j) AS n_hit FROM hits, unnest(range(k)) AS t(j) GROUP BY doc_id),
+its AS (SELECT doc_id, count(DISTINCT item) AS n_items, array_to_string(list_sort(list(DISTINCT item)), ',') AS items FROM hits GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN cov USING (doc_id) LEFT JOIN its USING (doc_id)
+"""
+
+
+@register("op9_decontamination", OP9_SQL)
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    found = contamination.contaminated(docs, load(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items",
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+@register("op7_simhash")
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.near_duplicates(docs).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
