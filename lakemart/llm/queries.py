@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakemart.llm import contamination, mixing, reputation, revisits, sharding, simhash
+from lakemart.llm import contamination, mixing, repair, reputation, revisits, sharding, simhash
 from lakemart.llm.common import load, text_crc32, utf8_bytes, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -246,3 +246,14 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     return simhash.near_duplicates(docs).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+@register("op1_repair_tokens")
+def op1_repair_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shards = repair.write_shards(load(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
+    return repair.read_documents(shards)

@@ -41,9 +41,9 @@ def place(sized: DataFrame, n_shards: int) -> DataFrame:
     order = [F.asc_nulls_first("doc_id"), F.col("size"), F.col("text_crc32")]
     parts = range_parts(sized.withColumn("_lm_one", F.lit(1).cast("long")), order, "shards")
     placed = prefix_sums(parts, order, {"_lm_before": "size", "_lm_index": "_lm_one"})
-    total = parts.agg(F.sum("size").alias("_lm_total"))              # one row
-    interval = F.expr(f"({n_shards} * (2 * _lm_before + size)) div (2 * _lm_total)")
-    placed = placed.join(F.broadcast(total)).withColumn("shard", F.least(interval, F.lit(n_shards - 1)).cast("int"))
+    total = parts.agg(F.sum("size")).first()[0] or 1                 # one number; the table is on disk already
+    interval = F.expr(f"({n_shards} * (2 * _lm_before + size)) div {2 * total}L")
+    placed = placed.withColumn("shard", F.least(interval, F.lit(n_shards - 1)).cast("int"))
     first = placed.groupBy("shard").agg(F.min("_lm_index").alias("_lm_first"))   # at most n_shards rows
     return (placed.join(F.broadcast(first), "shard")
             .withColumn("slot", F.col("_lm_index") - F.col("_lm_first"))
