@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -51,6 +52,19 @@ def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
     return df.mapInArrow(fn, schema)
 
 
+@contextlib.contextmanager
+def shuffle_cleanup(spark: SparkSession):
+    """Inside the block, shuffle files go as soon as the query that wrote them has ended
+    (everything kept is written to tables), instead of waiting for the driver's garbage collection."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before) if before is not None else spark.conf.unset(key)
+
+
 def plain_columns(df: DataFrame, names: list[str], label: str) -> None:
     """Raise when an operator's reserved working columns already exist in its input."""
     taken = {c.lower() for c in df.columns} & {n.lower() for n in names}
@@ -59,4 +73,4 @@ def plain_columns(df: DataFrame, names: list[str], label: str) -> None:
 
 
 __all__ = ["WORD", "BATCH_BYTES", "load", "ascii_lower", "word_count", "utf8_bytes", "text_crc32", "map_arrow",
-           "plain_columns", "materialize"]
+           "plain_columns", "shuffle_cleanup", "materialize"]

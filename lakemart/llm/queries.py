@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakemart.llm import contamination, mixing, repair, reputation, revisits, sharding, simhash
+from lakemart.llm import contamination, mixing, repair, reputation, revisits, sharding, simhash, suffixes
 from lakemart.llm.common import load, text_crc32, utf8_bytes, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -257,3 +257,12 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 def op1_repair_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = repair.write_shards(load(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
     return repair.read_documents(shards)
+
+
+@register("op10_suffix_dedup")
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffixes.remove_repeats(load(spark, sf_dir, "documents").select("doc_id", "text"))
+    runs = F.transform("removed", lambda r: r["end"] - r["start"])
+    return cut.select("doc_id", utf8_bytes(F.col("text")).alias("n_bytes"),
+                      F.aggregate(runs, F.lit(0).cast("long"), lambda a, x: a + x).alias("n_removed"),
+                      F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
