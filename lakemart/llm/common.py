@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import contextlib
+import os
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+import lakemart
 from lakemart.session import materialize
 
 #: A word of the contracts: a run of anything but ASCII white space.
@@ -49,9 +52,18 @@ def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
     conf = df.sparkSession.conf
     if not 0 < int(conf.get("spark.sql.execution.arrow.maxBytesPerBatch").rstrip("bB")) <= BATCH_BYTES:
         conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    _workers_find_package(df.sparkSession)
     return df.mapInArrow(fn, schema)
 
 
+def _workers_find_package(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the package from where the driver did (on a cluster it is
+    installed or sent with ``--py-files`` like any other; the extra path does no harm there)."""
+    env, root = spark.sparkContext.environment, str(Path(lakemart.__file__).resolve().parents[1])
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH")]))
+
+
 @contextlib.contextmanager
 def shuffle_cleanup(spark: SparkSession):
     """Inside the block, shuffle files go as soon as the query that wrote them has ended

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lakemart.llm import contamination, mixing, repair, reputation, revisits, sharding, simhash, suffixes
+from lakemart.llm import contamination, mixing, repair, reputation, revisits, sharding, simhash, suffixes, toxicity
 from lakemart.llm.common import load, text_crc32, utf8_bytes, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -266,3 +266,15 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", utf8_bytes(F.col("text")).alias("n_bytes"),
                       F.aggregate(runs, F.lit(0).cast("long"), lambda a, x: a + x).alias("n_removed"),
                       F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def held_out(doc_id) -> Column:
+    """Documents whose labels are never learnt from."""
+    return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 == 0
+
+
+@register("op5_toxicity")
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, load(spark, sf_dir, "labels").where(~held_out(F.col("doc_id"))))
+    return toxicity.score_documents(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", "evidence")
