@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lakemart.llm import contamination, mixing, repair, reputation, revisits, sharding, simhash, suffixes, toxicity
+from lakemart.llm import contamination, mixing, perplexity, repair, reputation, revisits, sharding, simhash, suffixes, toxicity
 from lakemart.llm.common import load, text_crc32, utf8_bytes, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -278,3 +278,9 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, load(spark, sf_dir, "labels").where(~held_out(F.col("doc_id"))))
     return toxicity.score_documents(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", "evidence")
+
+
+@register("op6_perplexity")
+def op6_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = perplexity.judge_quality(load(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "log_perplexity")
