@@ -77,12 +77,12 @@ def shuffle_cleanup(spark: SparkSession):
         spark.conf.set(key, before) if before is not None else spark.conf.unset(key)
 
 
-def plain_columns(df: DataFrame, names: list[str], label: str) -> None:
-    """Raise when an operator's reserved working columns already exist in its input."""
-    taken = {c.lower() for c in df.columns} & {n.lower() for n in names}
-    if taken:
-        raise ValueError(f"{label}: input already has reserved columns {sorted(taken)}")
+def own_names(df: DataFrame, names: list[str]) -> DataFrame:
+    """``df`` without the columns whose names (in any case) an operator needs for its result or its work: the
+    operator's columns replace them."""
+    taken = {n.lower() for n in names}
+    return df.select(*(F.col(f"`{c}`") for c in df.columns if c.lower() not in taken))
 
 
 __all__ = ["WORD", "BATCH_BYTES", "load", "ascii_lower", "word_count", "utf8_bytes", "text_crc32", "map_arrow",
-           "plain_columns", "shuffle_cleanup", "materialize"]
+           "own_names", "shuffle_cleanup", "materialize"]

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
-from lakemart.llm.common import map_arrow, materialize, plain_columns
+from lakemart.llm.common import map_arrow, materialize, own_names
 
 WINDOW = 13
 #: Characters of patterns in one automaton.
@@ -103,7 +103,7 @@ def contaminated(docs: DataFrame, bench: DataFrame, window: int = WINDOW, automa
                  share: int = SHARE) -> DataFrame:
     """``docs`` (with ``text``) plus ``n_words``, ``n_hit``, ``n_items``, ``items`` (ids, sorted), ``contaminated`` and
     ``hit_spans`` (character ranges of the original text, end exclusive)."""
-    plain_columns(docs, _WORK, "contaminated")
+    docs = own_names(docs, _WORK)
     spark = docs.sparkSession
     patterns = materialize(item_windows(bench, window), "bench-windows")
     chars = patterns.agg(F.sum(F.length("pattern"))).first()[0] or 0

@@ -27,7 +27,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from lakemart.llm.common import materialize, plain_columns, text_crc32, word_count
+from lakemart.llm.common import materialize, own_names, text_crc32, word_count
 from lakemart.llm.prefix import PART, prefix_sums, range_parts
 
 #: Weights of the sources in code point order, repeating.
@@ -66,7 +66,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epo
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
     """``docs`` (``doc_id``, ``text``, ``source``) plus ``size``, ``source_size``, ``target`` and ``taken`` (words)."""
-    plain_columns(docs, _WORK, "mix")
+    docs = own_names(docs, _WORK)
     return take(docs.withColumns({"size": word_count(F.col("text")), "_lm_crc": text_crc32(F.col("text"))}),
                 weights, max_epochs, seed).drop("_lm_crc")
 

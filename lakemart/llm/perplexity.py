@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from lakemart.llm.common import map_arrow, materialize, plain_columns
+from lakemart.llm.common import map_arrow, materialize, own_names
 
 ORDER = 5
 #: Entries of orders 3 to 5 in one slice of the model.
@@ -346,7 +346,7 @@ def perplexities(docs: DataFrame, model: DataFrame, slices: int) -> DataFrame:
 
 def judge_quality(docs: DataFrame, fence: float = FENCE, slice_entries: int = SLICE) -> DataFrame:
     """``docs`` (``text``, ``lang``) without the text, plus the base metrics, ``base_failed``, ``log_perplexity`` and ``kept``."""
-    plain_columns(docs, [*_BASE, *_LM, "base_failed", "log_perplexity", "kept", "_lm_lang", "_lm_low", "_lm_high"], "judge_quality")
+    docs = own_names(docs, [*_BASE, *_LM, "base_failed", "log_perplexity", "kept", "_lm_lang", "_lm_low", "_lm_high"])
     named = docs.withColumn("_lm_lang", F.coalesce(F.concat(F.lit("l:"), F.col("lang")), F.lit("none")))
     grams, contexts = kneser_ney(named.select(F.col("_lm_lang").alias("lang"), "text"))
     model, slices = store(grams, contexts, slice_entries)

@@ -12,14 +12,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lakemart.session import materialize
+from lakemart.llm.common import materialize, shuffle_cleanup
 
 PART = "_lm_part"
 
 
 def range_parts(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     """``df`` in range partitions of ``order``, with the partition number, written once."""
-    return materialize(df.repartitionByRange(*order).withColumn(PART, F.spark_partition_id()), name)
+    with shuffle_cleanup(df.sparkSession):
+        return materialize(df.repartitionByRange(*order).withColumn(PART, F.spark_partition_id()), name)
 
 
 def prefix_sums(parts: DataFrame, order: list[Column], sums: dict[str, str], group: str | None = None) -> DataFrame:

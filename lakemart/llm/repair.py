@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from lakemart.llm.common import map_arrow, materialize
+from lakemart.llm.common import map_arrow, materialize, shuffle_cleanup
 
 END_ID = 1
 SHARD_TOKENS = 1 << 20
@@ -298,9 +298,10 @@ def write_shards(docs: DataFrame, tokenizer: str, path: str | None = None, end_i
     ranged = docs.select("doc_id", "text").repartitionByRange(*order).sortWithinPartitions(*order)
     schema = f"part int, seq int, doc_ids array<{kind}>, n_tokens long, payload binary"
     shards = map_arrow(ranged, _write(tokenizer, end_id, shard_tokens), schema)
-    if path is None:
-        return materialize(shards, "token-shards")
-    shards.write.parquet(path)
+    with shuffle_cleanup(docs.sparkSession):
+        if path is None:
+            return materialize(shards, "token-shards")
+        shards.write.parquet(path)
     return docs.sparkSession.read.schema(shards.schema).parquet(path)
 
 

@@ -30,7 +30,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lakemart.llm.common import ascii_lower, materialize, plain_columns
+from lakemart.llm.common import ascii_lower, materialize, own_names
 
 #: Public suffixes of two labels (parameter); every other host's suffix is its last label.
 TWO_LABEL_SUFFIXES = ("ac.uk", "co.jp", "co.nz", "co.uk", "com.au", "com.br", "org.uk")
@@ -114,7 +114,7 @@ def judge_pages(pages: DataFrame, labels: DataFrame, rules: dict[str, str], max_
 
     A page is labelled by the document that the last number of its path names.
     """
-    plain_columns(pages, _WORK, "judge_pages")
+    pages = own_names(pages, _WORK)
     p = pages.withColumns({"host": url_host(F.col("url")), "path": url_path(F.col("url"))})
     doc = F.try_to_number(F.nullif(F.regexp_extract("path", r"/([0-9]{1,18})(?:\.[a-z]+)?/?$", 1), F.lit("")), F.lit("9" * 18)).cast("long")
     bad = F.when(F.col("quality").isNull() & F.col("toxic").isNull(), None).otherwise(

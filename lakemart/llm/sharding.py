@@ -13,14 +13,14 @@ copies may be larger than a shard), which the law does not ask for.
 Defined cases: a null text has size ``overhead``; a null id sorts first;
 repeated rows are placed like any other; an empty table gives an empty
 result; with fewer documents than shards some shards stay empty (numbers are
-not shifted).  Other columns are carried along; the working names below are reserved.
+not shifted).  Other columns are carried along; a column with a name of the result is replaced.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from lakemart.llm.common import plain_columns, text_crc32, utf8_bytes
+from lakemart.llm.common import own_names, text_crc32, utf8_bytes
 from lakemart.llm.prefix import PART, prefix_sums, range_parts
 
 #: Bytes counted for a document besides its text.
@@ -31,7 +31,7 @@ _WORK = ["shard", "slot", "size", "text_crc32", "_lm_before", "_lm_index", "_lm_
 def assign_shards(docs: DataFrame, n_shards: int, overhead: int = OVERHEAD) -> DataFrame:
     """``docs`` (with ``doc_id`` and ``text``) plus ``size``, ``text_crc32``, ``shard`` and ``slot``
     (position inside the shard, gapless from 0)."""
-    plain_columns(docs, _WORK, "assign_shards")
+    docs = own_names(docs, _WORK)
     return place(docs.withColumns({"size": utf8_bytes(F.col("text")) + overhead,
                                    "text_crc32": text_crc32(F.col("text"))}), n_shards)
 

@@ -35,7 +35,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lakemart.llm.common import map_arrow, materialize
+from lakemart.llm.common import map_arrow, materialize, own_names
 
 SHINGLE = 3
 MAX_BITS = 3
@@ -185,6 +185,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """``docs`` with one document of each component; of equal rows (same id and text) one stays."""
+    docs = own_names(docs, ["_lm_id", "_lm_text"])
     keep = materialize(near_duplicates(docs, shingle, max_bits).where("stays")
                        .select(F.col("doc_id").alias("_lm_id"), F.col("text_key").alias("_lm_text")).distinct(), "simhash-keep")
     keyed = docs.withColumn("_lm_text", text_key(F.col("text"))).withColumn("_lm_id", F.col("doc_id"))

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
-from lakemart.llm.common import map_arrow, materialize, plain_columns, shuffle_cleanup
+from lakemart.llm.common import map_arrow, materialize, own_names, shuffle_cleanup
 
 LENGTH = 50
 GRAM = 20
@@ -298,7 +298,7 @@ def repeat_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Dat
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """``docs`` (``doc_id``, ``text``) plus ``removed`` (byte ranges, end exclusive) and ``kept`` (the remaining bytes)."""
-    plain_columns(docs, _WORK, "remove_repeats")
+    docs = own_names(docs, _WORK)
     keyed = docs.withColumns({"_lm_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)),
                               "_lm_th": F.shiftrightunsigned(F.xxhash64("text"), 46).cast("int")})
     spans = repeat_spans(keyed.select(F.col("_lm_id").alias("id"), F.col("_lm_th").alias("th"), "text"), length, gram)
