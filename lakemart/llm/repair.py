@@ -293,9 +293,9 @@ def write_shards(docs: DataFrame, tokenizer: str, path: str | None = None, end_i
                  shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """Write the token file of ``docs`` (``doc_id``, ``text``) and return it as read back: one row per shard with
     ``part``, ``seq`` (order inside the part), ``doc_ids``, ``n_tokens`` and ``payload``."""
-    order = [F.asc_nulls_first("doc_id"), F.asc_nulls_first("text")]
+    order = [F.asc_nulls_first("doc_id"), F.asc_nulls_first("text")]    # range bounds are sampled from ids only, not from texts
     kind = docs.schema["doc_id"].dataType.simpleString()
-    ranged = docs.select("doc_id", "text").repartitionByRange(*order).sortWithinPartitions(*order)
+    ranged = docs.select("doc_id", "text").repartitionByRange(order[0]).sortWithinPartitions(*order)
     schema = f"part int, seq int, doc_ids array<{kind}>, n_tokens long, payload binary"
     shards = map_arrow(ranged, _write(tokenizer, end_id, shard_tokens), schema)
     with shuffle_cleanup(docs.sparkSession):
