@@ -46,10 +46,10 @@ from lakemart.llm.common import map_arrow, materialize, shuffle_cleanup
 END_ID = 1
 SHARD_TOKENS = 1 << 20
 #: A pair is replaced in a round if its count is at least the top count divided by this.
-BAND = 8
-MIN_COUNT = 16
+BAND = 16
+MIN_COUNT = 24
 #: Words a worker keeps encoded before it starts anew.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 750_000
 _MAGIC = b"RPG1"
 _HEAD = struct.Struct("<4sIIIHxx")
 
