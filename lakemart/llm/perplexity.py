@@ -174,8 +174,8 @@ def _slice_of(pair: np.ndarray, slices: int) -> np.ndarray:
 
 
 def store(grams: DataFrame, contexts: DataFrame, slice_entries: int = SLICE) -> tuple[DataFrame, int]:
-    """The model as sorted hash arrays: rows (``slice``, ``size`` = characters, ``kind``, ``keys``, ``values``), and the number of slices
-    (``slice`` -1: in all)."""
+    """The model as sorted hash arrays: rows (``slice``, ``size`` = characters, ``kind``, ``chunk`` = high byte of the hash,
+    ``keys`` and ``values`` as little-endian uint64 and float64), and the number of slices (``slice`` -1: in all)."""
     both = grams.withColumn("kind", F.lit("p")).union(contexts.withColumn("kind", F.lit("b")))
     entries = both.where(F.length("gram") >= 2).count()
     slices = max(1, -(-entries // slice_entries))
@@ -201,10 +201,16 @@ def store(grams: DataFrame, contexts: DataFrame, slice_entries: int = SLICE) ->
                                              names=["slice", "size", "kind", "key", "value"])
 
     addressed = map_arrow(both.select("lang", "gram", "value", "kind"), address, "slice long, size int, kind string, key long, value double")
-    pairs = F.sort_array(F.collect_list(F.struct("key", "value")))
-    table = addressed.groupBy("slice", "size", "kind").agg(pairs.alias("e")).select(
-        "slice", "size", "kind", F.col("e.key").alias("keys"), F.col("e.value").alias("values"))
-    return materialize(table, "lm-store"), slices
+    pairs = F.sort_array(F.collect_list(F.struct("key", "value")))  # a 256th of a slice at most: bounded
+    table = addressed.groupBy("slice", "size", "kind", F.shiftrightunsigned("key", 56).alias("chunk")).agg(pairs.alias("e")).select(
+        "slice", "size", "kind", "chunk", F.col("e.key").alias("keys"), F.col("e.value").alias("values"))
+    return materialize(map_arrow(table, _as_binary, "slice long, size int, kind string, chunk long, keys binary, values binary"), "lm-store"), slices
+
+
+def _as_binary(batches):
+    for b in batches:
+        arrays = [pa.array([x.values.to_numpy().astype(kind).tobytes() for x in b.column(i)], pa.binary()) for i, kind in ((4, "<i8"), (5, "<f8"))]
+        yield pa.RecordBatch.from_arrays(b.columns[:4] + arrays, names=b.schema.names)
 
 
 class Part:
@@ -213,16 +219,13 @@ class Part:
     def __init__(self, rows: list):
         self.tables: dict[tuple[int, str], list] = {}
         for r in rows:
-            self.tables.setdefault((r["size"], r["kind"]), []).append((np.array(r["keys"], np.int64), np.array(r["values"], np.float64)))
+            self.tables.setdefault((r["size"], r["kind"]), []).append((r["chunk"], np.frombuffer(r["keys"], "<u8"), np.frombuffer(r["values"], "<f8")))
         for k, v in self.tables.items():
-            keys, values = (np.concatenate(x) for x in zip(*v))
-            keys = keys.view(np.uint64)
-            order = np.argsort(keys)
+            keys, values = (np.concatenate([x[i] for x in sorted(v, key=lambda x: x[0])]) for i in (1, 2))
             bits = max(1, min(24, int(len(keys)).bit_length()))
-            keys = keys[order]
             begin = np.searchsorted(keys, np.arange(1 << bits, dtype=np.uint64) << _U(64 - bits)).astype(np.int32)
             deep = int(np.diff(begin, append=len(keys)).max())
-            self.tables[k] = (np.concatenate([keys, [_U(2**64 - 1)]]), np.concatenate([values[order], [np.nan]]), begin, _U(64 - bits), deep)
+            self.tables[k] = (np.concatenate([keys, [_U(2**64 - 1)]]), np.concatenate([values, [np.nan]]), begin, _U(64 - bits), deep)
 
     def find(self, size: int, kind: str, key: np.ndarray) -> np.ndarray:
         """Value of each key; nan if it is not stored."""
@@ -298,9 +301,21 @@ def repeated_words(words: list[bytes], window: int = WINDOW) -> int:
     return int((np.cumsum(cover) > 0).sum())
 
 
+_open: dict[int, Part] = {}
+
+
+def _part(shared) -> Part:
+    """The slice of a broadcast, opened once per worker process (one at a time)."""
+    key = id(shared.value)
+    if key not in _open:
+        _open.clear()
+        _open[key] = Part(shared.value)
+    return _open[key]
+
+
 def _score(rows, k: int, slices: int, text_at: int, lang_at: int, base: bool):
     def score(batches):
-        part = Part(rows.value)
+        part = _part(rows)
         for b in batches:
             texts, langs = b.column(text_at).to_pylist(), b.column(lang_at).to_pylist()
             add, n = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
