@@ -17,7 +17,7 @@ from lakemart.session import materialize
 #: A word of the contracts: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes that one Arrow batch may hold, whatever the length of the texts in it.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
