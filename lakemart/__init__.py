@@ -12,7 +12,6 @@ Sub-packages:
                            ordering, data-quality checks)
 * ``lakemart.plans``     – the exam lakehouse (bronze → staging → marts), the
                            games notebook flows and the lakehouse runner
-* ``lakemart.streaming`` – intentionally empty (the modelled workload is batch)
 """
 
 from lakemart.session import build_session, scratch_path, ensure_checkpoint_dir

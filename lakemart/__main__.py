@@ -53,7 +53,8 @@ def main(argv=None) -> int:
     elif args.command == "lakehouse":
         from lakemart.plans.lakehouse import LakehouseConfig, run_lakehouse
         info = run_lakehouse(spark, LakehouseConfig(inputs=_inputs(args), bronze_path=args.bronze,
-                                                    marts_path=args.marts, database=args.database))
+                                                    marts_path=args.marts, database=args.database,
+                                                    dynamic=args.dynamic))
     else:
         from lakemart.plans.exam import adhoc
         from lakemart.plans.exam.bronze import read_bronze

@@ -7,9 +7,10 @@ from pyspark.sql.types import (ByteType, DataType, IntegerType, LongType,
                                ShortType, StringType)
 
 _INTEGRAL = (ByteType, ShortType, IntegerType, LongType)
-# sign and digits before a decimal point: "-12.75" -> "-12"; no match -> "" -> NULL
-_INTEGRAL_PART = r"^([+-]?[0-9]+)[.][0-9]*$"
-_INTEGRAL_PART_SQL = _INTEGRAL_PART.replace("\\", "\\\\")
+# A decimal text with everything the non-ANSI cast trims (blanks and control characters): sign, digits, point, digits.
+_EDGE = r"[\x00-\x20\x7F]*"
+_DECIMAL = rf"^{_EDGE}([+-]?)([0-9]*)[.][0-9]*{_EDGE}$"
+_WHOLE = "$1" + "0" + "$2"            # sign, then the whole part behind a zero: ".5" -> "0", "-12.7" -> "-012"
 
 
 def _as_col(c) -> Column:
@@ -19,19 +20,16 @@ def _as_col(c) -> Column:
 def lenient_cast(col, to: DataType, source: DataType | None = StringType()) -> Column:
     """Cast like a non-ANSI engine: bad input becomes NULL instead of an error.
 
-    For integral targets a decimal text such as ``"2.0"`` or ``"2.9999999"``
-    is accepted and truncated toward zero (``2``), as the non-ANSI cast does;
+    For integral targets a decimal text such as ``"2.0"``, ``".5"`` or ``"2.9999999"``
+    is accepted and truncated toward zero, as the non-ANSI cast does;
     exponents, letters and out-of-range values give NULL; surrounding blanks
-    are ignored.  The fallback (digits before the point) is evaluated only for
+    and control characters are ignored.  The fallback (the whole part) is evaluated only for
     values the plain cast rejects.  Pass ``source`` = the input's type to skip
     the fallback when it is not text.
     """
     c = _as_col(col)
     if isinstance(to, _INTEGRAL) and (source is None or isinstance(source, StringType)):
-        t = F.trim(c)
-        return F.coalesce(t.try_cast(to), F.regexp_extract(t, _INTEGRAL_PART, 1).try_cast(to))
-    if isinstance(source, StringType) and not isinstance(to, StringType):
-        return F.trim(c).try_cast(to)
+        return F.coalesce(c.try_cast(to), F.regexp_replace(c, _DECIMAL, _WHOLE).try_cast(to))
     if source is not None and source == to:
         return c
     return c.try_cast(to)
@@ -39,13 +37,10 @@ def lenient_cast(col, to: DataType, source: DataType | None = StringType()) -> C
 
 def lenient_cast_sql(name: str, to: DataType, source: DataType | None = StringType()) -> str:
     """``lenient_cast`` as Spark SQL text over column ``name`` (same semantics)."""
-    from lakemart.functions.sqlexpr import ident
+    from lakemart.functions.sqlexpr import ident, literal
     c, t = ident(name), to.simpleString()
     if isinstance(to, _INTEGRAL) and (source is None or isinstance(source, StringType)):
-        return (f"coalesce(try_cast(trim({c}) AS {t}), "
-                f"try_cast(regexp_extract(trim({c}), '{_INTEGRAL_PART_SQL}', 1) AS {t}))")
-    if isinstance(source, StringType) and not isinstance(to, StringType):
-        return f"try_cast(trim({c}) AS {t})"
+        return f"coalesce(try_cast({c} AS {t}), try_cast(regexp_replace({c}, {literal(_DECIMAL)}, '{_WHOLE}') AS {t}))"
     if source is not None and source == to:
         return c
     return f"try_cast({c} AS {t})"

@@ -11,26 +11,24 @@ from pyspark.sql.types import DoubleType
 from lakemart.functions.casts import _as_col
 
 
-_EXACT_INTEGERS = float(2 ** 52)   # every double at or above this magnitude is an integer
-
-
 def rounded(col, scale: int = 1) -> Column:
     """``ROUND(x, scale)`` on a double: half away from zero on ``v = x * 10^s``.
 
     This is the rule of the SQL engines the reports were written for
     (``round(v) / 10^s``; ``1.005`` → ``1.0``, ``-0.04`` → ``-0.0``), not
     Spark's ``round``, which rounds the decimal text of ``x`` through a
-    ``BigDecimal`` per value.  Plain double arithmetic: below 2^52
-    ``|v| - floor(|v|)`` is exact, above it ``v`` is already integral — so the
-    result is bit-identical to the engines' and stays in generated code.
+    ``BigDecimal`` per value.  ``rint`` is exact at every magnitude and rounds
+    ties to even; a tie it rounded down (``|v| - rint(|v|) = 0.5``) goes up by
+    one.  A value whose ``v`` is beyond the doubles is returned as it is, as the
+    engines do.  Bit-identical to them, and short enough for generated code.
     """
     factor = float(10 ** scale)
-    v = _as_col(col) * F.lit(factor)
+    x = _as_col(col)
+    v = x * F.lit(factor)
     a = F.abs(v)
-    whole = F.floor(a).cast(DoubleType())
-    magnitude = (F.when(a >= F.lit(_EXACT_INTEGERS), a)
-                 .otherwise(whole + F.when(a - whole >= F.lit(0.5), F.lit(1.0)).otherwise(F.lit(0.0))))
-    return F.signum(v) * magnitude / F.lit(factor)
+    near = F.rint(a)
+    magnitude = near + F.when(a - near == F.lit(0.5), F.lit(1.0)).otherwise(F.lit(0.0))
+    return F.when(a < F.lit(float("inf")), F.signum(v) * magnitude / F.lit(factor)).otherwise(x)
 
 
 def row_mean(cols: Sequence, scale: int | None = 1) -> Column:

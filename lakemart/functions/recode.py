@@ -15,29 +15,14 @@ from lakemart.functions.casts import _as_col
 from lakemart.functions.sqlexpr import ident, literal
 
 
-def _string_lookup(col: str, pairs, default) -> Column:
-    """``try_element_at(map literal, col)``: one hash-map probe instead of a
-    chain of string comparisons — much less generated code for long code
-    books (a missing or NULL key gives NULL, then ``default``)."""
-    entries = ", ".join(f"{literal(k)}, {literal(v)}" for k, v in pairs)
-    probe = f"try_element_at(map({entries}), CAST({ident(col)} AS STRING))"
-    return F.expr(f"coalesce({probe}, {literal(default)})" if default is not None else probe)
-
-
-_LOOKUP_MIN_ENTRIES = 6
-
-
 def map_codes(col, mapping: Mapping, default=None) -> Column:
-    """Simple CASE: ``CASE col WHEN k THEN v ... [ELSE default] END``.
+    """Simple CASE: ``CASE col WHEN k THEN v ... [ELSE default] END``, for a code book of any size.
 
-    Unmapped codes give ``default`` (NULL when omitted); a NULL code also
-    takes ``default``, exactly as a simple CASE with ELSE does.  With a column
-    *name* the CASE is sent as one SQL expression; long code books with text
-    codes and text labels become a single map lookup.
+    Codes are compared in the column's own type (a DOUBLE 2.0 meets the code
+    ``'2'``, an INT 1 the code ``'01'``).  Unmapped codes give ``default``
+    (NULL when omitted); a NULL code also takes ``default``, exactly as a
+    simple CASE with ELSE does.  With a column *name* the CASE is sent as one SQL expression.
     """
-    if (isinstance(col, str) and not isinstance(default, Column) and len(mapping) >= _LOOKUP_MIN_ENTRIES
-            and all(isinstance(k, str) and isinstance(v, str) for k, v in mapping.items())):
-        return _string_lookup(col, mapping.items(), default)
     if isinstance(col, str) and not isinstance(default, Column) and mapping:
         whens = " ".join(f"WHEN {ident(col)} = {literal(k)} THEN {literal(v)}" for k, v in mapping.items())
         tail = f" ELSE {literal(default)}" if default is not None else ""
@@ -54,6 +39,34 @@ def map_codes(col, mapping: Mapping, default=None) -> Column:
     return expr
 
 
+def lookup_text(name: str, mapping: Mapping[str, str], default: str | None = None) -> Column:
+    """The same result for a column *declared as text* with text codes, as one map
+    literal: much less generated code than a long CASE.  A column of another type is
+    refused by the analyzer (the map's keys are text), so the answer never depends on a hidden cast."""
+    entries = ", ".join(f"{literal(k)}, {literal(v)}" for k, v in mapping.items())
+    probe = f"try_element_at(map({entries}), {ident(name)})"
+    return F.expr(f"coalesce({probe}, {literal(default)})" if default is not None else probe)
+
+
+def lookup_dense(name: str, mapping: Mapping[int, str], default: str | None = None) -> Column:
+    """The same result for an integer column and a book of consecutive integer codes, as one array
+    literal and an index.  Codes that are not consecutive integers are refused."""
+    first, codes = min(mapping), sorted(mapping)
+    if any(type(c) is not int for c in codes) or codes != list(range(first, first + len(codes))):
+        raise ValueError("codes must be consecutive integers")
+    pick = f"get(array({', '.join(literal(mapping[c]) for c in codes)}), try_cast({ident(name)} - {first} AS INT))"
+    return F.expr(f"coalesce({pick}, {literal(default)})" if default is not None else pick)
+
+
+def members(groups: Mapping[str, Iterable]) -> dict:
+    """``{member: label}`` of a grouping; the first group that holds a member wins."""
+    out: dict = {}
+    for label, ms in groups.items():
+        for m in ms:
+            out.setdefault(m, label)
+    return out
+
+
 def harmonize(rules: Iterable[tuple[Column, object]], default=None) -> Column:
     """Searched CASE: first rule whose condition is true wins.
 
@@ -85,14 +98,6 @@ def code_to_bool(col, true_code=1, false_code=0) -> Column:
 
 def bucket_by_membership(col, groups: Mapping[str, Iterable], default=None) -> Column:
     """Label a value by the first group whose member list contains it."""
-    members_all = [m for ms in groups.values() for m in ms]
-    if (isinstance(col, str) and not isinstance(default, Column) and len(members_all) >= _LOOKUP_MIN_ENTRIES
-            and all(isinstance(m, str) for m in members_all) and all(isinstance(g, str) for g in groups)):
-        first = {}
-        for label, members in groups.items():          # first group wins, as in the CASE form
-            for m in members:
-                first.setdefault(m, label)
-        return _string_lookup(col, first.items(), default)
     if isinstance(col, str) and not isinstance(default, Column) and groups:
         whens = " ".join(f"WHEN {ident(col)} IN ({', '.join(literal(m) for m in members)}) THEN {literal(label)}"
                          for label, members in groups.items())

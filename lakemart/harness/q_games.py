@@ -8,7 +8,6 @@ from pyspark.sql.types import LongType
 from lakemart.functions import count_where, n
 from lakemart.harness.common import table
 from lakemart.harness.registry import register
-from lakemart.operators.aggregate import row_counts
 from lakemart.plans.games import entry_ratios, export_csv, load_tables, top_list
 from lakemart.session import scratch_path
 from lakemart.sources.files import write_csv
@@ -50,13 +49,27 @@ def m11(spark, sf_dir):
     return entry_ratios(loaded, {"Avg_Female": "Female", "Avg_Male": "Male"}, "Total")
 
 
-EXPORTED = ["supplier", "nation", "region", "customer", "part"]
+# every exported column of every table, brought to one row shape: (SQL text valid in both engines)
+EXPORTED = {
+    "supplier": "CAST(s_suppkey AS BIGINT), s_name, s_nationkey, CAST(NULL AS {text}), CAST(NULL AS {text}), s_acctbal",
+    "nation": "CAST(n_nationkey AS BIGINT), n_name, n_regionkey, CAST(NULL AS {text}), CAST(NULL AS {text}), CAST(NULL AS DOUBLE)",
+    "region": "CAST(r_regionkey AS BIGINT), r_name, CAST(NULL AS INTEGER), CAST(NULL AS {text}), CAST(NULL AS {text}), CAST(NULL AS DOUBLE)",
+    "customer": "CAST(c_custkey AS BIGINT), c_name, c_nationkey, c_mktsegment, CAST(NULL AS {text}), c_acctbal",
+    "part": "CAST(p_partkey AS BIGINT), p_name, p_size, p_brand, p_type, p_retailprice",
+}
+CELLS = ["id", "name", "number", "text1", "text2", "amount"]
 
 
-@register("m12_csv_export", "\nUNION ALL\n".join(
-    f"SELECT '{t}' AS table_name, COUNT(*) AS rows FROM {t}" for t in EXPORTED))
+@register("m12_csv_export", "SELECT * FROM (" + "\nUNION ALL\n".join(
+    f"SELECT '{t}', {cells.format(text='VARCHAR')} FROM {t}" for t, cells in EXPORTED.items())
+    + f") AS cells(table_name, {', '.join(CELLS)})")
 def m12(spark, sf_dir):
     tables = {t: table(spark, sf_dir, t) for t in EXPORTED}
     paths = export_csv(tables, scratch_path(spark, "m12"))
-    back = {t: spark.read.schema(tables[t].schema).option("header", True).csv(p) for t, p in paths.items()}
-    return row_counts(back).withColumnRenamed("table", "table_name")
+    out = None
+    for t, path in paths.items():
+        back = spark.read.schema(tables[t].schema).option("header", True).csv(path)
+        texts = EXPORTED[t].format(text="STRING").replace("INTEGER", "INT")
+        cells = back.selectExpr(f"'{t}' AS table_name", f"struct({texts}) AS c").select("table_name", "c.*").toDF("table_name", *CELLS)
+        out = cells if out is None else out.union(cells)
+    return out

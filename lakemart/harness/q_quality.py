@@ -9,10 +9,11 @@ from lakemart.harness.q_sources import ORDERS_BY_YEAR, _orders_bronze
 from lakemart.harness.registry import register
 from lakemart.harness.sqltext import MART_STATE_SQL, with_stg, with_xb
 from lakemart.operators.quality import (check_expectations, ingest_summary, missing_periods,
-                                        reconcile, require_rows)
+                                        reconcile, reconcile_rules, require_rows)
 from lakemart.plans.exam import vocab as V
 from lakemart.plans.exam.marts import mart_state
 from lakemart.session import scratch_path
+from lakemart.sources.catalog import register_table
 from lakemart.sources.files import raw_inventory, write_csv
 
 XB_NOT_NULL = ["nu_inscricao", "q007", "tp_escola", "tp_dependencia_adm_esc"]
@@ -70,8 +71,8 @@ SELECT ano FROM (VALUES {', '.join(f"('{y}')" for y in EXPECTED_YEARS)}) AS expe
 WHERE ano NOT IN (SELECT DISTINCT CAST(year(o_orderdate) AS VARCHAR) FROM orders)
 """)
 def d04(spark, sf_dir):
-    bronze = spark.read.schema(ORDERS_BY_YEAR).parquet(_orders_bronze(spark, sf_dir))
-    return missing_periods(bronze, "ano", EXPECTED_YEARS)
+    register_table(spark, "lm_d04_orders", _orders_bronze(spark, sf_dir), ORDERS_BY_YEAR, ["ano"])
+    return missing_periods(spark, "lm_d04_orders", "ano", EXPECTED_YEARS)
 
 
 @register("d05_row_reconciliation", """
@@ -84,12 +85,28 @@ def d05(spark, sf_dir):
     return reconcile(parts, whole)
 
 
-@register("d07_ingest_summary")
+@register("d05_reconcile_rules", """
+SELECT COUNT(*) AS parts_rows, COUNT(*) AS whole_rows, true AS balanced FROM orders
+""")
+def d05_rules(spark, sf_dir):
+    stored = spark.read.schema(ORDERS_BY_YEAR).parquet(_orders_bronze(spark, sf_dir))
+    return reconcile_rules(stored, {"early": F.col("ano") <= "1998", "late": F.col("ano") > "1998"})
+
+
+@register("d07_ingest_summary", """
+WITH per AS (
+  SELECT '2023' AS period, count(*) > 0 AS present FROM orders
+  UNION ALL SELECT '2024', count(*) > 0 FROM lineitem
+  UNION ALL SELECT '2025', false)
+SELECT period, present, CASE WHEN present THEN 'present' ELSE 'missing' END AS status FROM per
+UNION ALL SELECT 'total', true, count(*) FILTER (WHERE present) || '/' || count(*) || ' present' FROM per
+""")
 def d07(spark, sf_dir):
     root = scratch_path(spark, "raw_zone")
     write_csv(table(spark, sf_dir, "orders").select(*ORDER_COLS), f"{root}/ano=2023/orders")
     write_csv(table(spark, sf_dir, "lineitem"), f"{root}/ano=2024/lineitem")
-    return ingest_summary(raw_inventory(spark, root), ["2023", "2024", "2025"])
+    summary = ingest_summary(raw_inventory(spark, root), ["2023", "2024", "2025"])
+    return summary.select("period", ((F.col("files") > 0) & (F.col("bytes") > 0)).alias("present"), "status")
 
 
 @register("d04_missing_period_files", f"""

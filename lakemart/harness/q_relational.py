@@ -10,12 +10,12 @@ from lakemart.harness.common import ORDER_COLS, table
 from lakemart.harness.q_schema import PRIORITY_LABELS
 from lakemart.harness.registry import register
 from lakemart.operators.aggregate import grouped_report, row_counts
-from lakemart.operators.ordering import top_k, with_position
+from lakemart.operators.ordering import numbered, sorted_by, top_k, with_position
 from lakemart.operators.positional import zip_by_position
 from lakemart.operators.schema import conform
 from lakemart.operators.sets import stack_periods
-from lakemart.plans.fixtures import layout_files
-from lakemart.session import scratch_path
+from lakemart.plans.fixtures import LEFT_FILES, RIGHT_FILES
+from lakemart.session import Scratch, materialize, scratch_path
 from lakemart.sources.files import read_delimited
 
 ORDERS_FLAT = StructType([
@@ -30,27 +30,27 @@ ORDERS_FLAT = StructType([
 def write_positional_sides(spark, orders, base: str) -> tuple[str, str]:
     """orders in key order as two keyless CSV folders of different width and
     file count (narrow: key + status; wide: totals + padding)."""
-    narrow_files, wide_files = layout_files(orders.count())
     ordered = lambda k: orders.repartitionByRange(k, "o_orderkey").sortWithinPartitions("o_orderkey")
-    (ordered(narrow_files).select("o_orderkey", "o_custkey", "o_orderstatus")
+    (ordered(LEFT_FILES).select("o_orderkey", "o_custkey", "o_orderstatus")
      .write.option("header", True).option("sep", ";").csv(f"{base}/narrow"))
-    (ordered(wide_files).select("o_custkey", "o_totalprice", "o_orderpriority",
+    (ordered(RIGHT_FILES).select("o_custkey", "o_totalprice", "o_orderpriority",
                                 F.repeat(F.lit("#"), (F.col("o_orderkey") % 37).cast(IntegerType())).alias("padding"))
      .write.option("header", True).option("sep", ";").csv(f"{base}/wide"))
     return f"{base}/narrow", f"{base}/wide"
 
 
-def zip_orders(spark, narrow_path: str, wide_path: str):
+def zip_orders(spark, narrow_path: str, wide_path: str, scope: Scratch | None = None):
     """Re-align the two sides by position only and type the result."""
     narrow = read_delimited(spark, narrow_path, sep=";", encoding="UTF-8")
     wide = read_delimited(spark, wide_path, sep=";", encoding="UTF-8")
-    return conform(zip_by_position(narrow, wide, expected_overlap=["o_custkey"]), ORDERS_FLAT)
+    return conform(zip_by_position(narrow, wide, expected_overlap=["o_custkey"], scope=scope), ORDERS_FLAT)
 
 
 @register("j01_positional_join", f"SELECT {', '.join(ORDER_COLS)} FROM orders")
 def j01(spark, sf_dir):
-    sides = write_positional_sides(spark, table(spark, sf_dir, "orders"), scratch_path(spark, "j01"))
-    return zip_orders(spark, *sides)
+    with Scratch(spark) as scope:        # only the aligned result stays
+        sides = write_positional_sides(spark, table(spark, sf_dir, "orders"), scratch_path(spark, "j01", scope))
+        return materialize(zip_orders(spark, *sides, scope), "j01-result")
 
 
 @register("u01_union_by_name", f"SELECT {', '.join(ORDER_COLS)} FROM orders")
@@ -72,7 +72,7 @@ FROM lineitem GROUP BY l_returnflag, l_linestatus
 def o01(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
     g = li.groupBy("l_returnflag", "l_linestatus").agg(n().alias("n"), F.sum("l_quantity").alias("sum_qty"))
-    return with_position(g, ["l_returnflag", "l_linestatus"])
+    return numbered(sorted_by(g, ["l_returnflag", "l_linestatus"]))
 
 
 @register("o02_mixed_direction_sort", """
@@ -84,7 +84,7 @@ FROM (SELECT CAST(year(o_orderdate) AS INTEGER) AS order_year, o_orderpriority,
 def o02(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
     g = o.groupBy(F.year("o_orderdate").alias("order_year"), "o_orderpriority").agg(n().alias("n"))
-    return with_position(g, [F.col("order_year"), F.col("n").desc(), F.col("o_orderpriority")])
+    return numbered(sorted_by(g, [F.col("order_year"), F.col("n").desc(), F.col("o_orderpriority")]))
 
 
 @register("o03_sort_by_unprojected_key", """
@@ -98,9 +98,8 @@ SELECT priority_label, n, pos FROM (
 """)
 def o03(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
-    g = o.groupBy("o_orderpriority").agg(n().alias("n"))
-    return (with_position(g, ["o_orderpriority"])
-            .select(map_codes("o_orderpriority", PRIORITY_LABELS).alias("priority_label"), "n", "pos"))
+    return numbered(grouped_report(o, ["o_orderpriority"], {"n": n()}, order=["o_orderpriority"],
+                                   labels={"priority_label": map_codes("o_orderpriority", PRIORITY_LABELS)}))
 
 
 def size_band():
@@ -120,9 +119,8 @@ FROM (
 """)
 def o04(spark, sf_dir):
     p = table(spark, sf_dir, "part")
-    g = grouped_report(p, [size_band().alias("band")],
-                       {"n": n(), "media_tamanho": mean("p_size", as_double=True)})
-    return with_position(g, ["band"])
+    return numbered(grouped_report(p, [size_band().alias("band")],
+                                   {"n": n(), "media_tamanho": mean("p_size", as_double=True)}, order=["band"]))
 
 
 @register("o05_top_k", """
@@ -132,7 +130,19 @@ FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 20
 def o05(spark, sf_dir):
     top = top_k(table(spark, sf_dir, "orders"), "o_totalprice", 20, tie_break=["o_orderkey"],
                 cols=["o_orderkey", "o_totalprice"])
-    return with_position(top, [F.col("o_totalprice").desc(), F.col("o_orderkey")])
+    return numbered(top)
+
+
+@register("o06_global_positions", """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+       ROW_NUMBER() OVER (ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS pos
+FROM lineitem
+""")
+def o06(spark, sf_dir):
+    """Positions of a whole table: range-sorted, offsets from per-partition counts."""
+    li = table(spark, sf_dir, "lineitem")
+    out = with_position(li, ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"])
+    return out.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "pos")
 
 
 # ---------------------------------------------------------------- aggregation

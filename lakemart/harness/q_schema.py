@@ -29,14 +29,24 @@ PART_TARGET = StructType([
 
 
 @register("p02_conform", """
-SELECT p_partkey, p_name, p_brand, p_size, p_retailprice,
+SELECT p_partkey, p_name, p_brand,
+       CASE p_partkey % 8 WHEN 0 THEN p_size WHEN 1 THEN p_size WHEN 2 THEN p_size WHEN 3 THEN p_size
+         WHEN 4 THEN 0 WHEN 5 THEN 0 END::INTEGER AS p_size,
+       CASE WHEN p_partkey % 5 < 3 THEN p_retailprice END AS p_retailprice,
        CAST(NULL AS VARCHAR) AS p_container, CAST(NULL AS VARCHAR) AS p_comment
 FROM part
 """)
 def p02(spark, sf_dir):
     p = table(spark, sf_dir, "part")
-    # every column as text (as a raw CSV would deliver it), permuted, plus an extra one
-    as_text = p.select(*[F.col(c).cast(StringType()).alias(c) for c in reversed(p.columns)],
+    # every column as text (as a raw CSV would deliver it, unclean), permuted, plus an extra one
+    size, price = F.col("p_size").cast(StringType()), F.col("p_retailprice").cast(StringType())
+    k = F.col("p_partkey")
+    dirty = {"p_size": F.element_at(F.array(size, F.concat(size, F.lit(".0")), F.concat(F.lit(" \t"), size, F.lit("\n")),
+                                            F.concat(size, F.lit(".75\t")), F.lit(".5"), F.lit("-.7"), F.lit(""), F.lit("n/a")),
+                                    (k % 8).cast(IntegerType()) + 1),
+             "p_retailprice": F.element_at(F.array(price, F.concat(F.lit(" "), price), F.concat(price, F.lit("\t")), F.lit("  "), F.lit("free")),
+                                           (k % 5).cast(IntegerType()) + 1)}
+    as_text = p.select(*[dirty.get(c, F.col(c).cast(StringType())).alias(c) for c in reversed(p.columns)],
                        F.lit("x").alias("p_extra"))
     return conform(as_text, PART_TARGET)
 
@@ -71,13 +81,11 @@ def p06(spark, sf_dir):
 
 
 @register("p07_extend", """
-SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority,
-       CAST(year(o_orderdate) AS INTEGER) AS order_year
-FROM orders
+SELECT *, CAST(year(o_orderdate) AS INTEGER) AS order_year FROM orders
 """)
 def p07(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
-    return extend(o, order_year=F.year("o_orderdate")).drop("o_orderdate")
+    return extend(o, order_year=F.year("o_orderdate"))
 
 
 PRIORITY_LABELS = {"1-URGENT": "urgent", "2-HIGH": "high", "3-MEDIUM": "medium",
@@ -108,6 +116,21 @@ def p09(spark, sf_dir):
                      .alias("line_label"))
 
 
+# a long book with text codes over numbers: INT 1 meets '01', DOUBLE 2.0 meets '2'
+SIZE_BOOK = {f"{i:02d}": f"size {i}" for i in range(1, 28)}
+LINE_BOOK = {str(i): f"line {i}" for i in range(1, 8)}
+
+
+@register("p08_long_book_over_numbers", """
+SELECT p_partkey, CASE WHEN p_size <= 27 THEN 'size ' || p_size END AS size_label,
+       CASE WHEN p_partkey % 9 BETWEEN 1 AND 7 THEN 'line ' || (p_partkey % 9) ELSE 'other' END AS line_label
+FROM part
+""")
+def p08_numbers(spark, sf_dir):
+    p = table(spark, sf_dir, "part").withColumn("line", (F.col("p_partkey") % 9).cast(DoubleType()))
+    return p.select("p_partkey", map_codes("p_size", SIZE_BOOK).alias("size_label"), map_codes("line", LINE_BOOK, default="other").alias("line_label"))
+
+
 @register("p10_code_to_bool", """
 SELECT doc_id,
   CASE toxic WHEN 1 THEN true WHEN 0 THEN false END AS is_toxic,

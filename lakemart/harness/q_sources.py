@@ -6,8 +6,6 @@ call) and return the re-read DataFrame, so the check covers write + read.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 from pyspark.sql.types import (DoubleType, IntegerType, LongType, StringType, StructField,
                                StructType)
@@ -32,8 +30,9 @@ ORDERS_BY_YEAR = StructType(ORDERS_FLAT.fields + [StructField("ano", StringType(
 FLAT = ", ".join(ORDER_COLS)
 
 
-def _unique(name: str) -> str:
-    return f"lm_{name}_{uuid.uuid4().hex[:10]}"
+def _named(name: str) -> str:
+    """One fixed catalog name per query: a new run replaces the table of the last one."""
+    return f"lm_{name}"
 
 
 @register("s01_read_delimited", """
@@ -93,18 +92,27 @@ def s05(spark, sf_dir):
     return spark.read.schema(s.schema).option("header", True).csv(path)
 
 
+@register("s05_write_csv_files", "SELECT *, 3 AS files FROM supplier")
+def s05_files(spark, sf_dir):
+    s = table(spark, sf_dir, "supplier")
+    path = scratch_path(spark, "s05f")
+    write_csv(s, path, files=3)
+    parts = raw_inventory(spark, path).count()
+    return spark.read.schema(s.schema).option("header", True).csv(path).withColumn("files", F.lit(parts))
+
+
 @register("s06_register_table", """
 SELECT CAST(year(o_orderdate) AS VARCHAR) AS ano, COUNT(*) AS n FROM orders GROUP BY 1
 """)
 def s06(spark, sf_dir):
-    name = _unique("orders")
+    name = _named("s06_orders")
     register_table(spark, name, _orders_bronze(spark, sf_dir), ORDERS_BY_YEAR, ["ano"])
     return spark.sql(f"SELECT ano, COUNT(*) AS n FROM {name} GROUP BY ano")
 
 
 @register("s07_scan_periods", f"{ORDERS_YEAR_SQL} WHERE year(o_orderdate) = 1997")
 def s07(spark, sf_dir):
-    name = _unique("orders")
+    name = _named("s07_orders")
     register_table(spark, name, _orders_bronze(spark, sf_dir), ORDERS_BY_YEAR, ["ano"])
     return scan_periods(spark, name, ["1997"])
 
@@ -125,29 +133,37 @@ def f02(spark, sf_dir):
 SELECT ano, sexo, COUNT(*) AS total FROM stg GROUP BY ano, sexo
 """))
 def s08(spark, sf_dir):
-    name = _unique("stg_exam")
+    name = _named("s08_stg_exam")
     as_view(staging(spark, sf_dir), name)
     return spark.sql(f"SELECT ano, sexo, COUNT(*) AS total FROM {name} GROUP BY ano, sexo")
 
 
 @register("s09_mart_table", with_stg(MART_STATE_SQL))
 def s09(spark, sf_dir):
-    name = _unique("mart_state")
+    name = _named("s09_mart_state")
     return as_table(mart_state(staging(spark, sf_dir), ordered=False), name,
                     path=scratch_path(spark, "s09"))
 
 
-@register("s10_raw_inventory")
+@register("s10_raw_inventory", """
+SELECT '2023' AS period, 'region' AS folder, count(*) > 0 AS present FROM region
+UNION ALL SELECT '2024', 'nation', count(*) > 0 FROM nation
+UNION ALL SELECT '2024', 'supplier', count(*) > 0 FROM supplier
+""")
 def s10(spark, sf_dir):
     """Releases unpacked per year: data CSVs under DADOS/, documentation
-    elsewhere; only CSVs inside DADOS/ are inventoried."""
-    root = scratch_path(spark, "raw_zone")
+    elsewhere, below a root that itself has a folder of that name; only CSVs whose path inside
+    the release begins with DADOS/ are inventoried (part names and sizes left out)."""
+    root = scratch_path(spark, "raw_zone") + "/dados/raw"
     write_csv(table(spark, sf_dir, "region"), f"{root}/ano=2023/DADOS/region")
     write_csv(table(spark, sf_dir, "nation"), f"{root}/ano=2024/DADOS/nation")
     write_csv(table(spark, sf_dir, "supplier"), f"{root}/ano=2024/DADOS/supplier")
     write_csv(table(spark, sf_dir, "part"), f"{root}/ano=2024/LEIA-ME/part")
+    write_csv(table(spark, sf_dir, "part"), f"{root}/ano=2024/EXTRA/DADOS/part")
     table(spark, sf_dir, "region").select("r_name").write.text(f"{root}/ano=2024/DADOS/notes")
-    return raw_inventory(spark, root, folder="dados")
+    inv = raw_inventory(spark, root, folder="dados")
+    folder = F.regexp_extract("path", r"/DADOS/([^/]+)/[^/]+$", 1).alias("folder")
+    return inv.groupBy("period", folder).agg((F.sum("length") > 0).alias("present"))
 
 
 @register("s11_preview", "SELECT * FROM nation ORDER BY n_nationkey LIMIT 20")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import LongType
 
-from lakemart.session import materialize
+from lakemart.session import Scratch, materialize
 
 
 def _key(k) -> Column:
@@ -34,7 +34,18 @@ def top_k(df: DataFrame, by, k: int, tie_break: Sequence = (), cols: Sequence |
     return out.limit(k)
 
 
-def with_position(df: DataFrame, keys: Sequence, name: str = "pos") -> DataFrame:
+def numbered(df: DataFrame, name: str = "pos") -> DataFrame:
+    """Number the rows of an already ordered *report* (a grouped or top-k result: few rows), lazily.
+
+    The numbers follow the order the rows come in; the window runs over the
+    finished report in one task.  For tables of any size use :func:`with_position`.
+    """
+    at = Window.orderBy("_lm_at")
+    return (df.withColumn("_lm_at", F.monotonically_increasing_id())
+            .withColumn(name, F.row_number().over(at).cast(LongType())).drop("_lm_at"))
+
+
+def with_position(df: DataFrame, keys: Sequence, name: str = "pos", scope: Scratch | None = None) -> DataFrame:
     """Sort by ``keys`` and add the 1-based global position of each row.
 
     Never funnels the data into one task: the sorted rows, tagged with their
@@ -44,14 +55,14 @@ def with_position(df: DataFrame, keys: Sequence, name: str = "pos") -> DataFrame
     turned into offsets, and each row's position is offset + index in its
     partition.  Keys should be unique for a deterministic position; a row id
     is appended as the last sort key so that even a key shared by a third
-    of the rows is spread over several range partitions.
+    of the rows is spread over several range partitions.  The written copy goes with ``scope``.
     """
     tagged = materialize(df.select("*", F.monotonically_increasing_id().alias("_lm_in"))
                          .orderBy(*[_key(k) for k in keys], F.col("_lm_in"))
                          .drop("_lm_in")
                          .select("*", F.spark_partition_id().alias("_lm_p"),
                                  F.monotonically_increasing_id().alias("_lm_m")),
-                         "sorted-positions")
+                         "sorted-positions", scope)
     before = Window.orderBy("_lm_p").rowsBetween(Window.unboundedPreceding, -1)
     parts = (tagged.groupBy("_lm_p")
              .agg(F.count(F.lit(1)).alias("_lm_n"), F.min("_lm_m").alias("_lm_m0"))

@@ -13,32 +13,31 @@ equal ids.  The ordinal here is exact for any split layout:
    later pass that splits or packs the input differently (executors lost,
    different parallelism) cannot change them, and the text is parsed once.
    The row count is observed on that same write.
-2. Aggregate one row per split (count, min id) and turn the counts into an
-   exclusive running sum in (path, start) order.  This table has one row per
-   input split; its size is bounded before any job runs (input partitions +
-   input files, see ``split_bound``).
-3. Join it back — broadcast when the bound is under
-   ``BLOCK_BROADCAST_LIMIT``, a shuffle join otherwise — and compute
+2. Aggregate one row per split (count, min id); exclusive running sums inside
+   each file (by start) and over the files (one row per file, the only
+   unpartitioned step) give every split its offset.
+3. Join the split table back — Spark broadcasts it if its written size is
+   under the broadcast threshold and shuffles otherwise — and compute
    ``ordinal = offset + id - min(id)``.
 
 The two sides are then equi-joined on the ordinal after checking that their
-row counts (observed in step 1, no extra scan) are equal.
+row counts (observed in step 1, no extra scan) are equal.  Both sides are dealt by
+ordinal into as many partitions as they have input splits (at least
+``spark.sql.shuffle.partitions``), so a task of the join gets about one split of
+each side at any size.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, Window, functions as F
 from pyspark.sql.types import LongType
 
 from lakemart.operators.schema import drop_overlap
-from lakemart.session import materialize
-
-# A split row is five longs/strings (~100 bytes): 200k splits ≈ 20 MB, i.e. a
-# 25 TB file at 128 MB splits.  Above that the block table is joined by shuffle.
-BLOCK_BROADCAST_LIMIT = 200_000
+from lakemart.session import Scratch, materialize
 
 _FP, _BS, _MID, _N, _M0, _OFF = "_lm_fp", "_lm_bs", "_lm_mid", "_lm_n", "_lm_m0", "_lm_off"
 
@@ -47,49 +46,51 @@ class PositionalMismatch(ValueError):
     """The two inputs of a positional join do not have the same row count."""
 
 
-def split_bound(df: DataFrame) -> int:
-    """Upper bound on the number of input splits of a file scan, from planning
-    only (no job): every full-size split fills its own partition and each file
-    adds at most one smaller tail split, so splits ≤ partitions + files."""
-    return df.rdd.getNumPartitions() + len(df.inputFiles())
+@dataclass
+class Indexed:
+    """A side with its row ordinal, its row count and its number of input splits."""
+    df: DataFrame
+    rows: int
+    splits: int
 
 
-def ordinal_index(df: DataFrame, name: str = "_idx") -> tuple[DataFrame, int]:
-    """Add a 0-based dense row ordinal in file order; also return the row count.
+def ordinal_index(df: DataFrame, name: str = "_idx", scope: Scratch | None = None) -> Indexed:
+    """Add a 0-based dense row ordinal in file order.
 
     ``df`` must be a file-source DataFrame as read (it must expose the hidden
     ``_metadata`` column); read each side with ``multiLine`` off so that a
     split boundary never falls inside a record.
     """
     cols = [F.col(f"`{c}`") for c in df.columns]
-    bound = split_bound(df)
     obs = Observation("ordinal_rows")
     tagged = materialize(df.select(*cols,
                                    F.col("_metadata.file_path").alias(_FP),
                                    F.col("_metadata.file_block_start").alias(_BS),
                                    F.monotonically_increasing_id().alias(_MID))
                          .observe(obs, F.count(F.lit(1)).alias("rows")),
-                         "indexed-rows")
+                         "indexed-rows", scope)
     n_rows = obs.get["rows"]
-    before = Window.orderBy(_FP, _BS).rowsBetween(Window.unboundedPreceding, -1)
-    blocks = (tagged.groupBy(_FP, _BS)
-              .agg(F.count(F.lit(1)).alias(_N), F.min(_MID).alias(_M0))
-              .withColumn(_OFF, F.coalesce(F.sum(_N).over(before), F.lit(0)).cast(LongType())))
-    side = F.broadcast(blocks) if bound <= BLOCK_BROADCAST_LIMIT else blocks
-    out = (tagged.join(side, [_FP, _BS])
-           .select(*[F.col(f"`{c}`") for c in df.columns],
-                   (F.col(_OFF) + F.col(_MID) - F.col(_M0)).cast(LongType()).alias(name)))
-    return out, int(n_rows)
+    per_split = tagged.groupBy(_FP, _BS).agg(F.count(F.lit(1)).alias(_N), F.min(_MID).alias(_M0))
+    inside = Window.partitionBy(_FP).orderBy(_BS).rowsBetween(Window.unboundedPreceding, -1)
+    files = Window.orderBy(_FP).rowsBetween(Window.unboundedPreceding, -1)
+    before = per_split.groupBy(_FP).agg(F.sum(_N).alias("_lm_t")).select(
+        _FP, F.coalesce(F.sum("_lm_t").over(files), F.lit(0)).alias("_lm_f"))
+    blocks = materialize(per_split.withColumn("_lm_in", F.coalesce(F.sum(_N).over(inside), F.lit(0))).join(before, _FP)
+                         .select(_FP, _BS, _M0, (F.col("_lm_f") + F.col("_lm_in")).cast(LongType()).alias(_OFF)),
+                         "split-offsets", scope)
+    out = (tagged.join(blocks, [_FP, _BS])
+           .select(*cols, (F.col(_OFF) + F.col(_MID) - F.col(_M0)).cast(LongType()).alias(name)))
+    return Indexed(out, int(n_rows), blocks.count())
 
 
 def with_ordinal(df: DataFrame, name: str = "_idx") -> DataFrame:
-    """``ordinal_index`` without the row count."""
-    return ordinal_index(df, name)[0]
+    """``ordinal_index`` without the counts."""
+    return ordinal_index(df, name).df
 
 
 def zip_by_position(left: DataFrame, right: DataFrame,
                     expected_overlap: Iterable[str] | None = None,
-                    prepare=None) -> DataFrame:
+                    prepare=None, scope: Scratch | None = None) -> DataFrame:
     """Pair row *i* of ``left`` with row *i* of ``right`` (both as read from files).
 
     Each side may be one file or a folder; rows are numbered in
@@ -102,21 +103,21 @@ def zip_by_position(left: DataFrame, right: DataFrame,
     ``lower_names``).  Columns of ``right`` that ``left`` also has are dropped
     (``expected_overlap`` guards against surprises).  Unequal row counts raise
     :class:`PositionalMismatch` — an inner join would otherwise silently lose
-    or mispair rows.
+    or mispair rows.  The tagged copies of both sides go with ``scope``.
     """
     idx = "_lm_idx"
     # the two tagging passes are independent jobs: submit them together so
     # neither side's tasks wait for the other's
     with ThreadPoolExecutor(max_workers=2) as pool:
-        fut_l, fut_r = pool.submit(ordinal_index, left, idx), pool.submit(ordinal_index, right, idx)
-        (lft, n_left), (rgt, n_right) = fut_l.result(), fut_r.result()
-    if n_left != n_right:
-        raise PositionalMismatch(f"positional join needs equal row counts: {n_left} vs {n_right}")
-    if prepare is not None:
-        lft, rgt = prepare(lft), prepare(rgt)
+        futures = [pool.submit(ordinal_index, side, idx, scope) for side in (left, right)]
+        lft, rgt = (f.result() for f in futures)
+    if lft.rows != rgt.rows:
+        raise PositionalMismatch(f"positional join needs equal row counts: {lft.rows} vs {rgt.rows}")
+    parts = max(int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")), lft.splits, rgt.splits)
+    lft, rgt = (x.df if prepare is None else prepare(x.df) for x in (lft, rgt))
     rgt = drop_overlap(lft, rgt, expected=None if expected_overlap is None else list(expected_overlap),
                        keep=[idx])
-    return lft.join(rgt, idx, "inner").drop(idx)
+    return lft.repartition(parts, idx).join(rgt.repartition(parts, idx), idx, "inner").drop(idx)
 
 
 def positional_audit(df: DataFrame, present_vs_value: Mapping[str, str], present_code=1) -> DataFrame:

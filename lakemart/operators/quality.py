@@ -8,16 +8,17 @@ the single result row is unpivoted into ``(rule, column, failures)``.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 
 class DataQualityError(RuntimeError):
     """A gate failed (empty table, missing partition, unbalanced counts)."""
 
 
-def _fail_count(pred) -> F.Column:
+def _fail_count(pred) -> Column:
     return F.sum(F.when(pred, 1).otherwise(0)).cast(LongType())
 
 
@@ -49,34 +50,46 @@ def check_accepted(df: DataFrame, accepted: Mapping[str, Sequence]) -> DataFrame
     return check_expectations(df, accepted=accepted)
 
 
-def require_rows(df: DataFrame, name: str, raise_on_empty: bool = True) -> DataFrame:
-    """Non-empty gate: ``(table, rows, passed)``; raises when the table is empty."""
-    rows = df.agg(F.count(F.lit(1)).alias("rows")).first()["rows"]
-    if rows == 0 and raise_on_empty:
+def require_rows(df: DataFrame, name: str) -> DataFrame:
+    """Non-empty check, lazily: one row ``(table, rows, passed)``."""
+    return df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table"), "rows", (F.col("rows") > 0).alias("passed"))
+
+
+def gate_rows(df: DataFrame, name: str) -> int:
+    """The gate itself: run the check now, raise when the table is empty, else return its rows."""
+    rows = require_rows(df, name).first()["rows"]
+    if not rows:
         raise DataQualityError(f"{name} is empty")
-    spark = df.sparkSession
-    schema = StructType([StructField("table", StringType()), StructField("rows", LongType()),
-                         StructField("passed", BooleanType())])
-    return spark.createDataFrame([(name, int(rows), rows > 0)], schema)
+    return rows
 
 
-def missing_periods(df: DataFrame, period_col: str, expected: Sequence,
-                    raise_on_missing: bool = False) -> DataFrame:
-    """Expected periods absent from ``df`` (empty result = complete).
+def missing_periods(spark: SparkSession, table: str, period_col: str, expected: Sequence) -> DataFrame:
+    """Expected periods that are no partition of a catalog table (empty result = complete).
 
-    Only the period column is read, so on a partitioned table the scan
-    touches no data columns; the expected list is a small literal table.
+    Reads the catalog's partition list only: no data file is opened, whatever the table holds.
     """
-    spark = df.sparkSession
-    dtype = df.schema[period_col].dataType
-    want = spark.createDataFrame([(v,) for v in expected], StructType([StructField(period_col, dtype)]))
-    present = df.select(period_col).distinct()
-    missing = want.join(present, period_col, "left_anti")
-    if raise_on_missing:
-        got = [r[0] for r in missing.collect()]
-        if got:
-            raise DataQualityError(f"missing periods: {got}")
-    return missing
+    present = (spark.sql(f"SHOW PARTITIONS {table}")
+               .select(F.explode(F.split("partition", "/")).alias("p"))
+               .where(F.col("p").startswith(f"{period_col}="))
+               .select(F.substring_index("p", "=", -1).alias(period_col)))
+    want = spark.createDataFrame([(str(v),) for v in expected], StructType([StructField(period_col, StringType())]))
+    return want.join(present, period_col, "left_anti")
+
+
+def require_files(spark: SparkSession, paths: Mapping[str, Sequence[str]]) -> None:
+    """Gate before a build: every period's input paths must exist and hold a file; raises naming the periods that lack one."""
+    fs = spark._jvm.org.apache.hadoop.fs.Path
+    hadoop = spark._jsc.hadoopConfiguration()
+
+    def present(path: str) -> bool:
+        p = fs(path)
+        found = p.getFileSystem(hadoop).globStatus(p)
+        return any(s.isFile() or p.getFileSystem(hadoop).listStatus(s.getPath()) for s in found or ())
+
+    missing = {period: [x for x in files if not present(x)] for period, files in paths.items()}
+    missing = {k: v for k, v in missing.items() if v}
+    if missing:
+        raise DataQualityError(f"no input for periods: {missing}")
 
 
 def missing_period_files(spark: SparkSession, root: str, expected: Sequence, key: str = "ano",
@@ -87,23 +100,29 @@ def missing_period_files(spark: SparkSession, root: str, expected: Sequence, key
     sensor: at least one data file must exist per expected period.
     """
     from lakemart.sources.files import raw_inventory
-    present = (raw_inventory(spark, root, suffix=suffix, period_key=key)
+    present = (raw_inventory(spark, root, suffix=suffix, period_key=key, require=False)
                .select(F.col("period").alias(key)).distinct())
     want = spark.createDataFrame([(str(v),) for v in expected], StructType([StructField(key, StringType())]))
     return want.join(present, key, "left_anti")
 
 
 def reconcile(parts: Mapping[str, DataFrame], whole: DataFrame) -> DataFrame:
-    """Do the part row counts add up to the whole?  One job, one result row:
-    ``(parts_rows, whole_rows, balanced)``."""
-    tagged = [p.agg(F.count(F.lit(1)).alias("rows")).select(F.lit("part").alias("side"), "rows")
-              for p in parts.values()]
-    tagged.append(whole.agg(F.count(F.lit(1)).alias("rows")).select(F.lit("whole").alias("side"), "rows"))
-    u = tagged[0]
-    for t in tagged[1:]:
-        u = u.unionByName(t)
-    agg = u.agg(F.sum(F.when(F.col("side") == "part", F.col("rows")).otherwise(0)).cast(LongType()).alias("parts_rows"),
-                F.sum(F.when(F.col("side") == "whole", F.col("rows")).otherwise(0)).cast(LongType()).alias("whole_rows"))
+    """Do the part row counts add up to the whole?  One row: ``(parts_rows, whole_rows, balanced)``."""
+    tagged = [p.select(F.lit("part").alias("side")) for p in parts.values()] + [whole.select(F.lit("whole").alias("side"))]
+    return _balance(reduce(DataFrame.union, tagged), F.col("side") == "part", F.col("side") == "whole")
+
+
+def reconcile_rules(df: DataFrame, parts: Mapping[str, Column]) -> DataFrame:
+    """The same when the parts are conditions on one table: a single scan counts the rows that
+    the parts claim (a row claimed twice counts twice) and all rows."""
+    claimed = reduce(lambda a, b: a + b, [F.when(c, 1).otherwise(0) for c in parts.values()])
+    agg = df.agg(F.sum(claimed).cast(LongType()).alias("parts_rows"), F.count(F.lit(1)).alias("whole_rows"))
+    return agg.select(F.coalesce("parts_rows", F.lit(0)).alias("parts_rows"), "whole_rows",
+                      (F.coalesce("parts_rows", F.lit(0)) == F.col("whole_rows")).alias("balanced"))
+
+
+def _balance(rows: DataFrame, part: Column, whole: Column) -> DataFrame:
+    agg = rows.agg(F.coalesce(_fail_count(part), F.lit(0)).alias("parts_rows"), F.coalesce(_fail_count(whole), F.lit(0)).alias("whole_rows"))
     return agg.withColumn("balanced", F.col("parts_rows") == F.col("whole_rows"))
 
 

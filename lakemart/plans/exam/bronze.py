@@ -17,7 +17,7 @@ from lakemart.operators.positional import zip_by_position
 from lakemart.operators.schema import conform, lower_names, tag
 from lakemart.operators.sets import stack_periods
 from lakemart.plans.exam.vocab import OVERLAP_2024
-from lakemart.session import scratch_scope
+from lakemart.session import Scratch
 from lakemart.sources.files import read_delimited, write_partitioned
 
 _L, _D, _S = LongType(), DoubleType(), StringType()
@@ -73,7 +73,7 @@ class BronzeInputs:
     overlap: list = field(default_factory=lambda: list(OVERLAP_2024))
 
 
-def period_frame(spark: SparkSession, inputs: BronzeInputs, period: str) -> DataFrame:
+def period_frame(spark: SparkSession, inputs: BronzeInputs, period: str, scope: Scratch | None = None) -> DataFrame:
     """One period conformed to the bronze schema."""
     read = lambda p: read_delimited(spark, p, sep=inputs.sep, encoding=inputs.encoding)
     if period in inputs.single:
@@ -81,14 +81,14 @@ def period_frame(spark: SparkSession, inputs: BronzeInputs, period: str) -> Data
     else:
         left, right = inputs.split[period]
         raw = zip_by_position(read(left), read(right), expected_overlap=inputs.overlap,
-                              prepare=lower_names)
+                              prepare=lower_names, scope=scope)
     return conform(tag(raw, "ano", str(period)), BRONZE_SCHEMA)
 
 
-def bronze_frame(spark: SparkSession, inputs: BronzeInputs) -> DataFrame:
+def bronze_frame(spark: SparkSession, inputs: BronzeInputs, scope: Scratch | None = None) -> DataFrame:
     """All periods stacked (UNION ALL by name), lazily."""
     periods = sorted(set(inputs.single) | set(inputs.split))
-    return stack_periods([period_frame(spark, inputs, p) for p in periods])
+    return stack_periods([period_frame(spark, inputs, p, scope) for p in periods])
 
 
 PRESENCE_GRADE = {"tp_presenca_mt": "nu_nota_mt", "tp_presenca_cn": "nu_nota_cn",
@@ -109,8 +109,8 @@ def build_bronze(spark: SparkSession, inputs: BronzeInputs, path: str,
     metrics += [F.sum(F.when(F.col("ano") == p, 1).otherwise(0)).alias(f"rows_{p}") for p in periods]
     metrics += [F.sum(F.when((F.col(pf) != 1) & F.col(g).isNotNull(), 1).otherwise(0)).alias(f"{g}_inconsistent")
                 for pf, g in PRESENCE_GRADE.items()]
-    with scratch_scope(spark):       # positional tags are dropped once bronze is committed
-        df = bronze_frame(spark, inputs).observe(obs, *metrics)
+    with Scratch(spark) as scope:    # positional tags are dropped once bronze is committed
+        df = bronze_frame(spark, inputs, scope).observe(obs, *metrics)
         write_partitioned(df, path, "ano", dynamic=dynamic, max_records_per_file=max_records_per_file)
         got = obs.get
     return {"rows": got["rows"], "path": path,

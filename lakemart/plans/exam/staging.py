@@ -12,8 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import IntegerType
 
-from lakemart.functions import (bucket_by_membership, by_period, code_to_bool, eligible,
-                                harmonize, map_codes, rounded, row_mean)
+from lakemart.functions import (by_period, code_to_bool, eligible, harmonize, lookup_dense, lookup_text,
+                                map_codes, members, rounded, row_mean)
 from lakemart.plans.exam import vocab as V
 
 GRADES = ["nu_nota_cn", "nu_nota_ch", "nu_nota_lc", "nu_nota_mt", "nu_nota_redacao"]
@@ -63,7 +63,7 @@ def stage_exam(bronze: DataFrame) -> DataFrame:
         year.alias("ano"),
         map_codes("tp_sexo", V.SEX).alias("sexo"),
         map_codes("tp_cor_raca", V.RACE, default=V.RACE_UNDECLARED).alias("cor_raca"),
-        map_codes("tp_faixa_etaria", V.AGE_BAND, default=V.AGE_BAND_OTHER).alias("faixa_etaria"),
+        lookup_dense("tp_faixa_etaria", V.AGE_BAND, default=V.AGE_BAND_OTHER).alias("faixa_etaria"),
         map_codes("tp_st_conclusao", V.COMPLETION).alias("situacao_ensino_medio"),
         code_to_bool("in_treineiro").alias("eh_treineiro"),
         public_school(year).alias("escola_publica"),
@@ -74,7 +74,7 @@ def stage_exam(bronze: DataFrame) -> DataFrame:
         F.col("q005").cast(IntegerType()).alias("pessoas_na_residencia"),
         F.col("sg_uf_prova").alias("uf"),
         F.col("no_municipio_prova").alias("municipio"),
-        bucket_by_membership("sg_uf_prova", V.REGIONS).alias("regiao"),
+        lookup_text("sg_uf_prova", members(V.REGIONS)).alias("regiao"),
         rounded("nu_nota_cn").alias("nota_ciencias"),
         rounded("nu_nota_ch").alias("nota_humanas"),
         rounded("nu_nota_lc").alias("nota_linguagens"),

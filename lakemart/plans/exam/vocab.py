@@ -83,3 +83,22 @@ STAGING_NOT_NULL = ["nu_inscricao", "ano", "sexo", "cor_raca", "uf",
                     "nota_matematica", "nota_redacao", "escola_publica"]
 # columns repeated in both 2024 files (participants / results)
 OVERLAP_2024 = ["nu_ano", "co_municipio_prova", "no_municipio_prova", "co_uf_prova", "sg_uf_prova"]
+
+# ---- fixed values: output columns of the reports and marts, in order ------------------------
+REPORT_COLUMNS = {
+    "income_by_sex": ["faixa_renda", "sexo", "total", "media_matematica", "media_redacao", "media_humanas"],
+    "race_by_year": ["ano", "cor_raca", "total_participantes", "media_matematica", "media_linguagens", "media_redacao",
+                     "pct_escola_publica"],
+    "mother_schooling": ["escolaridade_mae", "total", "media_matematica", "media_redacao", "pct_escola_publica",
+                         "media_pessoas_residencia"],
+    "income_band_by_school": ["faixa_renda", "tipo_escola", "total", "media_matematica", "media_redacao", "media_ciencias"],
+    "staging": ["nu_inscricao", "nu_sequencial", "ano", "sexo", "cor_raca", "faixa_etaria", "situacao_ensino_medio",
+                "eh_treineiro", "escola_publica", "tipo_escola", "renda_familiar_cod", "escolaridade_pai_cod",
+                "escolaridade_mae_cod", "pessoas_na_residencia", "uf", "municipio", "regiao", "nota_ciencias",
+                "nota_humanas", "nota_linguagens", "nota_matematica", "nota_redacao", "nota_media_geral"],
+    "state": ["ano", "uf", "regiao", "total_participantes", "media_matematica", "media_ciencias", "media_humanas",
+              "media_linguagens", "media_redacao", "media_geral", "pct_escola_publica"],
+    "inequality": ["ano", "cor_raca", "tipo_escola", "total", "media_matematica", "media_redacao", "media_geral"],
+    "mobility": ["ano", "escolaridade_mae", "total", "media_matematica", "media_redacao", "media_geral",
+                 "pct_escola_publica", "media_pessoas_residencia"],
+}

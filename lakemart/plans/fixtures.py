@@ -11,8 +11,6 @@ region.  Everything else is a typed NULL after ``conform``.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import IntegerType, LongType
 
@@ -25,22 +23,9 @@ LETTERS_17 = "ABCDEFGHIJKLMNOPQ"
 UF_SLOTS = "ACALAPAMBACEDFESGOMAMTMSMGPAPBPRPEPIRJRNRSRORRSCSPSETOZZ"
 
 
-_TABLES: dict = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A supplied table, resolved once per session (schema and file listing
-    are reused like a catalog table's instead of being re-inferred per query)."""
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    try:
-        app = spark.sparkContext.applicationId
-    except Exception:  # noqa: BLE001 — sessions without a local SparkContext
-        app = None
-    key = (app, id(spark), path)
-    df = _TABLES.get(key)
-    if df is None:
-        df = _TABLES[key] = spark.read.parquet(path)
-    return df
+    """A supplied table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _letter(alphabet: str, idx: str) -> str:
@@ -95,41 +80,39 @@ def exam_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Columns of the two keyless 2024 files (the split is ours; only the overlap is given).
-PARTICIPANT_COLS = ["nu_inscricao", "tp_sexo", "tp_cor_raca", "tp_faixa_etaria", "tp_st_conclusao",
+PARTICIPANT_COLS = ["nu_inscricao", "nu_sequencial", "tp_sexo", "tp_cor_raca", "tp_faixa_etaria", "tp_st_conclusao",
                     "in_treineiro", "q001", "q002", "q005", "q006", "q007"]
-RESULT_COLS = ["tp_escola", "tp_dependencia_adm_esc", "tp_presenca_mt", "tp_presenca_cn",
+RESULT_COLS = ["co_escola", "tp_escola", "tp_dependencia_adm_esc", "tp_presenca_mt", "tp_presenca_cn",
                "tp_presenca_ch", "tp_presenca_lc", "nu_nota_mt", "nu_nota_cn", "nu_nota_ch",
                "nu_nota_lc", "nu_nota_redacao"]
 SHARED_COLS = ["nu_ano", "co_municipio_prova", "no_municipio_prova", "co_uf_prova", "sg_uf_prova"]
 
 
-def layout_files(rows: int, rows_per_file: int = 1_000_000, minimum: int = 4) -> tuple[int, int]:
-    """File counts for a two-sided keyless layout: one per ~``rows_per_file``
-    rows (never fewer than ``minimum``), and a different count for the other
-    side so file boundaries differ."""
-    left = max(minimum, -(-rows // rows_per_file))
-    return left, left * 3 // 2 + 1
+# FIXED VALUES — raw texts of two otherwise empty columns, by ``nu_inscricao`` modulo their number, and the
+# value the declared type must give (an engine that throws or that drops the row fails the check).
+DIRTY_LONG = [("2.0", 2), (" 7 ", 7), ("\t3", 3), ("", None), ("junk", None), (".5", 0), ("-.7", 0), ("1e3", None), ("4.9999\t", 4),
+              ("99999999999999999999", None)]
+DIRTY_DOUBLE = [("2.5", 2.5), (" 3 ", 3.0), ("\t4\t", 4.0), ("", None), ("x", None), (".5", 0.5), ("1e3", 1000.0)]
 
+#: Files of the two keyless sides: different numbers, so their bounds never coincide.
+LEFT_FILES, RIGHT_FILES = 4, 7
 
-def write_exam_raw(xb_columns: DataFrame, root: str, left_files: int | None = None,
-                   right_files: int | None = None):
+
+def write_exam_raw(xb_columns: DataFrame, root: str, left_files: int = LEFT_FILES, right_files: int = RIGHT_FILES):
     """Lay XB out as raw releases: 2023 as one unified `;`/Latin-1 folder with
     upper-case headers; 2024 as two keyless folders (participants / results)
     in key order, with different file counts and a padding column on one side
-    so their split boundaries never coincide.  File counts follow the data
-    volume (``layout_files``): several files even for small inputs, about a
-    million rows per file for large ones.  Returns ``BronzeInputs``."""
+    so their split boundaries never coincide.  ``nu_sequencial`` and
+    ``co_escola`` carry dirty text.  Returns ``BronzeInputs``."""
     from lakemart.plans.exam.bronze import BronzeInputs
 
-    if left_files is None:
-        left_files, right_files = layout_files(xb_columns.count())
-    right_files = right_files or (left_files * 3 // 2 + 1)
-
-    opts = {"header": True, "sep": ";", "encoding": "ISO-8859-1"}
+    opts = {"header": True, "sep": ";", "encoding": "ISO-8859-1", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    dirty = lambda texts: F.element_at(F.array(*(F.lit(t) for t, _ in texts)), (F.col("nu_inscricao") % len(texts)).cast("int") + 1)
     shout = lambda cols: [F.col(c).alias(c.upper()) for c in cols]
     xb = xb_columns.withColumn("nu_ano", F.col("ano").cast(LongType())) \
                    .withColumn("co_municipio_prova", F.lit(None).cast(LongType())) \
-                   .withColumn("co_uf_prova", F.lit(None).cast(LongType()))
+                   .withColumn("co_uf_prova", F.lit(None).cast(LongType())) \
+                   .withColumns({"nu_sequencial": dirty(DIRTY_LONG), "co_escola": dirty(DIRTY_DOUBLE)})
     every = PARTICIPANT_COLS + RESULT_COLS + SHARED_COLS
     xb.where(F.col("ano") == "2023").select(*shout(every)).write.options(**opts).csv(f"{root}/ano=2023")
     y24 = xb.where(F.col("ano") == "2024")

@@ -8,7 +8,6 @@ the master is local (unit tests) do we create a local temporary one.
 
 from __future__ import annotations
 
-import contextlib
 import os
 import tempfile
 import threading
@@ -74,21 +73,39 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
-_SCOPES: list[list[str]] = []
-_SCOPES_LOCK = threading.Lock()
+class Scratch:
+    """Owner of scratch folders: those made through it are deleted when its block ends.
 
+    Use it around work whose *output is written* within the block (e.g. a
+    bronze build) and hand it to the operators that need intermediate tables.
+    Scopes are independent objects, so builds that overlap in one driver (or
+    worker threads of one build) never delete each other's tables.  Do not
+    return a lazy DataFrame that reads them.
+    """
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder below the shared checkpoint directory.
+    def __init__(self, spark: SparkSession):
+        self._spark, self._paths, self._lock = spark, [], threading.Lock()
 
-    Inside a :func:`scratch_scope` the folder is removed when the scope ends.
-    """
+    def add(self, path: str) -> str:
+        with self._lock:
+            self._paths.append(path)
+        return path
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        with self._lock:
+            paths, self._paths = self._paths, []
+        for path in paths:
+            _delete(self._spark, path)
+
+
+def scratch_path(spark: SparkSession, name: str, scope: Scratch | None = None) -> str:
+    """A fresh, unique folder below the shared checkpoint directory; with ``scope`` it goes when the scope ends."""
     base = ensure_checkpoint_dir(spark)
     path = os.path.join(base.rstrip("/"), "lakemart-scratch", f"{name}-{uuid.uuid4().hex[:12]}")
-    with _SCOPES_LOCK:
-        if _SCOPES:
-            _SCOPES[-1].append(path)
-    return path
+    return scope.add(path) if scope else path
 
 
 def _delete(spark: SparkSession, path: str) -> None:
@@ -96,32 +113,12 @@ def _delete(spark: SparkSession, path: str) -> None:
     jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
-@contextlib.contextmanager
-def scratch_scope(spark: SparkSession):
-    """Delete the scratch folders created inside the block when it ends.
-
-    Use it around work whose *output is written* within the block (e.g. a
-    bronze build): intermediate tables such as positional tags are then no
-    longer referenced.  Do not return a lazy DataFrame that reads them.
-    """
-    created: list[str] = []
-    with _SCOPES_LOCK:
-        _SCOPES.append(created)
-    try:
-        yield created
-    finally:
-        with _SCOPES_LOCK:
-            _SCOPES.remove(created)
-        for path in created:
-            _delete(spark, path)
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, scope: Scratch | None = None) -> DataFrame:
     """Cut lineage: write ``df`` once as Parquet below the shared checkpoint
     folder and return the re-read table.  One job (``checkpoint()`` would
     compute an un-persisted plan twice); survives executor loss because the
     files live on shared storage."""
     spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path = scratch_path(spark, name, scope)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)   # known schema: no footer-inference job

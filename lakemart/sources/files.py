@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType, StructType
 
+from lakemart.functions.sqlexpr import literal
+
 
 def read_delimited(spark: SparkSession, path, sep: str = ";", encoding: str = "ISO-8859-1",
                    header: bool = True) -> DataFrame:
@@ -86,27 +90,32 @@ def write_csv(df: DataFrame, path: str, files: int | None = None, header: bool =
 
 
 def raw_inventory(spark: SparkSession, root: str, suffix: str = ".csv", period_key: str = "ano",
-                  require: bool = False, folder: str | None = None) -> DataFrame:
+                  require: bool = True, folder: str | None = None) -> DataFrame:
     """List raw files under ``root`` (recursively) that end in ``suffix``,
-    case-insensitively (S10); with ``folder`` only files inside a directory
-    of that name (any depth, case-insensitive) are kept.
+    case-insensitively (S10); with ``folder`` only files whose path *inside
+    the release* — below ``root`` and its period directory — begins with that folder (case-insensitive).
 
     Output ``(period, path, name, length)``; ``name`` is the lower-cased base
     name and ``period`` the ``{period_key}=`` directory value (NULL if none).
     Only the listing and file lengths are used — the ``content`` column is
-    pruned, so no file body is read.
+    pruned, so no file body is read.  An empty inventory raises unless ``require`` is off.
     """
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
              .select("path", "length"))
-    keep = F.lower(F.col("path")).endswith(suffix.lower())
+    top = spark._jvm.org.apache.hadoop.fs.Path(root)
+    base = top.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(top).toUri().getPath().rstrip("/")
+    # what follows the root in the file's URI, whatever the scheme part looks like
+    inside = F.expr(f"substring(path, locate({literal(base + '/')}, path) + {len(base) + 1})")
+    period = F.nullif(F.regexp_extract("inside", rf"^{re.escape(period_key)}=([^/]+)/", 1), F.lit(""))
+    release = F.regexp_replace("inside", rf"^{re.escape(period_key)}=[^/]+/", "")
+    keep = F.lower("inside").endswith(suffix.lower())
     if folder:
-        keep = keep & F.lower(F.col("path")).contains("/" + folder.strip("/").lower() + "/")
-    inv = (files.where(keep)
-           .select(F.nullif(F.regexp_extract("path", rf"{period_key}=([^/]+)", 1), F.lit("")).alias("period"),
-                   F.col("path"),
+        keep = keep & F.lower("release").startswith(folder.strip("/").lower() + "/")
+    inv = (files.withColumn("inside", inside).withColumn("release", release).where(keep)
+           .select(period.alias("period"), F.col("path"),
                    F.lower(F.regexp_extract("path", r"([^/]+)$", 1)).alias("name"),
                    F.col("length").cast(LongType()).alias("length")))
-    if require and inv.limit(1).count() == 0:
+    if require and inv.isEmpty():
         raise FileNotFoundError(f"no {suffix} files under {root}")
     return inv
 

@@ -1,5 +1,7 @@
 """Positional alignment must equal a keyed join for any split layout."""
 
+import re
+
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -62,8 +64,10 @@ def test_ordinal_is_dense_across_splits(spark, scratch):
     with small_splits(spark, 4096):
         df = spark.read.option("header", True).csv(root)
         assert df.rdd.getNumPartitions() > 4
-        idx, rows = ordinal_index(df)
-        got = idx.select(F.col("k").cast("long"), "_idx").collect()
+        side = ordinal_index(df)
+        rows = side.rows
+        assert side.splits > 4
+        got = side.df.select(F.col("k").cast("long"), "_idx").collect()
     assert rows == 5000
     assert all(r[0] == r[1] for r in got)
 
@@ -73,8 +77,8 @@ def test_gzip_is_one_block(spark, scratch):
     spark.range(0, 2000).withColumnRenamed("id", "k").coalesce(1).write \
         .option("header", True).option("compression", "gzip").csv(root)
     with small_splits(spark):
-        idx, rows = ordinal_index(spark.read.option("header", True).csv(root))
-        got = idx.collect()
+        side = ordinal_index(spark.read.option("header", True).csv(root))
+        rows, got = side.rows, side.df.collect()
     assert rows == 2000
     assert all(int(r[0]) == r[1] for r in got)
 
@@ -95,7 +99,7 @@ def test_ordinal_survives_layout_change(spark, scratch):
     spark.range(0, 3000).select(F.col("id").alias("k"), F.repeat(F.lit("q"), 20).alias("p")) \
         .coalesce(1).write.option("header", True).csv(root)
     with small_splits(spark, 4096):
-        idx, _ = ordinal_index(spark.read.option("header", True).csv(root))
+        idx = ordinal_index(spark.read.option("header", True).csv(root)).df
     got = idx.select(F.col("k").cast("long"), "_idx").collect()
     assert len(got) == 3000 and all(r[0] == r[1] for r in got)
 
@@ -106,18 +110,37 @@ def test_positional_audit(spark):
     assert (r["rows"], r["grade_inconsistent"]) == (4, 1)
 
 
-def test_shuffle_join_path_beyond_broadcast_limit(spark, scratch, monkeypatch):
-    """When the split table's bound exceeds the limit it is joined by shuffle;
-    the result must be identical."""
-    import lakemart.operators.positional as P
-    monkeypatch.setattr(P, "BLOCK_BROADCAST_LIMIT", 0)
-    root = scratch("noshortcut")
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+def test_split_table_joins_by_shuffle_or_broadcast_alike(spark, scratch, threshold):
+    """Spark alone decides how the split table is joined; no hint overrides its size check."""
+    root = scratch("nohint")
     write_sides(spark, root, 1200, 3, 4, 17)
-    with small_splits(spark):
-        left = read_delimited(spark, f"{root}/left", encoding="UTF-8")
-        idx, rows = P.ordinal_index(left)
-        got = idx.select(F.col("k").cast("long"), "_idx").collect()
-    assert rows == 1200 and all(r[0] == r[1] for r in got)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        with small_splits(spark):
+            side = ordinal_index(read_delimited(spark, f"{root}/left", encoding="UTF-8"))
+            plan = side.df._jdf.queryExecution().sparkPlan().toString()
+            got = side.df.select(F.col("k").cast("long"), "_idx").collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert ("BroadcastHashJoin" in plan) == (threshold != "-1")
+    assert side.rows == 1200 and all(r[0] == r[1] for r in got)
+
+
+def test_join_partitions_grow_with_the_splits(spark, scratch):
+    """``spark.sql.shuffle.partitions`` stays fixed; the ordinal join follows the input."""
+    root = scratch("growing")
+    write_sides(spark, root, 4000, 2, 3, 23)
+    parts = []
+    for size in (1 << 22, 2048):
+        with small_splits(spark, size):
+            z = zip_by_position(read_delimited(spark, f"{root}/left", encoding="UTF-8"),
+                                read_delimited(spark, f"{root}/right", encoding="UTF-8"), expected_overlap=["a"])
+            plan = z._jdf.queryExecution().sparkPlan().toString()
+            parts.append(max(int(n) for n in re.findall(r"REPARTITION_BY_NUM|, (\d+)\), REPARTITION", plan) if n))
+            assert z.count() == 4000
+    assert parts[0] == int(spark.conf.get("spark.sql.shuffle.partitions")) < parts[1]
 
 
 def test_coalesced_id_pairing_is_wrong_where_ordinal_is_exact(spark, scratch):
@@ -155,17 +178,3 @@ def test_whole_lineitem_aligned_by_position(spark, scratch):
         r = z.agg(F.count(F.lit(1)).alias("n"),
                   F.sum(F.when(F.col("k").cast("long") * 3 != F.col("k3").cast("long"), 1).otherwise(0)).alias("bad")).first()
     assert (r["n"], r["bad"]) == (600000, 0)
-
-
-def test_split_bound_is_an_upper_bound(spark, scratch):
-    from lakemart.operators.positional import split_bound
-    base = scratch("bound")
-    spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet").coalesce(1) \
-        .write.option("header", True).csv(f"{base}/one")
-    spark.range(0, 2000).repartition(30).write.option("header", True).csv(f"{base}/tiny")
-    for max_bytes in (1 << 16, 1 << 20):
-        with small_splits(spark, max_bytes):
-            for name in ("one", "tiny"):
-                df = spark.read.option("header", True).csv(f"{base}/{name}")
-                actual = df.select("_metadata.file_path", "_metadata.file_block_start").distinct().count()
-                assert actual <= split_bound(df)

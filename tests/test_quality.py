@@ -1,10 +1,14 @@
 """Data-quality checks: must-pass and must-fail rows with exact counts."""
 
 import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from lakemart.operators import (DataQualityError, check_expectations, grouped_report, ingest_summary,
-                                missing_periods, reconcile, require_rows)
+                                gate_rows, missing_periods, reconcile,
+                                reconcile_rules, require_files, require_rows)
 from lakemart.functions import map_codes, n
+from lakemart.sources import register_table
 from lakemart.plans.exam import vocab as V
 from lakemart.plans.exam.staging import stage_exam
 from lakemart.plans.fixtures import exam_bronze, table
@@ -46,16 +50,30 @@ def test_expectations_run_in_one_pass(spark):
 def test_empty_gate_raises(spark):
     empty = spark.createDataFrame([], "a int")
     with pytest.raises(DataQualityError):
-        require_rows(empty, "mart")
+        gate_rows(empty, "mart")
+    assert gate_rows(spark.range(3), "mart") == 3
+    lazy = require_rows(empty, "mart")
+    assert "LocalTableScan [table" not in lazy._jdf.queryExecution().executedPlan().toString()
     ok = require_rows(spark.createDataFrame([(1,)], "a int"), "mart").first()
     assert (ok["rows"], ok["passed"]) == (1, True)
 
 
-def test_missing_period(spark):
-    df = spark.createDataFrame([("2023",), ("2023",)], "ano string")
-    assert [r[0] for r in missing_periods(df, "ano", ["2023", "2024"]).collect()] == ["2024"]
-    with pytest.raises(DataQualityError):
-        missing_periods(df, "ano", ["2023", "2024"], raise_on_missing=True)
+def test_missing_period(spark, scratch):
+    schema = StructType([StructField("k", LongType()), StructField("ano", StringType())])
+    path = scratch("periods-present")
+    spark.createDataFrame([(1, "2023"), (2, "2023")], schema).write.partitionBy("ano").parquet(path)
+    register_table(spark, "lm_test_periods", path, schema, ["ano"])
+    missing = missing_periods(spark, "lm_test_periods", "ano", ["2023", "2024"])
+    assert [r[0] for r in missing.collect()] == ["2024"]
+    assert "FileScan" not in missing._jdf.queryExecution().executedPlan().toString()     # the partition list only
+
+
+def test_missing_input_files(spark, scratch):
+    path = scratch("inputs")
+    spark.range(2).write.parquet(f"{path}/a")
+    require_files(spark, {"2023": [f"{path}/a"]})
+    with pytest.raises(DataQualityError, match="2024"):
+        require_files(spark, {"2023": [f"{path}/a"], "2024": [f"{path}/a", f"{path}/none"]})
 
 
 def test_reconcile(spark):
@@ -67,6 +85,16 @@ def test_reconcile(spark):
     assert r["balanced"] is False
 
 
+def test_reconcile_rules_scan_once(spark, scratch):
+    path = scratch("rules")
+    spark.range(10).write.parquet(path)
+    df = spark.read.parquet(path)
+    out = reconcile_rules(df, {"low": F.col("id") < 4, "high": F.col("id") >= 4})
+    assert tuple(out.first()) == (10, 10, True)
+    assert out._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert tuple(reconcile_rules(df, {"low": F.col("id") < 4, "all": F.col("id") >= 0}).first()) == (14, 10, False)
+
+
 def test_ingest_summary(spark):
     inv = spark.createDataFrame([("2023", "p/a.csv", "a.csv", 10), ("2023", "p/b.csv", "b.csv", 5)],
                                 "period string, path string, name string, length long")
@@ -92,7 +120,7 @@ def test_observed_counts_on_the_write_pass(spark, scratch):
 
 def test_gate_without_raising_and_empty_union(spark):
     from lakemart.operators import stack_periods
-    r = require_rows(spark.createDataFrame([], "a int"), "mart", raise_on_empty=False).first()
+    r = require_rows(spark.createDataFrame([], "a int"), "mart").first()
     assert (r["table"], r["rows"], r["passed"]) == ("mart", 0, False)
     with pytest.raises(ValueError):
         stack_periods([])
