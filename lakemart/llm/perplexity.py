@@ -36,7 +36,7 @@ from lakemart.llm.common import map_arrow, materialize, own_names
 ORDER = 5
 #: Entries of orders 3 to 5 in one slice of the model.
 SLICE = 4_000_000
-FENCE = 6.0
+FENCE = 10.0
 MIN_WORDS, WINDOW, MAX_REPEATED = 20, 8, 30
 SYMBOLS = "#*$%&|<>"
 _BOS, _EOS = 2, 3
