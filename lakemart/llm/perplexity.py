@@ -25,6 +25,8 @@ gives an empty result.  Other columns than the text are carried along.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -37,6 +39,8 @@ ORDER = 5
 #: Entries of orders 3 to 5 in one slice of the model.
 SLICE = 4_000_000
 FENCE = 10.0
+#: Characters that one task counts, and scores, at once.
+COUNTED, SCORED = 1 << 21, 1 << 18
 MIN_WORDS, WINDOW, MAX_REPEATED = 20, 8, 30
 SYMBOLS = "#*$%&|<>"
 _BOS, _EOS = 2, 3
@@ -76,13 +80,15 @@ def ngram_counts(codes: list[np.ndarray]) -> tuple[list[str], np.ndarray]:
         for i in range(len(s) - ORDER + 1):
             count[s[i:i + ORDER]] = count.get(s[i:i + ORDER], 0) + 1
         return list(count), np.array(list(count.values()), np.int64)
-    ids = np.zeros(0x110000, np.uint64)
+    ids = np.zeros(0x110000, np.uint16)
     ids[alphabet] = np.arange(len(alphabet))
     i = ids[c]
     key = np.zeros(len(i) - ORDER + 1, np.uint64)
     for j in range(ORDER):
-        key = key << _U(12) | i[j:len(i) - ORDER + 1 + j]
-    key = np.sort(key[c[ORDER - 1:] != _BOS])                       # windows that run into the next text's padding
+        key <<= _U(12)
+        key |= i[j:len(i) - ORDER + 1 + j]
+    key = key[c[ORDER - 1:] != _BOS]                                # without windows that run into the next text's padding
+    key.sort()
     first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     chars = np.stack([alphabet[(key[first] >> _U(12 * (ORDER - 1 - j)) & _U(4095)).astype(int)] for j in range(ORDER)], axis=1)
     s = np.ascontiguousarray(chars).astype("<u4").tobytes().decode("utf-32-le")
@@ -97,9 +103,24 @@ def _count(batches):
             if len(c):
                 by_lang.setdefault(lang, []).append(c)
         for lang, codes in by_lang.items():
-            grams, n = ngram_counts(codes)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(grams), pa.string()), pa.array(grams, pa.string()), pa.array(n, pa.int64())],
-                                             names=["lang", "gram", "c"])
+            for part in _pieces(codes, COUNTED):
+                grams, n = ngram_counts([codes[i] for i in part])
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(grams), pa.string()), pa.array(grams, pa.string()), pa.array(n, pa.int64())],
+                                                 names=["lang", "gram", "c"])
+
+
+def _pieces(codes: list[np.ndarray], most: int) -> Iterator[list[int]]:
+    """Runs of consecutive texts (their numbers) of about ``most`` characters, texts without words left out."""
+    part, size = [], 0
+    for i, c in enumerate(codes):
+        if len(c):
+            part.append(i)
+            size += len(c)
+            if size >= most:
+                yield part
+                part, size = [], 0
+    if part:
+        yield part
 
 
 # -- model -------------------------------------------------------------------------------------------
@@ -320,19 +341,19 @@ def _score(rows, k: int, slices: int, text_at: int, lang_at: int, base: bool):
             texts, langs = b.column(text_at).to_pylist(), b.column(lang_at).to_pylist()
             add, n = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
             codes = [symbols(t) for t in texts]
-            full = [i for i, c in enumerate(codes) if len(c)]
-            if full:
-                c = np.concatenate([codes[i] for i in full])
-                seed = {x: _lang_hash(x) for x in set(langs)}
-                lang = np.repeat(np.array([seed[langs[i]] for i in full], np.uint64), [len(codes[i]) for i in full])
-                doc = np.repeat(np.array(full), [len(codes[i]) for i in full])
-                where = np.flatnonzero(c[ORDER - 1:] != _BOS)
+            seed = {x: _lang_hash(x) for x in set(langs)}
+            for run in _pieces(codes, SCORED):
+                c, size = np.concatenate([codes[i] for i in run]), [len(codes[i]) for i in run]
+                lang = np.repeat(np.array([seed[langs[i]] for i in run], np.uint64), size)
+                doc = np.repeat(np.arange(len(run)), size)
+                every = np.flatnonzero(c[ORDER - 1:] != _BOS)
                 if slices > 1:
-                    pair = _hash([c[where + ORDER - 3], c[where + ORDER - 2]], lang[where])
-                    where = where[_slice_of(pair, slices) == k]
-                lp = log_p(part, c, lang, where)
-                add = -np.bincount(doc[where], lp, len(texts))
-                n = np.bincount(doc[where], minlength=len(texts))
+                    pair = _hash([c[every + ORDER - 3], c[every + ORDER - 2]], lang[every])
+                    every = every[_slice_of(pair, slices) == k]
+                for at in range(0, len(every), SCORED):              # a text of any length in bounded memory
+                    where = every[at:at + SCORED]
+                    add[run] -= np.bincount(doc[where], log_p(part, c, lang, where), len(run))
+                    n[run] += np.bincount(doc[where], minlength=len(run))
             old = b.columns
             lm = [pa.array(old[-2].to_numpy() + add), pa.array(old[-1].to_numpy() + n)]
             names = b.schema.names
