@@ -137,7 +137,7 @@ def kneser_ney(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     for m in range(1, ORDER + 1):
         d = _discounts(counts[m])
         ctx = F.expr(f"substring(gram, 1, {m - 1})")
-        known = counts[m].join(F.broadcast(d), "lang")              # one row per language, see _discounts
+        known = counts[m].join(d, "lang")                           # a written table: broadcast by its real size only
         cut = F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3"))
         weight = known.groupBy("lang", ctx.alias("ctx")).agg(F.sum("c").alias("total"), F.sum(cut).alias("cut"), F.count(F.lit(1)).alias("types"))
         weight = materialize(weight, f"lm-context-{m}")
@@ -164,7 +164,7 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 
 
 def _discounts(counts: DataFrame) -> DataFrame:
-    """Modified Kneser-Ney discounts, one row per language (a documented, small key)."""
+    """Modified Kneser-Ney discounts, one row per language."""
     n = [F.sum((F.col("c") == k).cast("long")).alias(f"n{k}") for k in (1, 2, 3, 4)]
     y = F.when(F.col("n1") + F.col("n2") > 0, F.col("n1") / (F.col("n1") + 2 * F.col("n2"))).otherwise(F.lit(0.5))
 
