@@ -25,6 +25,7 @@ gives an empty result.  Other columns than the text are carried along.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -322,21 +323,21 @@ def repeated_words(words: list[bytes], window: int = WINDOW) -> int:
     return int((np.cumsum(cover) > 0).sum())
 
 
-_open: dict[int, Part] = {}
+_open: dict[tuple[str, int], Part] = {}
 
 
-def _part(shared) -> Part:
-    """The slice of a broadcast, opened once per worker process (one at a time)."""
-    key = id(shared.value)
+def _part(key: tuple[str, int], shared) -> Part:
+    """Slice ``key`` (name of the model's pass, slice number), opened once per worker process (one at a time).  The name goes with the
+    task: the id of a broadcast's value is given anew once a reused worker has dropped the value."""
     if key not in _open:
         _open.clear()
         _open[key] = Part(shared.value)
     return _open[key]
 
 
-def _score(rows, k: int, slices: int, text_at: int, lang_at: int, base: bool):
+def _score(rows, model: str, k: int, slices: int, text_at: int, lang_at: int, base: bool):
     def score(batches):
-        part = _part(rows)
+        part = _part((model, k), rows)
         for b in batches:
             texts, langs = b.column(text_at).to_pylist(), b.column(lang_at).to_pylist()
             add, n = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
@@ -368,7 +369,7 @@ def _score(rows, k: int, slices: int, text_at: int, lang_at: int, base: bool):
 
 def perplexities(docs: DataFrame, model: DataFrame, slices: int) -> DataFrame:
     """``docs`` (``text``, ``_lm_lang``) plus the base metrics, ``nll`` and ``n_predicted``: one pass per slice in one stage."""
-    spark = docs.sparkSession
+    spark, name = docs.sparkSession, uuid.uuid4().hex
     out = docs.withColumns({"nll": F.lit(0.0), "n_predicted": F.lit(0).cast("long")})
     for k in range(slices):
         rows = model.where(F.col("slice").isin(-1, k)).collect()    # one slice: bounded by its number of entries
@@ -376,7 +377,7 @@ def perplexities(docs: DataFrame, model: DataFrame, slices: int) -> DataFrame:
         if k == 0:
             fields = fields[:-2] + [StructField(x, LongType()) for x in _BASE] + [StructField("nll", DoubleType()), StructField("n_predicted", LongType())]
         shared = spark.sparkContext.broadcast([r.asDict() for r in rows])
-        out = map_arrow(out, _score(shared, k, slices, docs.columns.index("text"), docs.columns.index("_lm_lang"), k == 0), StructType(fields))
+        out = map_arrow(out, _score(shared, name, k, slices, docs.columns.index("text"), docs.columns.index("_lm_lang"), k == 0), StructType(fields))
     return out
 
 
