@@ -18,8 +18,8 @@ sequence              the compressed symbols (uint16 if all fit, else uint32)
 
 Re-Pair per shard: the pairs of neighbouring symbols are counted exactly; all pairs whose count
 is within :data:`BAND` of the most frequent one (and at least :data:`MIN_COUNT`) become
-nonterminals and are replaced, and so on with new counts until no pair is frequent.  Overlapping
-occurrences are resolved from the left.  Pairs never cross a document.  So every document is a symbol range
+nonterminals and are replaced, and so on with new counts until no pair is frequent; symbols become 32 bits wide when 16 bits have no
+room for a rule.  Overlapping occurrences are resolved from the left.  Pairs never cross a document.  So every document is a symbol range
 of its own and the expansion lengths give the place of any token without decoding what is before
 (:func:`decode_range`).
 
@@ -46,8 +46,9 @@ from lakemart.llm.common import map_arrow, materialize, shuffle_cleanup
 END_ID = 1
 SHARD_TOKENS = 1 << 20
 #: A pair is replaced in a round if its count is at least the top count divided by this.
-BAND = 16
-MIN_COUNT = 24
+BAND = 8
+#: A rule takes 12 bytes and saves 2 at each place, so a pair seen 6 times or less gains nothing.
+MIN_COUNT = 8
 #: Words a worker keeps encoded before it starts anew.
 CACHE_WORDS = 750_000
 _MAGIC = b"RPG1"
@@ -142,14 +143,14 @@ def _byte_letters() -> list[str]:
 def compress(tokens: np.ndarray, lengths: np.ndarray) -> bytes:
     """One shard: the tokens of consecutive documents with the given lengths (all at least 1)."""
     base = int(tokens.max(initial=0)) + 1
-    small = base < 1 << 16
-    room = (1 << 16) - base if small else (1 << 31) - base           # nonterminals the symbol width has room for
+    room = (1 << 31) - base                                          # nonterminals that 32-bit symbols have room for
     seq = tokens.astype(np.uint32)
     last = np.zeros(len(seq), bool)                                  # last symbol of its document
     last[np.cumsum(lengths) - 1] = True
     rules: list[np.ndarray] = []
     n_rules = 0
     while len(seq) > 1 and n_rules < room:
+        small = base + n_rules <= 1 << 16                            # all symbols so far have 16 bits: a pair has 32
         pairs = (seq[:-1] << np.uint32(16) | seq[1:]) if small else seq[:-1].astype(np.uint64) << np.uint64(32) | seq[1:]
         inner = ~last[:-1]
         codes, counts = _count(pairs[inner])

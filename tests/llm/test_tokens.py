@@ -39,6 +39,21 @@ def test_grammar_round_trip_and_random_access(alphabet):
         assert max(a, b) < shard.base + r
 
 
+@pytest.mark.parametrize("phrases", [200, 20_000])
+def test_grammar_goes_on_until_no_pair_is_frequent(phrases):
+    """Pairs seen 16 to 23 times become rules, also those that 16-bit ids have no room for."""
+    g = np.random.default_rng(phrases)
+    pairs = np.stack([g.permutation(49_000)[:phrases], g.permutation(49_000)[:phrases]], axis=1)
+    tokens = pairs[g.permutation(np.repeat(np.arange(phrases), 18))].reshape(-1).astype(np.uint32)
+    lengths = np.full(len(tokens) // 40, 40, np.uint32)
+    shard = repair.Shard(repair.compress(tokens, lengths))
+    assert (shard.tokens() == tokens).all() and len(shard.rules) >= phrases
+    inner = np.ones(len(shard.sequence), bool)
+    inner[shard.starts[1:] - 1] = False
+    s = shard.sequence.astype(np.int64)
+    assert np.unique((s[:-1] << 32 | s[1:])[inner[:-1]], return_counts=True)[1].max(initial=0) < 16
+
+
 def test_token_files(spark, encoder):
     docs = documents(spark)
     shards = repair.write_shards(docs, tokenizer_path(), shard_tokens=500)
