@@ -340,6 +340,19 @@ def test_toxicity_learns_and_explains(spark):
     assert all(e.label == 1 for x in held if x.predicted for e in list(x.evidence)[:1])
 
 
+def test_toxicity_searches_documents_with_any_known_term(spark):
+    """A word of one toxic example finds that example; no term of the examples is left out."""
+    r = random.Random(3)
+    rows = [(i, " ".join(r.choice(["alpha", "beta", "gamma", "delta", "omega"]) for _ in range(12))) for i in range(60)]
+    rows = [(i, t + " vilething" if i == 7 else t + " commonslur" if i < 20 else t) for i, t in rows]
+    docs = spark.createDataFrame([*rows, (100, "xylo vilething zzz"), (101, "alpha beta"), (102, "qq")], "doc_id long, text string")
+    model = toxicity.fit(docs, spark.createDataFrame([(i, int(i < 20)) for i in range(60)], "doc_id long, toxic int"))
+    assert set(model.features) == {t for _, text in rows for t in toxicity.terms(text)}
+    out = {x.doc_id: x for x in toxicity.score_documents(docs, model).collect()}
+    assert out[100].evidence[0].doc_id == 7 and out[100].evidence[0].label == 1
+    assert out[101].evidence and not out[102].evidence
+
+
 def test_toxicity_without_labels_or_documents(spark):
     docs = documents(spark)
     none = spark.createDataFrame([], "doc_id long, toxic int")
