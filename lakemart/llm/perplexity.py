@@ -13,7 +13,7 @@ lies in one slice (orders 1 and 2 are in all of them).  A slice holds about :dat
 over the rows of one stage, each with one bounded broadcast.  Documents never move.
 
 *Bands.*  Per language, documents whose log-perplexity is more than :data:`FENCE` times the distance between
-the median and the quartile outside that quartile are rejected (above: noise; below: repetition).
+the median and the quartile outside that quartile (each side by its own distance) are rejected (above: noise; below: repetition).
 
 Base rules per document: words, characters in words, symbols, repeated lines, words in repeated 8-word
 windows; fewer than 20 words or over 30 % repeated words fail.
@@ -39,7 +39,8 @@ from lakemart.llm.common import map_arrow, materialize, own_names
 ORDER = 5
 #: Entries of orders 3 to 5 in one slice of the model.
 SLICE = 4_000_000
-FENCE = 10.0
+#: Tukey's outer fence, three interquartile ranges, with each side's own spread: the range is twice median to quartile.
+FENCE = 6.0
 #: Characters that one task counts, and scores, at once.
 COUNTED, SCORED = 1 << 21, 1 << 18
 MIN_WORDS, WINDOW, MAX_REPEATED = 20, 8, 30

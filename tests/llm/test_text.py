@@ -293,6 +293,19 @@ def test_quality_bands(spark):
     assert perplexity.judge_quality(empty(spark)).count() == 0
 
 
+def test_bands_are_outer_fences_of_each_side(spark):
+    r = random.Random(5)
+    good = [["the", "cat", "sat", "on", "a", "mat", "and", "ran"][r.randrange(8)] for _ in range(6000)]
+    texts = [" ".join(good[60 * i:60 * i + 60]) for i in range(100)]
+    texts += ["".join(c if r.random() > share / 200 else chr(r.randrange(400, 440)) for c in texts[share]) for share in range(1, 9)]
+    out = perplexity.judge_quality(spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")).collect()
+    x = sorted(o.log_perplexity for o in out if not o.base_failed)
+    q1, q2, q3 = (x[-(-len(x) * k // 4) - 1] for k in (1, 2, 3))
+    low, high = q1 - 6 * (q2 - q1), q3 + 6 * (q3 - q2)
+    assert all(o.kept == (not o.base_failed and low <= o.log_perplexity <= high) for o in out)
+    assert any(high < v <= q3 + 10 * (q3 - q2) for v in x)
+
+
 # -- toxicity -------------------------------------------------------------------------------------
 
 def test_block_max_search_is_exact():
