@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lakemart.llm import contamination, mixing, perplexity, repair, reputation, revisits, sharding, simhash, suffixes, toxicity
+from lakemart.llm import centroids, contamination, manifest, mixing, perplexity, repair, reputation, revisits, sharding, simhash, suffixes, toxicity
 from lakemart.llm.common import load, text_crc32, utf8_bytes, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -284,3 +285,103 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = perplexity.judge_quality(load(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "log_perplexity")
+
+
+#: The columns of a document that its leaf covers, in this order.
+LEAF_COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+def _sql_field(c: str) -> str:
+    return f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR) || ':' || {c}::VARCHAR END"
+
+
+def _sql_leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_sql_field(text if c == "text" else c) for c in LEAF_COLUMNS) + ")"
+
+
+OP13_SQL = f"""
+WITH RECURSIVE {CRC_SQL},
+leaves AS (
+  SELECT doc_id, source, {_sql_leaf("text")} AS leaf,
+    CASE WHEN {_CRC.replace("x.text", "coalesce(doc_id::VARCHAR, '')")} % 2 = 0 THEN {_sql_leaf("replace(text, chr(10), '')")}
+         ELSE {_sql_leaf("text")} END AS shown
+  FROM documents x, crc_step s),
+placed AS (SELECT *, row_number() OVER w - 1 AS i, count(*) OVER (PARTITION BY source) AS n FROM leaves
+           WINDOW w AS (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf)),
+tree AS (
+  SELECT source, 0 AS lvl, i, n, leaf AS node FROM placed
+  UNION ALL
+  SELECT source, any_value(lvl) + 1, i // 3, (any_value(n) + 2) // 3, sha256(string_agg(node, '' ORDER BY i)) FROM tree WHERE n > 1 GROUP BY source, i // 3),
+subroots AS (
+  SELECT source, node AS subroot, lvl AS height, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS i, count(*) OVER () AS n FROM tree WHERE n = 1),
+top AS (
+  SELECT 0 AS lvl, i, n, subroot AS node FROM subroots
+  UNION ALL
+  SELECT any_value(lvl) + 1, i // 3, (any_value(n) + 2) // 3, sha256(string_agg(node, '' ORDER BY i)) FROM top WHERE n > 1 GROUP BY i // 3),
+steps AS (
+  SELECT p.doc_id, p.source, p.i, t.lvl,
+         coalesce(string_agg(t.node, '' ORDER BY t.i) FILTER (WHERE t.i < p.i // (3 ** t.lvl)::BIGINT), '') AS l,
+         coalesce(string_agg(t.node, '' ORDER BY t.i) FILTER (WHERE t.i > p.i // (3 ** t.lvl)::BIGINT), '') AS r
+  FROM (SELECT doc_id, source, i FROM placed) p JOIN (SELECT * FROM tree WHERE n > 1) t
+    ON p.source IS NOT DISTINCT FROM t.source AND t.i // 3 = (p.i // (3 ** t.lvl)::BIGINT) // 3
+  GROUP BY ALL
+  UNION ALL
+  SELECT p.doc_id, p.source, p.i, s.height + t.lvl,
+         coalesce(string_agg(t.node, '' ORDER BY t.i) FILTER (WHERE t.i < s.i // (3 ** t.lvl)::BIGINT), ''),
+         coalesce(string_agg(t.node, '' ORDER BY t.i) FILTER (WHERE t.i > s.i // (3 ** t.lvl)::BIGINT), '')
+  FROM placed p JOIN subroots s ON p.source IS NOT DISTINCT FROM s.source
+    JOIN (SELECT * FROM top WHERE n > 1) t ON t.i // 3 = (s.i // (3 ** t.lvl)::BIGINT) // 3
+  GROUP BY p.doc_id, p.source, p.i, s.height, t.lvl),
+proofs AS (SELECT source, i, sha256(string_agg(l || r, '' ORDER BY lvl)) AS proof_sha256,
+                  list(l ORDER BY lvl) AS ls, list(r ORDER BY lvl) AS rs, count(*) AS steps FROM steps GROUP BY source, i),
+fold AS (
+  SELECT p.source, p.i, 0 AS k, p.shown AS node, q.ls, q.rs, coalesce(q.steps, 0) AS steps
+  FROM placed p LEFT JOIN proofs q ON p.source IS NOT DISTINCT FROM q.source AND p.i = q.i
+  UNION ALL
+  SELECT source, i, k + 1, sha256(ls[k + 1] || node || rs[k + 1]), ls, rs, steps FROM fold WHERE k < steps)
+SELECT p.doc_id, p.leaf, s.subroot, t.node AS root, coalesce(q.proof_sha256, sha256('')) AS proof_sha256, f.node AS folded_root, f.node = t.node AS verified
+FROM placed p JOIN subroots s ON p.source IS NOT DISTINCT FROM s.source
+  JOIN fold f ON p.source IS NOT DISTINCT FROM f.source AND p.i = f.i AND f.k = f.steps
+  LEFT JOIN proofs q ON p.source IS NOT DISTINCT FROM q.source AND p.i = q.i, (SELECT node FROM top WHERE n = 1) t
+"""
+
+
+@register("op13_merkle_manifest", OP13_SQL)
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    tampered = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 2 == 0
+    shown = F.when(tampered, F.translate("text", "\n", "")).otherwise(F.col("text"))
+    proved = manifest.manifest(docs, "doc_id", "source", manifest.row_digest(LEAF_COLUMNS),
+                               {"shown": manifest.row_digest(LEAF_COLUMNS, {"text": shown})})
+    return proved.select("doc_id", "leaf", "subroot", "root", F.sha2(manifest.siblings(F.col("proof")), 256).alias("proof_sha256"),
+                         manifest.folded(F.col("shown"), F.col("proof")).alias("folded_root")).withColumn(
+                             "verified", F.col("folded_root") == F.col("root"))
+
+
+_NEAREST = """SELECT v.vec_id, v.q, arg_min(c.c, (list_sum(list_transform(range(1, 65), lambda i: (v.q[i] - c.q[i]) * (v.q[i] - c.q[i])))::BIGINT, c.c)) AS c,
+    min(list_sum(list_transform(range(1, 65), lambda i: (v.q[i] - c.q[i]) * (v.q[i] - c.q[i])))::BIGINT) AS distance
+  FROM v, c{0} c GROUP BY v.vec_id, v.q"""
+_MOVED = """SELECT c.c, coalesce(n.q, c.q) AS q FROM c{0} c LEFT JOIN (
+    SELECT c, list(m ORDER BY i) AS q FROM (SELECT c, i, (sum(q[i]) - ((sum(q[i]) % count(*)) + count(*)) % count(*)) // count(*) AS m
+                                           FROM a{0}, unnest(range(1, 65)) AS t(i) GROUP BY c, i) GROUP BY c) n ON n.c = c.c"""
+
+OP12_SQL = f"""
+WITH v AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS c, q FROM v ORDER BY c LIMIT 40),
+{"".join(f"a{r} AS MATERIALIZED ({_NEAREST.format(r)}), c{r + 1} AS MATERIALIZED ({_MOVED.format(r)}), " for r in range(5))}
+last AS MATERIALIZED ({_NEAREST.format(5)})
+SELECT vec_id, l.c::INTEGER AS cluster, distance, sum(distance) OVER (PARTITION BY l.c)::BIGINT AS cluster_inertia,
+       sum(distance) OVER ()::BIGINT AS inertia, sha256(array_to_string(c5.q::BIGINT[], ',')) AS centroid_sha256
+FROM last l JOIN c5 ON c5.c = l.c
+"""
+
+
+@register("op12_centroids", OP12_SQL)
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clusters, found = centroids.cluster(load(spark, sf_dir, "embeddings"))
+    names = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in found]
+    name = F.element_at(F.array(*map(F.lit, names)), F.col("cluster") + 1) if names else F.lit(None).cast("string")
+    return centroids.with_inertia(clusters).withColumn("centroid_sha256", name).select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
