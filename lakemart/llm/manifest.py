@@ -145,7 +145,9 @@ def manifest(rows: DataFrame, order: str, group: str, leaf: Column, extra: dict[
         raise ValueError("a run holds at least two nodes and a block at least one level")
     extra = extra or {}
     payload = F.struct(F.col(f"`{order}`").alias("id"), *(c.alias(k) for k, c in extra.items()))
-    leaves = rows.select(_group_key(group).alias("grp"), F.col(f"`{order}`").alias("id"), leaf.alias("node"), payload.alias("payload"))
+    # written before the range partitioning samples it: every text is hashed once
+    leaves = materialize(rows.select(_group_key(group).alias("grp"), F.col(f"`{order}`").alias("id"), leaf.alias("node"), payload.alias("payload")),
+                         "merkle-leaves")
     rooted, subroots = _reduce(_indexed(leaves, ["id", "node"], "merkle").drop("id"), arity, levels, "merkle")
     tops = subroots.select(F.lit("").alias("grp"), F.col("grp").alias("payload"), F.col("top").alias("node"))
     groups, root = _reduce(_indexed(tops, ["payload"], "merkle-groups"), arity, levels, "merkle-groups")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lakemart.llm import centroids, contamination, manifest, mixing, perplexity, repair, reputation, revisits, sharding, simhash, suffixes, toxicity
+from lakemart.llm import centroids, contamination, heavylight, manifest, mixing, perplexity, repair, reputation, revisits, sharding, simhash, suffixes, toxicity
 from lakemart.llm.common import load, text_crc32, utf8_bytes, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -385,3 +385,25 @@ def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = F.element_at(F.array(*map(F.lit, names)), F.col("cluster") + 1) if names else F.lit(None).cast("string")
     return centroids.with_inertia(clusters).withColumn("centroid_sha256", name).select(
         "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+OP11_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+items AS MATERIALIZED (
+  SELECT DISTINCT r, array_to_string(w[i:i + 3], ' ') AS s FROM words, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS t(i) WHERE len(w) > 0),
+sizes AS MATERIALIZED (SELECT r, count(*) AS n FROM items GROUP BY r),
+links AS MATERIALIZED (
+  SELECT a, b FROM (SELECT x.r AS a, y.r AS b, count(*) AS k FROM items x JOIN items y ON x.s = y.s AND x.r <> y.r GROUP BY ALL) p
+    JOIN sizes sa ON sa.r = p.a JOIN sizes sb ON sb.r = p.b WHERE 100 * k >= 85 * (sa.n + sb.n - k)),
+reach AS (SELECT r, r AS to_ FROM sizes UNION SELECT reach.r, links.b FROM reach JOIN links ON links.a = reach.to_)
+SELECT words.doc_id, coalesce(sizes.n, 0)::BIGINT AS n_shingles, coalesce(c.component_id, words.doc_id) AS component_id
+FROM words LEFT JOIN sizes USING (r)
+  LEFT JOIN (SELECT reach.r, min(o.doc_id) AS component_id FROM reach JOIN words o ON o.r = reach.to_ GROUP BY reach.r) c ON c.r = words.r
+"""
+
+
+@register("op11_ngram_jaccard", OP11_SQL)
+def op11_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return heavylight.similar_sets(load(spark, sf_dir, "documents").select("doc_id", "text"))
