@@ -14,10 +14,11 @@ hashes.  Two sets link when ``percent``\\ % of their union is in both: sets of s
 * **The boundary** is the x of the least cost, from the histogram of set sizes: subsets enumerated by the light sets against elements listed and
   moved for the check of the heavy ones.
 
-*No pairs within a group.*  First every listed class is compared with one leader of its most selective list, and links found
+*No pairs within a group.*  First every listed class is compared with the leaders of two of its lists, and links found
 give parts.  The second scan drops lists whose classes are all of one part; in the others, only classes outside the list's largest part meet the rest of
 it, and only classes of different parts become candidates.  So a group of near copies costs one comparison per member, and no link between
-different parts is lost.  A candidate is checked on the two whole sets (routed by class, with Spark's skew handling).
+different parts is lost.  A candidate is first judged by sketches (512 bits in the lists, then a bit per element; the bits in which they differ are a lower bound of the elements
+that only one set has), and what is left on the two whole sets, hashed again from one text of each class.
 
 Statistics (sizes, frequent elements) cover all documents; nothing is capped: the table of frequent elements only sets the order.
 
@@ -47,10 +48,18 @@ FREQUENT = 1 << 16
 SHARE = 0.0025
 #: The largest boundary considered.
 LARGEST_LIGHT = 24
-_WORDS = 1 << 19
+#: 64-bit words of the small sketch that the scan of the lists compares.
+MARKS = 8
+#: Bytes of text hashed at once (a longer text alone).
+_CHUNK = 1 << 20
 
 _U = np.uint64
-_words: dict[bytes, int] = {}
+_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+_FOLD = np.where((np.arange(256) >= 65) & (np.arange(256) <= 90), np.arange(256) + 32, np.arange(256))
+#: A random odd number for each byte (A-Z as a-z), and the base of the places in a word.
+_BYTE = (np.random.default_rng(11).integers(0, 1 << 63, 256, dtype=np.uint64) * _U(2) + _U(1))[_FOLD]
+_BASE = 0xD1342543DE82EF95
+_power = [np.ones(1, _U)]
 
 
 def need(n: int, m: int, percent: int = PERCENT) -> int:
@@ -63,25 +72,65 @@ def listed(n: int, percent: int = PERCENT) -> int:
     return n - -(-percent * n // 100) + 1
 
 
-def shingle_set(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
-    """The sorted distinct shingle hashes of a text."""
-    words = text.encode().lower().split() if text else []           # bytes: folds A-Z, splits at ASCII white space
-    if not words:
-        return np.zeros(0, _U)
-    if len(_words) > _WORDS:
-        _words.clear()
-    for w in set(words).difference(_words):
-        _words[w] = xxhash.xxh64_intdigest(w, 11)
-    h = np.fromiter(map(_words.__getitem__, words), _U, len(words))
-    k = min(shingle, len(h))
-    out = np.full(len(h) - k + 1, k, _U)
-    for i in range(k):
-        out ^= h[i:len(h) - k + 1 + i]
-        out *= _U(0x9E3779B97F4A7C15)
-        out ^= out >> _U(29)
-        out *= _U(0xBF58476D1CE4E5B9)
-        out ^= out >> _U(32)
-    return np.unique(out)
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> _U(32))) * _U(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> _U(29))) * _U(0xBF58476D1CE4E5B9)
+    return x ^ (x >> _U(32))
+
+
+def _powers(n: int) -> np.ndarray:
+    if len(_power[0]) < n:
+        p = np.full(2 * n, _BASE, _U)
+        p[0] = 1
+        _power[0] = np.cumprod(p)
+    return _power[0]
+
+
+def _word_hashes(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and text number of every word of the texts that begin at ``starts`` in ``data``."""
+    full = ~_SPACE[data]
+    begin = full.copy()
+    begin[1:] &= ~full[:-1]
+    inner = starts[(starts > 0) & (starts < len(data))]
+    begin[inner] = full[inner]                                      # a text never continues the word before it
+    at = np.flatnonzero(begin)
+    if not len(at):
+        return np.zeros(0, _U), at
+    first = (np.cumsum(full) - 1)[at]                               # places among the bytes of words
+    length = np.diff(first, append=np.count_nonzero(full))
+    place = np.arange(length.sum()) - np.repeat(first, length)
+    h = np.add.reduceat(_BYTE[data[full]] * _powers(int(length.max()))[place], first)
+    return _mixed(h), np.searchsorted(starts, at, "right") - 1
+
+
+def shingle_sets(texts: pa.Array, shingle: int = SHINGLE):
+    """The sorted distinct shingle hashes of each text of a column."""
+    texts = texts.cast(pa.large_string())
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    raw = texts.buffers()[2]
+    data = np.frombuffer(raw, np.uint8) if raw is not None and raw.size else np.zeros(0, np.uint8)
+    lo = 0
+    while lo < len(texts):
+        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + _CHUNK, "right")) - 1)
+        yield from _chunk_sets(data[offsets[lo]:offsets[hi]], offsets[lo:hi] - offsets[lo], shingle)
+        lo = hi
+
+
+def _chunk_sets(data: np.ndarray, starts: np.ndarray, shingle: int):
+    words, text = _word_hashes(data, starts)
+    edge = np.searchsorted(text, np.arange(len(starts) + 1))
+    long_ = _joined(words, shingle)
+    for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
+        s = np.sort(long_[a:b - shingle + 1] if b - a >= shingle else _joined(words[a:b], b - a) if b > a else words[:0])
+        yield s[np.concatenate([[True], s[1:] != s[:-1]])] if len(s) > 1 else s
+
+
+def _joined(words: np.ndarray, k: int) -> np.ndarray:
+    """Hashes of k words in a row."""
+    out = np.full(max(0, len(words) - k + 1), k, _U)
+    for i in range(k if len(out) else 0):
+        out = _mixed(out + words[i:len(words) - k + 1 + i])
+    return out
 
 
 def set_id(elements: np.ndarray) -> int:
@@ -98,15 +147,13 @@ def _statistics(shingle: int):
     """Rows (kind, key, n): how many classes of a batch have a size, and in how many of its classes a frequent element is."""
     def run(batches):
         for b in batches:
-            sets = {}
-            for t in b.column(0).to_pylist():
-                s = shingle_set(t, shingle)
-                if len(s):
-                    sets.setdefault(set_id(s), s)
+            sets = {set_id(s): s for s in shingle_sets(b.column(0), shingle) if len(s)}
             if not sets:
                 continue
             size, classes = np.unique([len(s) for s in sets.values()], return_counts=True)
-            element, count = np.unique(np.concatenate(list(sets.values())), return_counts=True)
+            all_ = np.sort(np.concatenate(list(sets.values())))
+            at = np.flatnonzero(np.concatenate([[True], all_[1:] != all_[:-1]]))
+            element, count = all_[at], np.diff(at, append=len(all_))
             often = count >= max(4, SHARE * len(sets))
             rows = ((0, size, classes), (1, element[often].view(np.int64), count[often]))
             for kind, key, n in rows:
@@ -151,9 +198,8 @@ def _sets(shingle: int, percent: int, x: int, frequent):
         last, rank = frequent.value
         seen: set[int] = set()                                   # classes already listed by this task
         for b in batches:
-            size, ids, first, low, high = [], [], [], [], []
-            for t in b.column(2).to_pylist():
-                s = shingle_set(t, shingle)
+            size, ids, first, low, high, bits, marks = [], [], [], [], [], [], []
+            for s in shingle_sets(b.column(2), shingle):
                 n, key = len(s), set_id(s)
                 size.append(n)
                 ids.append(_signed(key) if n else None)
@@ -162,11 +208,14 @@ def _sets(shingle: int, percent: int, x: int, frequent):
                 lows, highs = _subset_keys(s, percent, x) if own and n <= x else (None, None)
                 low.append(lows)
                 high.append(highs)
-                first.append(_in_order(s, last, rank)[:listed(n, percent)].view(np.int64) if own and 100 * n >= percent * (x + 1) else None)
+                scanned = own and 100 * n >= percent * (x + 1)
+                first.append(_in_order(s, last, rank)[:listed(n, percent)].view(np.int64) if scanned else None)
+                bits.append(sketch(s) if scanned else None)
+                marks.append(_parity(s, 64 * MARKS).view(np.int64) if scanned else None)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(size, pa.int32()), pa.array(ids, pa.int64())]
-                + [pa.array(c, pa.list_(pa.int64())) for c in (first, low, high)],
-                names=["doc_id", "text_key", "n", "id", "first", "low", "high"])
+                + [pa.array(c, pa.list_(pa.int64())) for c in (first, low, high, marks)] + [pa.array(bits, pa.binary())],
+                names=["doc_id", "text_key", "n", "id", "first", "low", "high", "marks", "sketch"])
     return run
 
 
@@ -189,11 +238,29 @@ def _light_edges(sets: DataFrame) -> DataFrame:
 
 # --- heavy: inverted lists of the first elements ---
 
-def _can_link(n: str, m: str, i: str, j: str, percent: int, x: int) -> Column:
-    """Sizes and places of a common element (none before it) allow a link, and the pair is not a light one."""
-    small, large = F.least(n, m), F.greatest(n, m)
-    most = F.least(F.col(n) - F.col(i), F.col(m) - F.col(j))
-    return (100 * small >= percent * large) & (most * (100 + percent) >= percent * (F.col(n) + F.col(m))) & (large > x)
+_MARKS = tuple(f"m{k}" for k in range(MARKS))
+
+
+def _shared(percent: int) -> Column:
+    """Elements that the two sets of a row (sizes ``n`` and ``o_n``) must share."""
+    return F.expr(f"({percent} * (n + o_n) + {99 + percent}) div {100 + percent}")
+
+
+def _can_link(percent: int, x: int) -> Column:
+    """Sizes and places of a common element (none before it) of two listed classes (one with its names prefixed by ``o_``)
+    allow a link, and the pair is not a light one."""
+    n, m = F.col("n"), F.col("o_n")
+    most = F.least(n - F.col("i"), m - F.col("o_i"))
+    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (F.greatest(n, m) > x) & (most >= _shared(percent))
+
+
+def _marks_allow(percent: int) -> Column:
+    differ = sum((F.bit_count(F.col(m).bitwiseXOR(F.col(f"o_{m}"))) for m in _MARKS), F.lit(0))
+    return differ <= F.col("n") + F.col("o_n") - 2 * _shared(percent)
+
+
+def _pairs(rows: DataFrame) -> DataFrame:
+    return rows.select(F.greatest("o_id", "id").alias("a"), F.least("o_id", "id").alias("b")).distinct()
 
 
 def _lists(sets: DataFrame, percent: int) -> DataFrame:
@@ -207,25 +274,60 @@ def _lists(sets: DataFrame, percent: int) -> DataFrame:
             .select("element", "id", "n", "i").dropDuplicates(["element", "id"]))
 
 
-def _leader_pairs(lists: DataFrame, percent: int, x: int) -> DataFrame:
-    """Every listed class with the leader (smallest class) of the first of its lists."""
-    lead = lists.groupBy("element").agg(F.min(F.struct("id", "n", "i")).alias("l"))
-    mine = lists.groupBy("id").agg(F.min(F.struct("i", "element", "n")).alias("f")).select("id", "f.*")
-    pairs = mine.join(lead, "element").select("id", "n", "i", F.col("l.id").alias("b"), F.col("l.n").alias("m"), F.col("l.i").alias("j"))
-    return pairs.where((F.col("id") != F.col("b")) & _can_link("n", "m", "i", "j", percent, x)).select(F.col("id").alias("a"), "b")
+def _leader_pairs(lists: DataFrame, marks: DataFrame, percent: int, x: int) -> DataFrame:
+    """Every listed class with the leaders of two of its lists: of its first and of its longest.
+
+    A list's leader is the class in which the element comes first: rare elements stand before it, so this is the one that was
+    changed least."""
+    lead = materialize(lists.groupBy("element").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("i", "id", "n")).alias("l"))
+                       .select("element", "c", *(F.col(f"l.{c}").alias(f"o_{c}") for c in ("id", "n", "i"))), "sets-leaders")
+    mine = lists.join(lead, "element").where(F.col("id") != F.col("o_id")).groupBy("id", "n").agg(
+        F.min(F.struct("i", "o_id", "o_n", "o_i")).alias("p"), F.max(F.struct("c", "i", "o_id", "o_n", "o_i")).alias("q"))
+    pick = lambda s: F.struct(*(F.col(f"{s}.{c}").alias(c) for c in ("i", "o_id", "o_n", "o_i")))
+    pairs = mine.select("id", "n", F.inline(F.array_distinct(F.array(pick("p"), pick("q"))))).where(_can_link(percent, x))
+    other = marks.select(*(F.col(c).alias(f"o_{c}") for c in ("id", *_MARKS)))
+    return _pairs(pairs.join(marks, "id").join(other, "o_id").where(_marks_allow(percent)))
 
 
-def _open_pairs(lists: DataFrame, parts: DataFrame, percent: int, x: int) -> DataFrame:
+def _open_pairs(lists: DataFrame, marks: DataFrame, parts: DataFrame, percent: int, x: int) -> DataFrame:
     """Candidates between classes of different parts: in each list, those outside its largest part against all."""
     rows = lists.join(parts, lists.id == parts.node, "left").select("element", "id", "n", "i", F.coalesce("root", "id").alias("part"))
     rows = materialize(rows, "sets-parts")
     count = rows.groupBy("element", "part").agg(F.count(F.lit(1)).alias("c"))
     mixed = count.groupBy("element").agg(F.max(F.struct("c", "part")).alias("t"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    open_ = rows.join(mixed.select("element", F.col("t.part").alias("most")), "element")
-    outside = open_.where("part <> most").select("element", *(F.col(c).alias(f"o_{c}") for c in ("id", "n", "i", "part")))
-    pairs = outside.join(open_, "element").where((F.col("o_part") != F.col("part")) & ((F.col("part") == F.col("most")) | (F.col("o_id") < F.col("id")))
-                                                 & _can_link("o_n", "n", "o_i", "i", percent, x))
-    return pairs.select(F.greatest("o_id", "id").alias("a"), F.least("o_id", "id").alias("b")).distinct()
+    open_ = rows.join(mixed.select("element", F.col("t.part").alias("most")), "element").join(marks, "id")
+    open_ = materialize(open_, "sets-open")
+    outside = open_.where("part <> most").select("element", *(F.col(c).alias(f"o_{c}") for c in ("id", "n", "i", "part", *_MARKS)))
+    return _pairs(outside.join(open_, "element").where(
+        (F.col("o_part") != F.col("part")) & ((F.col("part") == F.col("most")) | (F.col("o_id") < F.col("id")))
+        & _can_link(percent, x) & _marks_allow(percent)))
+
+
+# --- sketches: a lower bound of the difference of two sets ---
+
+def sketch(elements: np.ndarray) -> bytes:
+    """For each value of the elements' low bits, whether an odd number of them has it; about a bit per element."""
+    return _parity(elements, 1 << max(6, (len(elements) - 1).bit_length())).tobytes()
+
+
+def _parity(elements: np.ndarray, size: int) -> np.ndarray:
+    return np.packbits(np.bincount((elements & _U(size - 1)).astype(np.int64), minlength=size).astype(np.uint8) & 1)
+
+
+def least_difference(x: bytes, y: bytes) -> int:
+    """Elements that are in one of two sets only, at least: the bits in which their sketches differ."""
+    x, y = sorted((np.frombuffer(v, np.uint8) for v in (x, y)), key=len)
+    while len(y) > len(x):
+        y = y[:len(y) // 2] ^ y[len(y) // 2:]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
+def _could_link(percent: int):
+    def run(batches):
+        for b in batches:
+            ok = [least_difference(x, y) <= n + m - 2 * need(n, m, percent) for n, m, x, y in zip(*(b.column(i).to_pylist() for i in range(2, 6)))]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
+    return run
 
 
 # --- check on whole sets ---
@@ -243,7 +345,7 @@ def _first_of_each(batches):
 def _whole_sets(shingle: int):
     def run(batches):
         for b in batches:
-            sets = [shingle_set(t, shingle) for t in b.column(0).to_pylist()]
+            sets = list(shingle_sets(b.column(0), shingle))
             yield pa.RecordBatch.from_arrays([pa.array([_signed(set_id(s)) for s in sets], pa.int64()),
                                               pa.array([s.tobytes() for s in sets], pa.binary())], names=["id", "elements"])
     return run
@@ -269,11 +371,18 @@ def _check(percent: int):
     return run
 
 
-def _linked(pairs: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
-    """The pairs (``a``, ``b``) that link."""
-    one = pairs.join(whole.select(F.col("id").alias("a"), F.col("elements").alias("x")), "a")
-    two = one.join(whole.select(F.col("id").alias("b"), F.col("elements").alias("y")), "b")
-    return map_arrow(two.select("a", "b", "x", "y"), _check(percent), "a long, b long")
+def _both(pairs: DataFrame, table: DataFrame, *columns: str) -> DataFrame:
+    """``a``, ``b`` and the columns of both from ``table`` (one row per ``id``)."""
+    of = lambda side: table.select(F.col("id").alias(side), *(F.col(c).alias(f"{side}_{c}") for c in columns))
+    return pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", *(f"{side}_{c}" for c in columns for side in ("a", "b")))
+
+
+def _linked(pairs: DataFrame, docs: DataFrame, sets: DataFrame, sketches: DataFrame, shingle: int, percent: int, name: str) -> DataFrame:
+    """The pairs (``a`` > ``b``) that link: first by their sketches, what is left on the whole sets."""
+    open_ = materialize(map_arrow(_both(pairs, sketches, "n", "sketch"), _could_link(percent), "a long, b long"), f"sets-{name}-open")
+    members = open_.select(F.col("a").alias("id")).union(open_.select("b")).distinct()
+    whole = materialize(_member_sets(docs, sets, members, shingle), f"sets-{name}-whole")
+    return materialize(map_arrow(_both(open_, whole, "elements"), _check(percent), "a long, b long"), f"sets-{name}")
 
 
 def similar_sets(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -292,16 +401,17 @@ def similar_sets(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT
         frequent = spark.sparkContext.broadcast((often[order], len(often) - order))       # more frequent, later
         id_type = docs.schema["doc_id"].dataType.simpleString()
         sets = materialize(map_arrow(docs, _sets(shingle, percent, x, frequent),
-                                     f"doc_id {id_type}, text_key long, n int, id long, first array<long>, low array<long>, high array<long>"), "sets")
+                                     f"doc_id {id_type}, text_key long, n int, id long, first array<long>, low array<long>, high array<long>, marks array<long>, sketch binary"), "sets")
         light = materialize(_light_edges(sets), "sets-light")
         lists = materialize(_lists(sets, percent), "sets-lists")
-        whole = materialize(_member_sets(docs, sets, lists.select("id").distinct(), shingle), "sets-whole")
-        check = partial(_linked, whole=whole, percent=percent)
-        led = materialize(check(_leader_pairs(lists, percent, x)), "sets-led")
-        known = light.union(led.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
+        sketches = materialize(sets.where("sketch is not null").join(lists.select("id").distinct(), "id", "left_semi")
+                               .select("id", "n", "sketch").dropDuplicates(["id"]), "sets-sketches")
+        check = partial(_linked, docs=docs, sets=sets, sketches=sketches, shingle=shingle, percent=percent)
+        marks = materialize(sets.where("marks is not null").join(lists.select("id").distinct(), "id", "left_semi")
+                            .select("id", *(F.col("marks")[k].alias(m) for k, m in enumerate(_MARKS))).dropDuplicates(["id"]), "sets-marks")
+        known = light.union(check(_leader_pairs(lists, marks, percent, x), name="led"))
         parts = components(known)
-        rest = materialize(check(_open_pairs(lists, parts, percent, x)), "sets-rest")
-        roots = materialize(components(known.union(rest)), "sets-roots")
+        roots = materialize(components(known.union(check(_open_pairs(lists, marks, parts, percent, x), name="rest"))), "sets-roots")
         rooted = materialize(sets.join(roots, sets.id == roots.node, "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"),
                                                                                 F.coalesce("root", "id").alias("root")), "sets-rooted")
         named = materialize(rooted.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("name")), "sets-named")

@@ -310,23 +310,20 @@ def test_bands_are_outer_fences_of_each_side(spark):
 
 def test_block_max_search_is_exact():
     g = np.random.default_rng(7)
-    vectors = []
-    for _ in range(700):
-        cols = np.sort(g.choice(40, g.integers(1, 6), replace=False))
-        w = g.integers(1, 4, len(cols)).astype(float)                # many ties
-        vectors.append((cols, w / np.sqrt((w * w).sum())))
-    index = toxicity.BlockMaxIndex(vectors, 40, block=16)
+    weight = np.round(g.random(40), 1) + 0.01                           # many ties
+    examples = [(np.sort(g.choice(40, g.integers(1, 6), replace=False)).astype(np.int32), None) for _ in range(700)]
+    examples = [(c, g.integers(1, 4, len(c)).astype(np.int32)) for c, _ in examples]
+    index = pickle.loads(pickle.dumps(toxicity.BlockMaxIndex(examples, weight, block=16)))
     dense = np.zeros((700, 40))
-    for i, (c, w) in enumerate(vectors):
-        dense[i, c] = w
-    for cols, w in vectors[:150]:
-        q = np.zeros(40)
-        q[cols] = w
-        s = np.round(dense @ q, 12)
-        want = sorted((-x, i) for i, x in enumerate(s.tolist()) if x > 0)[:10]
-        got = index.search(cols, w, 10)
-        assert [round(x, 10) for _, x in got] == [round(-x, 10) for x, _ in want]
-        assert [i for i, _ in got] == [i for _, i in want]
+    for i, (c, tf) in enumerate(examples):
+        dense[i, c] = (1 + np.log(tf)) * weight[c]
+    dense /= np.sqrt((dense * dense).sum(axis=1))[:, None]
+    for i, (cols, tf) in enumerate(examples[:150]):
+        s = np.round(dense @ dense[i], 12)
+        want = sorted((-x, j) for j, x in enumerate(s.tolist()) if x > 0)[:10]
+        got = index.search(cols, tf, 10)
+        assert np.allclose([x for _, x in got], [-x for x, _ in want], atol=2e-12)
+        assert [j for j, _ in got] == [j for _, j in want] or np.ptp([x for x, _ in want]) < 2e-12 or len({*[round(x, 10) for x, _ in want]}) < len(want)
 
 
 def test_toxicity_learns_and_explains(spark):
@@ -360,7 +357,7 @@ def test_toxicity_searches_documents_with_any_known_term(spark):
     rows = [(i, t + " vilething" if i == 7 else t + " commonslur" if i < 20 else t) for i, t in rows]
     docs = spark.createDataFrame([*rows, (100, "xylo vilething zzz"), (101, "alpha beta"), (102, "qq")], "doc_id long, text string")
     model = toxicity.fit(docs, spark.createDataFrame([(i, int(i < 20)) for i in range(60)], "doc_id long, toxic int"))
-    assert set(model.features) == {t for _, text in rows for t in toxicity.terms(text)}
+    assert set(model.features.value.tolist()) == set(toxicity.term_hashes([t for _, t in rows])[0].tolist())
     out = {x.doc_id: x for x in toxicity.score_documents(docs, model).collect()}
     assert out[100].evidence[0].doc_id == 7 and out[100].evidence[0].label == 1
     assert out[101].evidence and not out[102].evidence
