@@ -14,7 +14,7 @@ are measured too, in integers.  The rotation only decides what is skipped, so th
 *Work.*  Vectors stay where they lie: a round is one pass that sends one row of sums per task and centroid (64-bit sums; larger
 numbers in limbs of :data:`LIMB` bits).  Only the centroids (k x dimensions) pass through the driver.
 
-Defined cases: rows that are not kept get no row; several rows with one id are vectors of their own; a null id counts as the
+Defined cases: rows that are not kept get no row (a component whose multiple is beyond the doubles counts as infinite); several rows with one id are vectors of their own; a null id counts as the
 empty text in the hash; equal distances go to the smaller number; with fewer vectors than centroids there are
 as many centroids as vectors; no vector, no rows; components of any size are exact (above 2**27 in Python integers), a
 distance or an inertia beyond 64 bits is null.  Other columns are not carried.
@@ -40,8 +40,8 @@ _SMALL = 1 << 27
 LIMB = 31
 
 
-def kept(vectors: DataFrame, column: str, dim: int) -> Column:
-    bad = F.exists(F.col(column), lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+def kept(column: str, dim: int, scale: int) -> Column:
+    bad = F.exists(F.col(column), lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double") * scale) == float("inf")))
     return F.coalesce((F.size(column) == dim) & ~bad, F.lit(False))
 
 
@@ -215,7 +215,7 @@ def cluster(vectors: DataFrame, k: int = K, rounds: int = ROUNDS, dim: int = DIM
         raise ValueError("the scale must be a power of two, and the leading coordinates some of the dimensions")
     id_type = vectors.schema["vec_id"].dataType.simpleString()
     item = vectors.schema["embedding"].dataType.simpleString()
-    good = vectors.where(kept(vectors, "embedding", dim)).select("vec_id", "embedding")
+    good = vectors.where(kept("embedding", dim, scale)).select("vec_id", "embedding")
     axes = rotation(good, dim, scale)
     rotated = materialize(map_arrow(good, _rotate(dim, scale, axes, lead), f"vec_id {id_type}, embedding {item}, lead array<double>, rest double"),
                           "rotated")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import contextvars
 import os
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -12,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 import lakemart
-from lakemart.session import materialize
+from lakemart import session
 
 #: A word of the contracts: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -22,6 +23,27 @@ BATCH_BYTES = 8 << 20
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+_scope: contextvars.ContextVar[session.Scratch | None] = contextvars.ContextVar("scratch scope", default=None)
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession):
+    """Work tables of operators called inside the block go when it ends; write what is to stay within it, with
+    :func:`lakemart.session.materialize`."""
+    with session.Scratch(spark) as scope:
+        token = _scope.set(scope)
+        try:
+            yield scope
+        finally:
+            _scope.reset(token)
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """A work table on shared storage; it stays until the scope around the call ends (without one: for a result that is
+    still to be read)."""
+    return session.materialize(df, name, _scope.get())
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -85,4 +107,4 @@ def own_names(df: DataFrame, names: list[str]) -> DataFrame:
 
 
 __all__ = ["WORD", "BATCH_BYTES", "load", "ascii_lower", "word_count", "utf8_bytes", "text_crc32", "map_arrow",
-           "own_names", "shuffle_cleanup", "materialize"]
+           "own_names", "scratch_scope", "shuffle_cleanup", "materialize"]

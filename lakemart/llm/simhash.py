@@ -42,8 +42,10 @@ MAX_BITS = 3
 SEED = 42
 #: Distinct fingerprints that one task compares with each other.
 BUCKET = 4096
-#: (blocks to cut the free bits into, blocks that must agree) at each level.
-LEVELS = ((5, 2), (6, 3), (7, 4))
+#: Blocks that must agree at each level; the free bits are cut into so many blocks more as bits may differ.
+AGREE = (2, 3, 4)
+#: With more differing bits, three levels would not bound a bucket.
+MOST_BITS = 4
 _CHUNK = 1 << 16
 
 
@@ -96,11 +98,14 @@ def _signed(x: int) -> int:
 
 def bucket_edges(distinct: DataFrame, max_bits: int = MAX_BITS, bucket: int = BUCKET) -> DataFrame:
     """Edges (``a``, ``b``) with ``b`` < ``a`` that connect exactly the linked fingerprints of ``distinct`` (``fp``)."""
+    if not 0 <= max_bits <= MOST_BITS:
+        raise ValueError(f"at most {MOST_BITS} bits may differ")
     edges = []
     # (path of masks so far: as one column ``mask``, the union of the bits agreed on)
     todo = distinct.select("fp", F.lit(0).cast("long").alias("mask"))
     groups = {0: list(range(64))}                  # agreed mask -> free bits
-    for level, (blocks, agree) in enumerate(LEVELS):
+    for level, agree in enumerate(AGREE):
+        blocks = agree + max_bits
         choices = F.create_map(*(x for mask, free in groups.items() for x in (
             F.lit(_signed(mask)), F.array(*(F.lit(_signed(mask | m)) for m, _ in _masks(free, blocks, agree))))))
         groups = {mask | m: f for mask, free in groups.items() for m, f in _masks(free, blocks, agree)}
@@ -109,7 +114,7 @@ def bucket_edges(distinct: DataFrame, max_bits: int = MAX_BITS, bucket: int = BU
         if level:
             keyed = keyed.distinct()               # the same bits can be agreed on by several paths
         counts = materialize(keyed.groupBy("mask", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "simhash-buckets")
-        last = level == len(LEVELS) - 1
+        last = level == len(AGREE) - 1
         largest = counts.agg(F.max("n")).first()[0] or 0
         small = keyed.join(counts if last else counts.where(F.col("n") <= bucket), ["mask", "key"])
         lists = small.groupBy("mask", "key").agg(F.collect_list("fp").alias("fps"))

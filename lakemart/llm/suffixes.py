@@ -1,6 +1,9 @@
 """Operator 10 — remove bytes covered by 50-byte strings that a smaller document has too.
 
-Prefix doubling over sampled suffixes.  A position's rank at length h is the 64-bit hash ("name") of
+Sampled window hashing in the place of full prefix doubling.  Doubling ranks every position at 1, 2, 4 ... 50 bytes; even with
+unique ranks leaving, its first rounds sort a row per byte of the corpus (16 bytes of rank pair and place for each byte, some 30 times the
+input on disk against a limit of 4).  Here the first rank is taken at 20 bytes and only for positions that a window chooses, and the offset
+doubles once, to 50.  A position's rank at length h is the 64-bit hash ("name") of
 its next h bytes, so the pair (rank at p, rank at p + h) of classical doubling needs no look-up; Spark
 sorts (rank, document) rows, rows with a unique rank leave, and the others go on to the next length:
 
@@ -17,7 +20,7 @@ Rows with the same rank and run inside one Arrow batch are combined before the s
 all, the others are already decided), so a passage that a third of all documents share sends one row per batch.
 Sorted ranks are read as a stream with a carry of one group's state, never a group at a time.
 
-Ranks of equal length are compared by 64-bit hashes (two of them, 128 bits, in round 2); texts are never cut.
+Nothing is removed on less than 128 bits of hash (rounds 2 and 3); texts are never cut.
 Memory per task: one block of text (:data:`BLOCK`) and one batch of ranks.
 
 Defined cases: null and empty texts have no bytes; texts under 50 bytes lose nothing and take nothing; rows with
@@ -29,7 +32,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
 from lakemart.llm.common import map_arrow, materialize, own_names, shuffle_cleanup
@@ -38,15 +41,21 @@ LENGTH = 50
 GRAM = 20
 #: Bytes of text ranked at once; longer documents are ranked in segments that overlap by one window.
 BLOCK = 1 << 17
-_NO_ID = (1 << 63) - 1
-_WORK = ["removed", "kept", "_lm_id", "_lm_th", "_lm_spans", "_lm_probes"]
+#: Ids from here on stand for rows without an id: one document for the comparison, several numbers to tell the rows apart.
+_NO_ID = (1 << 63) - (1 << 40)
+#: Rows that can share an id.
+_SHARED = 1 << 18
+_BUCKETS = 1024
+_WORK = ["removed", "kept", "_lm_id", "_lm_th", "_lm_spans", "_lm_probes", "_lm_key", "_lm_h1", "_lm_h2", "k", "h1", "h2", "no"]
 
 _U = np.uint64
 #: Random odd 64-bit numbers: one per byte value, and the base of the polynomial.
 _BYTE = np.random.default_rng(42).integers(0, 1 << 63, 256, dtype=np.uint64) * _U(2) + _U(1)
 _BASE = 0x9E3779B97F4A7C15
+#: A second table, for the other half of a 128-bit rank.
+_BYTE2 = np.random.default_rng(43).integers(0, 1 << 63, 256, dtype=np.uint64) * _U(2) + _U(1)
 _AT = _U((1 << 31) - 1)
-#: Packed place of a row: text hash (18 bits), left (6), count (6), offset (33); the sign marks a decided span.
+#: Packed place of a row: number among the rows of its id (18 bits), left (6), count (6), offset (33); the sign marks a decided span.
 _TH, _LEFT, _COUNT, _OFF = 45, 39, 33, (1 << 33) - 1
 
 _tables: list[np.ndarray] = []
@@ -80,8 +89,19 @@ class Block:
         self.ends = np.cumsum([len(p[2]) for p in parts])
         self.starts = np.concatenate([[0], self.ends[:-1]])
         self.power, self.inverse = _powers()
-        self.sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_BYTE[data] * self.power[:len(data)], out=self.sums[1:])
+        self.data, self._second = data, None
+        self.sums = self._sums(_BYTE)
+
+    def _sums(self, table: np.ndarray) -> np.ndarray:
+        sums = np.zeros(len(self.data) + 1, np.uint64)
+        np.cumsum(table[self.data] * self.power[:len(self.data)], out=sums[1:])
+        return sums
+
+    def second(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        """The other 64 bits of the ranges' ranks."""
+        if self._second is None:
+            self._second = self._sums(_BYTE2)
+        return (self._second[hi] - self._second[lo]) * self.inverse[lo]
 
     def ranks(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
         """Raw hash of each byte range (equal ranges, equal hash; not yet mixed)."""
@@ -139,8 +159,9 @@ def _combine(k1: np.ndarray, k2: np.ndarray, ids: np.ndarray, loc: np.ndarray, l
     first = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]])) if len(s) else np.zeros(0, int)
     group = np.empty(len(s), np.int64)
     group[order] = np.repeat(np.arange(len(first)), np.diff(first, append=len(s)))
-    lowest = np.minimum.reduceat(ids[order], first) if len(s) else ids
-    send = ids == lowest[group]
+    doc = np.minimum(ids, _NO_ID)
+    lowest = np.minimum.reduceat(doc[order], first) if len(s) else doc
+    send = doc == lowest[group]
     return send, _merged_spans(ids[~send], loc[~send], length)
 
 
@@ -213,11 +234,10 @@ def _rank_windows(length: int):
                         continue
                     p = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
                     at = p - base + block.starts[s]
-                    k1 = _mix(block.ranks(at, at + length))
-                    out.append((k1, np.full(len(p), ids[doc]), th[doc] << _TH | p))
+                    k1, k2 = _mix(block.ranks(at, at + length)), _mix(block.second(at, at + length))
+                    out.append((k1, k2, np.full(len(p), ids[doc]), th[doc] << _TH | p))
             if out:
-                k1, i, loc = (np.concatenate(x) for x in zip(*out))
-                k2 = np.zeros(len(k1), np.uint64)
+                k1, k2, i, loc = (np.concatenate(x) for x in zip(*out))
                 send, spans = _combine(k1, k2, i, loc, length)
                 yield _ranked_batch(k1[send], k2[send], i[send], loc[send], spans)
     return rank
@@ -255,10 +275,11 @@ def _decide(length: int):
             new2 = new1 | np.concatenate([[True], k2[1:] != k2[:-1]])
             at1, at2 = np.flatnonzero(new1), np.flatnonzero(new2)
             of1, of2 = np.cumsum(new1) - 1, np.cumsum(new2) - 1
-            smallest = ids[at2][of2] == ids
+            doc = np.minimum(ids, _NO_ID)
+            smallest = doc[at2][of2] == doc
             multi = np.bincount(of1[at2]) > 1
             # a key of one document alone needs no probes; only known for keys that begin and end in this batch
-            alone = np.minimum.reduceat(ids, at1) == np.maximum.reduceat(ids, at1)
+            alone = np.minimum.reduceat(doc, at1) == np.maximum.reduceat(doc, at1)
             alone[-1] = False
             if kept:
                 alone[0] = False
@@ -296,11 +317,41 @@ def repeat_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Dat
     return first.where("n > 0").union(second.where("n > 0"))
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` plus ``_lm_id`` and ``_lm_th``, which together name a row's id and text.
+
+    Only rows without an id and rows that share one need a number, by the 128-bit hash of their text; they are found and
+    numbered without the texts, and joined back by (id, hash): where there are none, or few, no text moves."""
+    hashed = docs.withColumns({"_lm_key": F.col("doc_id").cast("long"), "_lm_h1": F.xxhash64("text"), "_lm_h2": F.xxhash64(F.lit(1), "text")})
+    keys = hashed.select("_lm_key", "_lm_h1", "_lm_h2")
+    shared = materialize(keys.groupBy("_lm_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or _lm_key is null"), "repeat-shared")
+    most = shared.where("_lm_key is not null").agg(F.max("n")).first()[0] or 0
+    if most > _SHARED:
+        raise ValueError(f"{most} rows share an id; at most {_SHARED} can")
+    # hashes cut the rows of an id (all rows without one, say) into buckets, which are counted before they are numbered
+    rows = keys.join(shared.select(F.col("_lm_key").alias("k")), F.col("_lm_key").eqNullSafe(F.col("k")), "left_semi").distinct()
+    rows = materialize(rows.withColumn("b", F.pmod("_lm_h1", F.lit(_BUCKETS)).cast("int")), "repeat-shared-rows")
+    sizes = rows.groupBy("_lm_key", "b").agg(F.count(F.lit(1)).alias("c"))
+    before = sizes.withColumn("at", F.sum("c").over(Window.partitionBy("_lm_key").orderBy("b")) - F.col("c")).select(
+        F.col("_lm_key").alias("k"), F.col("b").alias("kb"), "at")
+    place = F.row_number().over(Window.partitionBy("_lm_key", "b").orderBy("_lm_h1", "_lm_h2")) - 1
+    numbered = materialize(rows.withColumn("place", place).join(before, F.col("_lm_key").eqNullSafe(F.col("k")) & (F.col("b") == F.col("kb")))
+                           .select(F.col("_lm_key").alias("k"), F.col("_lm_h1").alias("h1"), F.col("_lm_h2").alias("h2"),
+                                   (F.col("at") + F.col("place")).alias("no")), "repeat-numbers")
+    same = F.col("_lm_key").eqNullSafe(F.col("k")) & (F.col("_lm_h1") == F.col("h1")) & (F.col("_lm_h2") == F.col("h2"))
+    no = F.coalesce(F.col("no").cast("long"), F.lit(0).cast("long"))
+    joined = hashed.join(numbered, same, "left")
+    return joined.select(*(F.col(f"`{c}`") for c in docs.columns),
+                         F.coalesce(F.col("_lm_key"), F.lit(_NO_ID) + F.shiftright(no, 18)).alias("_lm_id"),
+                         (no % _SHARED).cast("int").alias("_lm_th"))
+
+
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """``docs`` (``doc_id``, ``text``) plus ``removed`` (byte ranges, end exclusive) and ``kept`` (the remaining bytes)."""
+    """``docs`` (``doc_id``, ``text``) plus ``removed`` (byte ranges, end exclusive) and ``kept`` (the remaining bytes).
+
+    ``doc_id`` is an integer below 2**63 - 2**40."""
     docs = own_names(docs, _WORK)
-    keyed = docs.withColumns({"_lm_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)),
-                              "_lm_th": F.shiftrightunsigned(F.xxhash64("text"), 46).cast("int")})
+    keyed = _numbered(docs)
     spans = repeat_spans(keyed.select(F.col("_lm_id").alias("id"), F.col("_lm_th").alias("th"), "text"), length, gram)
     per_doc = spans.groupBy(F.col("id").alias("_lm_id"), F.col("th").alias("_lm_th")).agg(
         F.collect_list(F.struct("lo", "n")).alias("_lm_spans"))

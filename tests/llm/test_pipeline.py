@@ -56,6 +56,34 @@ def test_stages_keep_columns_and_take_effect(spark, sf_dir):
             assert {"shard", "slot", "size", "text_crc32"} <= set(docs.columns) and "SIZE" not in docs.columns
 
 
+def test_toxic_documents_go_and_clean_ones_stay(spark, tmp_path):
+    """Labels with both classes: what operator 5 predicts goes, the planted insults among it, nothing else."""
+    import random
+    r, d = random.Random(4), str(tmp_path)
+    words = [f"plain{i}" for i in range(80)]
+    rows = []
+    for i in range(240):
+        text = [r.choice(words) for _ in range(r.randint(5, 40))]
+        rows.append((i, " ".join(text + ["vileslur", "foulname"] if i % 4 == 0 else text), "en", "s", 0))
+    rows += [(900, None, "en", "s", 0), (901, "", "en", None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
+    docs.write.parquet(f"{d}/documents.parquet")
+    spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(160)], "doc_id long, quality int, toxic int").write.parquet(f"{d}/labels.parquet")
+    kept = {x.doc_id for x in P.drop_toxic(spark, docs, d).collect()}
+    assert kept == {i for i, *_ in rows if i >= 900 or i % 4}
+    said = {x.doc_id for x in Q.QUERIES["op5_toxicity"](spark, d).where("predicted = 0").collect()}
+    assert kept == said
+
+
+def test_run_leaves_only_its_result(spark):
+    import os
+    from lakemart.session import ensure_checkpoint_dir
+    base = os.path.join(ensure_checkpoint_dir(spark).replace("file:", ""), "lakemart-scratch")
+    before = set(os.listdir(base)) if os.path.isdir(base) else set()
+    out = P.run(spark, SF_SMALL)
+    assert [n.rsplit("-", 1)[0] for n in set(os.listdir(base)) - before] == ["pipeline-sharding"] and out.count() > 0
+
+
 def test_run_on_supplied_and_empty_tables(spark, tmp_path):
     out = P.run(spark, SF_SMALL)
     assert 0 < out.count() and set(load(spark, SF_SMALL, "documents").columns) < set(out.columns)

@@ -375,3 +375,96 @@ def test_schema_of_the_fixture_clashes(spark):
     """The fixture really holds names that operators use."""
     assert {"score", "shard", "_lm_id", "kept"} <= set(spark.createDataFrame([], SCHEMA).columns)
     assert documents(spark).agg(F.count("text")).first()[0] < documents(spark).count()
+
+
+def brute_cut(rows, length=50):
+    """Kept bytes of each row: a byte goes if a 50-byte string over it also starts in a row with a smaller id."""
+    owner, none = {}, 1 << 63
+    cells = [(none if d is None else d, (t or "").encode()) for d, t in rows]
+    for d, b in cells:
+        for i in range(len(b) - length + 1):
+            s = b[i:i + length]
+            owner[s] = min(owner.get(s, none), d)
+    out = []
+    for d, b in cells:
+        cover = bytearray(len(b))
+        for i in range(len(b) - length + 1):
+            if owner[b[i:i + length]] < d:
+                cover[i:i + length] = b"\x01" * length
+        out.append(bytes(x for x, c in zip(b, cover) if not c))
+    return out
+
+
+def test_repeats_of_rows_that_share_an_id_or_have_none(spark):
+    r = random.Random(8)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(6))
+    shared = [" ".join(word() for _ in range(12)) for _ in range(6)]
+    rows = [(i, " ".join([word(), r.choice(shared), word()])) for i in range(20)]
+    rows += [(None, " ".join([word() for _ in range(r.randint(0, 15))] + ([r.choice(shared)] if i % 3 == 0 else []))) for i in range(2000)]
+    rows += [(9, " ".join([word() for _ in range(10)] + ([shared[1]] if i % 2 else []))) for i in range(300)]
+    rows += [(9, rows[-1][1]), (None, None), (None, ""), (9, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = Counter((x.doc_id, x.text, bytes(x.kept)) for x in suffixes.remove_repeats(docs).collect())
+    assert got == Counter((d, t, k) for (d, t), k in zip(rows, brute_cut(rows)))
+
+
+def test_four_differing_bits_are_found_and_more_are_refused(spark):
+    base = 0x123456789ABCDEF0
+    fps = [base, base ^ (1 | 1 << 14 | 1 << 27 | 1 << 40), base ^ (1 << 3 | 1 << 19 | 1 << 35 | 1 << 51 | 1 << 60)]
+    df = spark.createDataFrame([(x,) for x in fps], "fp long")
+    assert {tuple(sorted(e)) for e in simhash.bucket_edges(df, max_bits=4).collect()} == {tuple(sorted(fps[:2]))}
+    with pytest.raises(ValueError):
+        simhash.bucket_edges(df, max_bits=5)
+
+
+def test_toxicity_fit_by_brute_force(spark):
+    """Frequencies, chi-square weights, neighbours, votes and the isotonic fit, computed again from words."""
+    r = random.Random(11)
+    words = [f"v{i}" for i in range(50)]
+    rows = []
+    for i in range(120):
+        t = [r.choice(words) for _ in range(r.randint(4, 30))]
+        rows.append((i, " ".join(t + ["slur"] * (i % 4 == 0 and r.random() < 0.9) + ["rude"] * (r.random() < 0.1))))
+    rows += [(200, None), (201, "!!"), (202, "v1 v2 unknown")]
+    labels = {i: int(i % 4 == 0) for i in range(0, 100)}
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    k = 5
+    model = toxicity.fit(docs, spark.createDataFrame(list(labels.items()), "doc_id long, toxic int"), k=k)
+    got = {x.doc_id: x for x in toxicity.score_documents(docs, model, k).collect()}
+
+    count = {d: Counter(re.findall(r"[a-z0-9]+", (t or "").lower())) for d, t in rows}
+    terms = sorted({w for d in labels for w in count[d]})
+    n1, n0 = sum(labels.values()), len(labels) - sum(labels.values())
+    weight = {}
+    for w in terms:
+        df = sum(w in c for c in count.values())
+        a1, a0 = (sum(w in count[d] for d in labels if labels[d] == c) for c in (1, 0))
+        den = (a0 + a1) * (n0 + n1 - a0 - a1) * n0 * n1
+        chi2 = (n0 + n1) * (a1 * (n0 - a0) - a0 * (n1 - a1)) ** 2 / den if den else 0.0
+        weight[w] = (1 + np.log((len(rows) + 1) / (df + 1))) * max(chi2, toxicity.LEAST)
+
+    def vector(c):
+        v = {w: (1 + np.log(n)) * weight[w] for w, n in c.items() if w in weight}
+        s = np.sqrt(sum(x * x for x in v.values()))
+        return {w: x / s for w, x in v.items()}
+
+    vectors = {d: vector(count[d]) for d in labels}
+
+    def near(c, but=None):
+        q = vector(c)
+        s = sorted(((round(sum(x * v.get(w, 0.0) for w, x in q.items()), 9), d) for d, v in vectors.items() if d != but), reverse=True)
+        return [(d, x) for x, d in s if x > 0]
+
+    def raw(found):
+        w = [1 / (1.05 - min(1.0, x)) for _, x in found]
+        return (sum(a * labels[d] for a, (d, _) in zip(w, found)) + n1 / len(labels)) / (sum(w) + 1)
+
+    votes = np.array([raw(near(count[d], d)[:k]) for d in labels])
+    knots = toxicity.isotonic(votes, np.array(list(labels.values()), float), np.ones(len(labels)))
+    for d, _ in rows:
+        found = near(count[d])
+        if len(found) > k and found[k - 1][1] == found[k][1]:
+            continue                                               # which of equally near ones votes is the hash's choice
+        want = float(np.interp(raw(found[:k]), *knots)) if found else n1 / len(labels)
+        assert abs(got[d].score - want) < 1e-6, d
+        assert np.allclose(sorted(e.similarity for e in got[d].evidence), sorted(x for _, x in found[:k]), atol=1e-6)
