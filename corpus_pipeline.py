@@ -18,8 +18,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakemart.llm import contamination, mixing, sharding, simhash, toxicity
-from lakemart.llm.common import load, materialize
+from lakemart.llm.common import load, scratch_scope
 from lakemart.llm.queries import N_SHARDS, held_out
+from lakemart.session import Scratch, materialize
 
 _USED = ("doc_id", "text", "lang", "source")
 
@@ -70,9 +71,15 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = load(spark, sf_dir, "documents")
+    """All stages; work tables and the stages before the last one are dropped as soon as the next stage is written."""
+    docs, before = load(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        kept = Scratch(spark)
+        with scratch_scope(spark):
+            docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}", kept)
+        if before:
+            before.release()
+        before = kept
     return docs
 
 
