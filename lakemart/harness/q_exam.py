@@ -235,3 +235,14 @@ def m01_stored(spark, sf_dir):
 @register("m06_stored_bronze", ORACLE["m06_mart_state"])
 def m06_stored(spark, sf_dir):
     return marts.mart_state(stage_exam(_stored_bronze(spark, sf_dir, "bronze_m06")))
+
+
+@register("m05_persistent_view", ORACLE["m05_staging"])
+def m05_view(spark, sf_dir):
+    """The staging view stored in its own schema, read by name from another session."""
+    from lakemart.plans.exam.staging import staging_sql
+    from lakemart.sources import create_view
+    _stored_bronze(spark, sf_dir, "bronze_m05")
+    spark.sql("CREATE DATABASE IF NOT EXISTS lm_exam_staging")
+    create_view(spark, "lm_exam_staging.stg_exam", staging_sql("default.lm_bronze_m05"))
+    return spark.newSession().table("lm_exam_staging.stg_exam")

@@ -20,8 +20,15 @@ equal ids.  The ordinal here is exact for any split layout:
    under the broadcast threshold and shuffles otherwise — and compute
    ``ordinal = offset + id - min(id)``.
 
-The two sides are then equi-joined on the ordinal after checking that their
-row counts (observed in step 1, no extra scan) are equal.  Both sides are dealt by
+The positional join itself stores no copy of its sides (:func:`pinned_index`).  A first scan reads no column: it counts the rows of each
+split and notes the first id, and the offsets (one row per split) are all that is written.  The second scan, inside the join, tags the rows
+again.  Its ids agree as long as the input is packed into the same partitions, and every row proves it: its id must
+lie in ``[first id, first id + rows)`` of its split.  As the ids of a scan are distinct and there are no more rows than places,
+each place is then taken once and in order.  A plan that differs (other split settings, other parallelism, changed files) fails with an error
+that says so, never with a shifted row.
+
+The two sides are equi-joined on the ordinal after checking that their
+row counts (observed on the first scan) are equal.  Both sides are dealt by
 ordinal into as many partitions as they have input splits (at least
 ``spark.sql.shuffle.partitions``), so a task of the join gets about one split of
 each side at any size.
@@ -69,18 +76,39 @@ def ordinal_index(df: DataFrame, name: str = "_idx", scope: Scratch | None = Non
                                    F.monotonically_increasing_id().alias(_MID))
                          .observe(obs, F.count(F.lit(1)).alias("rows")),
                          "indexed-rows", scope)
-    n_rows = obs.get["rows"]
+    blocks, _, splits = _offsets(tagged, scope)
+    out = (tagged.join(blocks, [_FP, _BS])
+           .select(*cols, (F.col(_OFF) + F.col(_MID) - F.col(_M0)).cast(LongType()).alias(name)))
+    return Indexed(out, int(obs.get["rows"]), splits)
+
+
+def _offsets(tagged: DataFrame, scope: Scratch | None) -> tuple[DataFrame, int, int]:
+    """One row per split (first id, rows, rows before it), the rows and the splits of all; one job."""
     per_split = tagged.groupBy(_FP, _BS).agg(F.count(F.lit(1)).alias(_N), F.min(_MID).alias(_M0))
     inside = Window.partitionBy(_FP).orderBy(_BS).rowsBetween(Window.unboundedPreceding, -1)
     files = Window.orderBy(_FP).rowsBetween(Window.unboundedPreceding, -1)
     before = per_split.groupBy(_FP).agg(F.sum(_N).alias("_lm_t")).select(
         _FP, F.coalesce(F.sum("_lm_t").over(files), F.lit(0)).alias("_lm_f"))
+    seen = Observation("splits")
     blocks = materialize(per_split.withColumn("_lm_in", F.coalesce(F.sum(_N).over(inside), F.lit(0))).join(before, _FP)
-                         .select(_FP, _BS, _M0, (F.col("_lm_f") + F.col("_lm_in")).cast(LongType()).alias(_OFF)),
+                         .select(_FP, _BS, _M0, _N, (F.col("_lm_f") + F.col("_lm_in")).cast(LongType()).alias(_OFF))
+                         .observe(seen, F.sum(_N).alias("rows"), F.count(F.lit(1)).alias("splits")),
                          "split-offsets", scope)
-    out = (tagged.join(blocks, [_FP, _BS])
-           .select(*cols, (F.col(_OFF) + F.col(_MID) - F.col(_M0)).cast(LongType()).alias(name)))
-    return Indexed(out, int(n_rows), blocks.count())
+    got = seen.get
+    return blocks, int(got["rows"] or 0), int(got["splits"])
+
+
+def pinned_index(df: DataFrame, name: str = "_idx", scope: Scratch | None = None) -> Indexed:
+    """The same ordinal without a stored copy: a scan without columns counts the splits, the returned plan reads ``df`` once more.
+
+    Run it in the same session and under the same split settings; a row whose split is packed differently by then raises."""
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    tags = [F.col("_metadata.file_path").alias(_FP), F.col("_metadata.file_block_start").alias(_BS), F.monotonically_increasing_id().alias(_MID)]
+    blocks, rows, splits = _offsets(df.select(*tags), scope)
+    place = F.col(_MID) - F.col(_M0)
+    moved = F.raise_error(F.lit("positional join: the input is split differently than when its rows were counted; run it again")).cast(LongType())
+    ordinal = F.when((place >= 0) & (place < F.col(_N)), F.col(_OFF) + place).otherwise(moved)
+    return Indexed(df.select(*cols, *tags).join(blocks, [_FP, _BS], "left").select(*cols, ordinal.cast(LongType()).alias(name)), rows, splits)
 
 
 def with_ordinal(df: DataFrame, name: str = "_idx") -> DataFrame:
@@ -106,10 +134,10 @@ def zip_by_position(left: DataFrame, right: DataFrame,
     or mispair rows.  The tagged copies of both sides go with ``scope``.
     """
     idx = "_lm_idx"
-    # the two tagging passes are independent jobs: submit them together so
+    # the two counting passes are independent jobs: submit them together so
     # neither side's tasks wait for the other's
     with ThreadPoolExecutor(max_workers=2) as pool:
-        futures = [pool.submit(ordinal_index, side, idx, scope) for side in (left, right)]
+        futures = [pool.submit(pinned_index, side, idx, scope) for side in (left, right)]
         lft, rgt = (f.result() for f in futures)
     if lft.rows != rgt.rows:
         raise PositionalMismatch(f"positional join needs equal row counts: {lft.rows} vs {rgt.rows}")

@@ -1,9 +1,9 @@
 """Raw → bronze (M09): delimited releases of each period, conformed to one
 declared schema, stacked and written as a Parquet dataset partitioned by period.
 
-One pass: each CSV row is parsed once, row counts are taken by observation
-on the write itself, and the positional join of the two 2024 files uses the
-exact block ordinal of :mod:`lakemart.operators.positional`.
+Row counts and audit figures are taken by observation on the write itself, the positional join
+of the two 2024 files uses the exact split ordinal of :mod:`lakemart.operators.positional`, and nothing
+becomes visible before the audit passed (:mod:`lakemart.sources.publish`).
 """
 
 from __future__ import annotations
@@ -14,11 +14,13 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from lakemart.operators.positional import zip_by_position
+from lakemart.operators.quality import DataQualityError
 from lakemart.operators.schema import conform, lower_names, tag
 from lakemart.operators.sets import stack_periods
 from lakemart.plans.exam.vocab import OVERLAP_2024
 from lakemart.session import Scratch
-from lakemart.sources.files import read_delimited, write_partitioned
+from lakemart.sources import publish as P
+from lakemart.sources.files import read_delimited
 
 _L, _D, _S = LongType(), DoubleType(), StringType()
 
@@ -95,27 +97,50 @@ PRESENCE_GRADE = {"tp_presenca_mt": "nu_nota_mt", "tp_presenca_cn": "nu_nota_cn"
                   "tp_presenca_ch": "nu_nota_ch", "tp_presenca_lc": "nu_nota_lc"}
 
 
-def build_bronze(spark: SparkSession, inputs: BronzeInputs, path: str,
-                 dynamic: bool = False, max_records_per_file: int | None = None) -> dict:
-    """Write bronze partitioned by ``ano``.
+def audit_bronze(info: dict) -> None:
+    """The gate between write and publish: every period has rows, the files hold what the write pass counted, and no
+    row marked absent carries a grade (which a slipped positional join would give)."""
+    empty = [p for p, n in info["rows_by_period"].items() if not n]
+    if empty:
+        raise DataQualityError(f"periods without rows: {empty}")
+    if info["staged_rows"] != info["rows_by_period"] or sum(info["rows_by_period"].values()) != info["rows"]:
+        raise DataQualityError(f"rows do not add up: {info['rows']} read, {info['rows_by_period']} by period, {info['staged_rows']} written")
+    wrong = {k: v for k, v in info["inconsistent"].items() if v}
+    if wrong:
+        raise DataQualityError(f"rows marked absent carry a grade: {wrong}")
 
-    The audit rides on the write pass itself (an ``Observation``, no extra
+
+def build_bronze(spark: SparkSession, inputs: BronzeInputs, path: str, dynamic: bool = False,
+                 max_records_per_file: int | None = None, audit=audit_bronze) -> dict:
+    """Write bronze partitioned by ``ano``: staged, audited, then published.
+
+    The audit's figures ride on the write pass itself (an ``Observation``, no extra
     scan): total rows, rows per period (reconciliation) and, per presence
-    flag, rows marked absent that still carry a grade (positional-join audit).
+    flag, rows marked absent that still carry a grade (positional-join audit); the
+    rows of each staged partition are counted in the files.  ``audit`` raises to stop the
+    publication: the bronze that was there stays as it was (None: publish unseen).
     """
     periods = sorted(set(inputs.single) | set(inputs.split))
     obs = Observation("bronze_audit")
+    count = lambda c, name: F.sum(F.when(c, 1).otherwise(0)).alias(name)
     metrics = [F.count(F.lit(1)).alias("rows")]
-    metrics += [F.sum(F.when(F.col("ano") == p, 1).otherwise(0)).alias(f"rows_{p}") for p in periods]
-    metrics += [F.sum(F.when((F.col(pf) != 1) & F.col(g).isNotNull(), 1).otherwise(0)).alias(f"{g}_inconsistent")
-                for pf, g in PRESENCE_GRADE.items()]
-    with Scratch(spark) as scope:    # positional tags are dropped once bronze is committed
-        df = bronze_frame(spark, inputs, scope).observe(obs, *metrics)
-        write_partitioned(df, path, "ano", dynamic=dynamic, max_records_per_file=max_records_per_file)
+    metrics += [count(F.col("ano") == p, f"rows_{p}") for p in periods]
+    metrics += [count((F.col(pf) != 1) & F.col(g).isNotNull(), f"{g}_inconsistent") for pf, g in PRESENCE_GRADE.items()]
+    with Scratch(spark) as scope:    # the tables of split offsets go once bronze is written
+        staged = P.stage(bronze_frame(spark, inputs, scope).observe(obs, *metrics), path, "ano", max_records_per_file)
         got = obs.get
-    return {"rows": got["rows"], "path": path,
-            "rows_by_period": {p: got[f"rows_{p}"] for p in periods},
-            "inconsistent": {g: got[f"{g}_inconsistent"] for g in PRESENCE_GRADE.values()}}
+    info = {"rows": got["rows"], "path": path,
+            "rows_by_period": {p: got[f"rows_{p}"] or 0 for p in periods},
+            "inconsistent": {g: got[f"{g}_inconsistent"] or 0 for g in PRESENCE_GRADE.values()}}
+    if audit is not None:
+        seen = P.staged_rows(spark, staged)
+        try:
+            audit(info | {"staged_rows": {p: seen.get(p, 0) for p in info["rows_by_period"]} | {p: n for p, n in seen.items() if p not in periods}})
+        except Exception:
+            P.discard(spark, staged)
+            raise
+    P.publish(spark, staged, dynamic)
+    return info
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:

@@ -95,6 +95,10 @@ class Scratch:
         return self
 
     def __exit__(self, *_) -> None:
+        self.release()
+
+    def release(self) -> None:
+        """Delete what the scope holds by now."""
         with self._lock:
             paths, self._paths = self._paths, []
         for path in paths:

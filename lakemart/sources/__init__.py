@@ -1,9 +1,9 @@
 """Sources, sinks and catalog helpers."""
 
-from lakemart.sources.catalog import as_table, as_view, register_table, scan_periods
+from lakemart.sources.catalog import as_table, as_view, create_view, register_table, scan_periods
 from lakemart.sources.files import (period_path, preview, raw_inventory, read_delimited,
                                     read_inferred, read_period, write_csv, write_partitioned)
 
-__all__ = ["as_table", "as_view", "register_table", "scan_periods", "period_path", "preview",
+__all__ = ["as_table", "as_view", "create_view", "register_table", "scan_periods", "period_path", "preview",
            "raw_inventory", "read_delimited", "read_inferred", "read_period", "write_csv",
            "write_partitioned"]

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from lakemart.functions.sqlexpr import literal
+
 
 def _ddl(schema: StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
@@ -25,7 +27,7 @@ def register_table(spark: SparkSession, name: str, path: str, schema: StructType
     parts = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
     if replace or not spark.catalog.tableExists(name):
         spark.sql(f"DROP TABLE IF EXISTS {name}")
-        spark.sql(f"CREATE TABLE {name} ({_ddl(schema)}) USING {fmt}{parts} LOCATION '{path}'")
+        spark.sql(f"CREATE TABLE {name} ({_ddl(schema)}) USING {fmt}{parts} LOCATION {literal(path)}")
     if partition_by:
         spark.sql(f"MSCK REPAIR TABLE {name}")
     return spark.table(name)
@@ -40,11 +42,19 @@ def scan_periods(spark: SparkSession, table: str, periods: Sequence, key: str =
 
 
 def as_view(df: DataFrame, name: str) -> DataFrame:
-    """Materialize as a (temporary) view: the plan is inlined into each reader."""
+    """A view of this session only: the plan is inlined into each reader."""
     df.createOrReplaceTempView(name)
     return df.sparkSession.table(name)
 
 
+def create_view(spark: SparkSession, name: str, sql: str) -> DataFrame:
+    """A persistent view in the catalog (S08): its text is stored, so every session that sees the catalog can
+    read it by name, and it follows the tables below.  ``name`` is ``schema.view``; the text must name catalog tables only
+    (Spark refuses temporary ones)."""
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {sql}")
+    return spark.table(name)
+
+
 def as_table(df: DataFrame, name: str, path: str | None = None, mode: str = "overwrite",
              fmt: str = "parquet") -> DataFrame:
     """Materialize as a table (S09); ``path`` makes it external (shared storage)."""

@@ -39,3 +39,22 @@ def test_query_matches_oracle(spark, con, name):
     r = compare(spark, con, name, lambda *_: df, ORACLE.get(name), SF_SMALL)
     assert r.get("ok") is not False, r
     assert "type_note" not in r, r
+
+
+@pytest.mark.parametrize("gone", [["lakemart/llm", "corpus_pipeline.py"], ["lakemart/llm"], ["corpus_pipeline.py"]])
+def test_copy_without_the_optional_part_still_lists_the_rest(tmp_path, gone):
+    import shutil
+    import subprocess
+    import sys
+    from pathlib import Path
+    root = Path(E.__file__).resolve().parent
+    for part in ("lakemart", "corpus_pipeline.py", "__spark_entry__.py"):
+        if part not in gone and (root / part).exists():
+            src = root / part
+            ignore = lambda d, names: [n for n in names if n == "__pycache__" or f"{Path(d).name}/{n}" in gone]
+            shutil.copytree(src, tmp_path / part, ignore=ignore) if src.is_dir() else shutil.copy(src, tmp_path / part)
+    code = "import __spark_entry__ as E; q, o = E.queries(), E.oracle_sql(); assert set(o) <= set(q); print(len(q), any(k[:2] == 'op' for k in q))"
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=120)
+    assert out.returncode == 0, out.stderr
+    n, has_ops = out.stdout.split()
+    assert int(n) >= len(HARNESS) and has_ops == str("lakemart/llm" not in gone and (root / "lakemart/llm").exists())

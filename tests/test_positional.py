@@ -6,7 +6,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from lakemart.operators import PositionalMismatch, ordinal_index, positional_audit, zip_by_position
+from lakemart.operators import PositionalMismatch, ordinal_index, pinned_index, positional_audit, zip_by_position
 from lakemart.sources import read_delimited
 
 
@@ -178,3 +178,41 @@ def test_whole_lineitem_aligned_by_position(spark, scratch):
         r = z.agg(F.count(F.lit(1)).alias("n"),
                   F.sum(F.when(F.col("k").cast("long") * 3 != F.col("k3").cast("long"), 1).otherwise(0)).alias("bad")).first()
     assert (r["n"], r["bad"]) == (600000, 0)
+
+
+@settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
+@given(n=st.integers(1, 2500), files=st.integers(1, 4), size=st.integers(600, 9000))
+def test_pinned_index_equals_the_stored_one(spark, scratch, n, files, size):
+    root = scratch("pinned")
+    write_sides(spark, root, n, files, 2, 23)
+    with small_splits(spark, size):
+        df = read_delimited(spark, f"{root}/left", encoding="UTF-8")
+        stored, pinned = ordinal_index(df), pinned_index(df)
+        assert (pinned.rows, pinned.splits) == (stored.rows, stored.splits) == (n, stored.splits)
+        got = pinned.df.select(F.col("k").cast("long"), "_idx").collect()
+    assert sorted(map(tuple, got)) == [(i, i) for i in range(n)]
+
+
+def test_pinned_index_keeps_no_copy_of_the_rows(spark, scratch):
+    import os
+    from lakemart.session import ensure_checkpoint_dir
+    root = scratch("nocopy")
+    write_sides(spark, root, 3000, 2, 3, 31)
+    base = os.path.join(ensure_checkpoint_dir(spark).replace("file:", ""), "lakemart-scratch")
+    before = set(os.listdir(base))
+    with small_splits(spark):
+        side = pinned_index(read_delimited(spark, f"{root}/left", encoding="UTF-8"))
+        new = [d for d in os.listdir(base) if d not in before]
+        assert [d.rsplit("-", 1)[0] for d in new] == ["split-offsets"]
+        assert spark.read.parquet(os.path.join(base, new[0])).count() == side.splits > 5
+        counted = side.df.select("_idx")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<>" in counted                       # ordinals alone need no column
+
+
+def test_pinned_index_refuses_another_split_plan(spark, scratch):
+    root = scratch("moved")
+    write_sides(spark, root, 3000, 1, 2, 31)
+    with small_splits(spark, 4096):
+        side = pinned_index(read_delimited(spark, f"{root}/left", encoding="UTF-8"))
+    with small_splits(spark, 1000), pytest.raises(Exception, match="split differently"):
+        side.df.collect()
