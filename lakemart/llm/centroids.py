@@ -38,6 +38,8 @@ MARGIN = 1e-9
 #: Components below this have distances that fit 64 bits.
 _SMALL = 1 << 27
 LIMB = 31
+#: Whole numbers below this are doubles.
+_DOUBLES = 1 << 1023
 
 
 def kept(column: str, dim: int, scale: int) -> Column:
@@ -136,7 +138,8 @@ class Nearest:
         best = low.argmin(axis=1)
         least = _exact(x, centroids[best])
         # a bound is a double: compare it with the distance rounded up
-        open_ = low <= np.nextafter(least.astype(np.float64), math.inf)[:, None]
+        limit = least.astype(np.float64) if least.dtype != object else np.array([float(d) if d < _DOUBLES else math.inf for d in least])
+        open_ = low <= np.nextafter(limit, math.inf)[:, None]
         for c in range(len(centroids)):
             at = np.flatnonzero(open_[:, c] & (best != c))
             if len(at):
