@@ -51,7 +51,7 @@ LARGEST_LIGHT = 24
 #: 64-bit words of the small sketch that the scan of the lists compares.
 MARKS = 8
 #: Bytes of text hashed at once (a longer text alone).
-_CHUNK = 1 << 20
+_CHUNK = 1 << 18
 
 _U = np.uint64
 _SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
