@@ -33,8 +33,9 @@ from __future__ import annotations
 import os
 import re
 import struct
-import unicodedata
+import sys
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -50,7 +51,7 @@ BAND = 8
 #: A rule takes 12 bytes and saves 2 at each place, so a pair seen 6 times or less gains nothing.
 MIN_COUNT = 8
 #: Words a worker keeps encoded before it starts anew.
-CACHE_WORDS = 750_000
+CACHE_WORDS = 1_000_000
 #: Signs that end a word often and are one piece together (no apostrophe, which may begin a contraction).
 _TAIL = b"!\"#$%&()*+,-./:;=>?@[\\]^_`{}~"
 #: Words, contractions, digits, signs, accents and white space in all their neighbourhoods.
@@ -125,8 +126,10 @@ class WordEncoder(dict):
         if len(self.pieces) >= CACHE_WORDS:
             self.pieces.clear()
         letters = piece.decode() if piece.isascii() else "".join([self.as_bytes[b] for b in piece])
-        t = [x.id for x in self.tokenizer.model.tokenize(letters)]
-        ids = self.pieces[piece] = struct.pack(f"<{len(t)}I", *t)
+        ids = array("I", [t.id for t in self.tokenizer.model.tokenize(letters)])
+        if sys.byteorder == "big":
+            ids.byteswap()
+        self.pieces[piece] = ids = ids.tobytes()
         return ids
 
     def whole(self, text: str) -> bytes:

@@ -20,7 +20,7 @@ Rows with the same rank and run inside one Arrow batch are combined before the s
 all, the others are already decided), so a passage that a third of all documents share sends one row per batch.
 Sorted ranks are read as a stream with a carry of one group's state, never a group at a time.
 
-Nothing is removed on less than 128 bits of hash (rounds 2 and 3); texts are never cut.
+Nothing is removed on one 64-bit hash: round 2 compares 128 bits, round 3 compares 96; texts are never cut.
 Memory per task: one block of text (:data:`BLOCK`) and one batch of ranks.
 
 Defined cases: null and empty texts have no bytes; texts under 50 bytes lose nothing and take nothing; rows with
@@ -52,7 +52,7 @@ _U = np.uint64
 #: Random odd 64-bit numbers: one per byte value, and the base of the polynomial.
 _BYTE = np.random.default_rng(42).integers(0, 1 << 63, 256, dtype=np.uint64) * _U(2) + _U(1)
 _BASE = 0x9E3779B97F4A7C15
-#: A second table, for the other half of a 128-bit rank.
+#: A second table, for the further bits of a rank.
 _BYTE2 = np.random.default_rng(43).integers(0, 1 << 63, 256, dtype=np.uint64) * _U(2) + _U(1)
 _AT = _U((1 << 31) - 1)
 #: Packed place of a row: number among the rows of its id (18 bits), left (6), count (6), offset (33); the sign marks a decided span.
@@ -98,7 +98,7 @@ class Block:
         return sums
 
     def second(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-        """The other 64 bits of the ranges' ranks."""
+        """Ranks of the ranges by the second table."""
         if self._second is None:
             self._second = self._sums(_BYTE2)
         return (self._second[hi] - self._second[lo]) * self.inverse[lo]
@@ -234,7 +234,7 @@ def _rank_windows(length: int):
                         continue
                     p = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
                     at = p - base + block.starts[s]
-                    k1, k2 = _mix(block.ranks(at, at + length)), _mix(block.second(at, at + length))
+                    k1, k2 = _mix(block.ranks(at, at + length)), _mix(block.second(at, at + length)) >> _U(32)
                     out.append((k1, k2, np.full(len(p), ids[doc]), th[doc] << _TH | p))
             if out:
                 k1, k2, i, loc = (np.concatenate(x) for x in zip(*out))
@@ -322,9 +322,12 @@ def _numbered(docs: DataFrame) -> DataFrame:
 
     Only rows without an id and rows that share one need a number, by the 128-bit hash of their text; they are found and
     numbered without the texts, and joined back by (id, hash): where there are none, or few, no text moves."""
+    ids = docs.select(F.col("doc_id").cast("long").alias("_lm_key"))
+    shared = materialize(ids.groupBy("_lm_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or _lm_key is null"), "repeat-shared")
+    if shared.isEmpty():                                             # every row has an id of its own: that names it
+        return docs.withColumns({"_lm_id": F.col("doc_id").cast("long"), "_lm_th": F.lit(0)})
     hashed = docs.withColumns({"_lm_key": F.col("doc_id").cast("long"), "_lm_h1": F.xxhash64("text"), "_lm_h2": F.xxhash64(F.lit(1), "text")})
     keys = hashed.select("_lm_key", "_lm_h1", "_lm_h2")
-    shared = materialize(keys.groupBy("_lm_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or _lm_key is null"), "repeat-shared")
     most = shared.where("_lm_key is not null").agg(F.max("n")).first()[0] or 0
     if most > _SHARED:
         raise ValueError(f"{most} rows share an id; at most {_SHARED} can")

@@ -377,7 +377,7 @@ def test_schema_of_the_fixture_clashes(spark):
     assert documents(spark).agg(F.count("text")).first()[0] < documents(spark).count()
 
 
-def brute_cut(rows, length=50):
+def kept_by_brute_force(rows, length=50):
     """Kept bytes of each row: a byte goes if a 50-byte string over it also starts in a row with a smaller id."""
     owner, none = {}, 1 << 63
     cells = [(none if d is None else d, (t or "").encode()) for d, t in rows]
@@ -405,7 +405,7 @@ def test_repeats_of_rows_that_share_an_id_or_have_none(spark):
     rows += [(9, rows[-1][1]), (None, None), (None, ""), (9, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
     got = Counter((x.doc_id, x.text, bytes(x.kept)) for x in suffixes.remove_repeats(docs).collect())
-    assert got == Counter((d, t, k) for (d, t), k in zip(rows, brute_cut(rows)))
+    assert got == Counter((d, t, k) for (d, t), k in zip(rows, kept_by_brute_force(rows)))
 
 
 def test_four_differing_bits_are_found_and_more_are_refused(spark):
