@@ -18,8 +18,8 @@ from lakemart.operators.schema import conform
 from lakemart.plans.exam.marts import mart_state
 from lakemart.session import scratch_path
 from lakemart.sources import (as_table, as_view, preview, raw_inventory, read_delimited,
-                              read_inferred, read_period, register_table, scan_periods,
-                              write_csv, write_partitioned)
+                              read_inferred, read_period, read_pinned, register_table,
+                              scan_periods, schema_drift, write_csv, write_partitioned)
 
 CUSTOMER_TEXT = StructType([
     StructField("c_custkey", LongType()), StructField("c_name", StringType()),
@@ -57,6 +57,25 @@ def s02(spark, sf_dir):
     return read_inferred(spark, path)
 
 
+@register("s02_read_pinned", """
+SELECT *, 'bigint,bigint,string,double,timestamp,string' AS types FROM orders
+""")
+def s02_pinned(spark, sf_dir):
+    """The first read infers all orders' types and pins them; the second one, returned, parses once by the pin."""
+    path = scratch_path(spark, "s02p")
+    o = table(spark, sf_dir, "orders")
+    # keys beyond the ints, and a time of day, so that the types are those of the table at every scale
+    wide = [(F.col(c) + F.lit(1 << 40)).alias(c) for c in ("o_orderkey", "o_custkey")]
+    noon = (F.col("o_orderdate").cast("timestamp") + F.expr("interval 12 hours")).alias("o_orderdate")
+    write_csv(o.select(*wide, "o_orderstatus", "o_totalprice", noon, "o_orderpriority"), path)
+    read_pinned(spark, path)
+    back = read_pinned(spark, path)
+    types = ",".join(f.dataType.simpleString() for f in back.schema.fields)
+    narrow = [(F.col(c) - F.lit(1 << 40)).alias(c) for c in ("o_orderkey", "o_custkey")]
+    morning = (F.col("o_orderdate") - F.expr("interval 12 hours")).cast("timestamp_ntz").alias("o_orderdate")
+    return back.select(*narrow, "o_orderstatus", "o_totalprice", morning, "o_orderpriority", F.lit(types).alias("types"))
+
+
 def _orders_csv_by_year(spark, sf_dir) -> str:
     root = scratch_path(spark, "orders_raw")
     (orders_with_year(spark, sf_dir).write.partitionBy("ano")
@@ -110,6 +129,23 @@ def s06(spark, sf_dir):
     return spark.sql(f"SELECT ano, COUNT(*) AS n FROM {name} GROUP BY ano")
 
 
+@register("s06_schema_drift", """
+SELECT DISTINCT CAST(year(o_orderdate) AS VARCHAR) AS ano, v."column", v.declared, v.found, v.problem
+FROM orders, (VALUES ('o_totalprice', 'double', 'string', 'type'),
+                     ('o_orderpriority', 'string', NULL, 'missing'),
+                     ('o_note', NULL, 'int', 'extra')) v("column", declared, found, problem)
+WHERE year(o_orderdate) IN (1996, 1998) AND (year(o_orderdate) = 1996) = (v.problem = 'type')
+""")
+def s06_drift(spark, sf_dir):
+    """Orders by year, 1996 delivered with a price as text and 1998 with one column less and one more."""
+    path = scratch_path(spark, "s06_drift")
+    o = orders_with_year(spark, sf_dir)
+    write_partitioned(o.where("ano not in ('1996', '1998')"), path, "ano")
+    write_partitioned(o.where("ano = '1996'").withColumn("o_totalprice", F.col("o_totalprice").cast("string")), path, "ano", mode="append")
+    write_partitioned(o.where("ano = '1998'").drop("o_orderpriority").withColumn("o_note", F.lit(1)), path, "ano", mode="append")
+    return schema_drift(spark, path, ORDERS_BY_YEAR, ["ano"]).drop("path").distinct()
+
+
 @register("s07_scan_periods", f"{ORDERS_YEAR_SQL} WHERE year(o_orderdate) = 1997")
 def s07(spark, sf_dir):
     name = _named("s07_orders")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from lakemart.functions.sqlexpr import literal
+from lakemart.sources.drift import require_no_drift
 
 
 def _ddl(schema: StructType) -> str:
@@ -16,14 +17,19 @@ def _ddl(schema: StructType) -> str:
 
 def register_table(spark: SparkSession, name: str, path: str, schema: StructType,
                    partition_by: Sequence[str] = (), fmt: str = "parquet",
-                   replace: bool = True) -> DataFrame:
+                   replace: bool = True, check: bool = False) -> DataFrame:
     """Declare an external table over ``path`` with a fixed schema and
     discover its partitions (S06).  The schema is declared, never re-inferred,
     so a partition column stays the declared type (e.g. a string period).
 
     With ``replace=False`` an existing table is kept and only its partitions
-    are rediscovered — what a re-run after a new period landed needs.
+    are rediscovered — what a re-run after a new period landed needs.  ``check``
+    compares every Parquet footer with ``schema`` first and raises
+    :class:`~lakemart.sources.drift.SchemaDrift`, naming the period, before the
+    catalog is touched.
     """
+    if check:
+        require_no_drift(spark, path, schema, partition_by)
     parts = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
     if replace or not spark.catalog.tableExists(name):
         spark.sql(f"DROP TABLE IF EXISTS {name}")
