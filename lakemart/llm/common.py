@@ -7,6 +7,7 @@ import contextvars
 import os
 from collections.abc import Callable, Iterator
 from pathlib import Path
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -44,6 +45,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return session.materialize(df, name, _scope.get())
 
 
+def materialize_by(df: DataFrame, name: str, by: str) -> DataFrame:
+    """Like :func:`materialize`, with a folder per value of ``by``, whose files tasks can open by themselves (:func:`files_of`)."""
+    path = session.scratch_path(df.sparkSession, name, _scope.get())
+    df.write.partitionBy(by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def files_of(table: DataFrame, by: str, values: list) -> list[str]:
+    """Files of the folders ``by=value`` of a table that :func:`materialize_by` wrote."""
+    return sorted(f for f in map(unquote, table.inputFiles()) if any(f"/{by}={v}/" in f for v in values))
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -107,4 +120,5 @@ def own_names(df: DataFrame, names: list[str]) -> DataFrame:
 
 
 __all__ = ["WORD", "BATCH_BYTES", "load", "ascii_lower", "word_count", "utf8_bytes", "text_crc32", "map_arrow",
-           "own_names", "scratch_scope", "shuffle_cleanup", "materialize"]
+           "own_names", "scratch_scope", "shuffle_cleanup", "materialize",
+           "materialize_by", "files_of"]

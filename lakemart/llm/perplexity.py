@@ -10,7 +10,8 @@ white-space normalised, padded at the start and closed by an end symbol.
 *Store.*  Entries are addressed by 64-bit hashes and stored as sorted arrays, one row per (slice, order, kind).  Orders 3 to 5
 are cut into slices by the hash of the two characters before the predicted one: every look-up that a position can need
 lies in one slice (orders 1 and 2 are in all of them).  A slice holds about :data:`SLICE` entries; a model with more is applied in as many passes
-over the rows of one stage, each with one bounded broadcast.  Documents never move.
+over the rows of one stage.  Each slice is a folder of files below the shared folder, written by Spark and opened by the tasks that
+need it: nothing of the model passes through the driver or a broadcast.  Documents never move.
 
 *Bands.*  Per language, documents whose log-perplexity is more than :data:`FENCE` times the distance between
 the median and the quartile outside that quartile (each side by its own distance) are rejected (above: noise; below: repetition).
@@ -34,7 +35,8 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from lakemart.llm.common import map_arrow, materialize, own_names
+from lakemart.llm.common import files_of, map_arrow, materialize, materialize_by, own_names
+from lakemart.sources.drift import open_uri
 
 ORDER = 5
 #: Entries of orders 3 to 5 in one slice of the model.
@@ -225,9 +227,12 @@ def store(grams: DataFrame, contexts: DataFrame, slice_entries: int = SLICE) ->
 
     addressed = map_arrow(both.select("lang", "gram", "value", "kind"), address, "slice long, size int, kind string, key long, value double")
     pairs = F.sort_array(F.collect_list(F.struct("key", "value")))  # a 256th of a slice at most: bounded
-    table = addressed.groupBy("slice", "size", "kind", F.shiftrightunsigned("key", 56).alias("chunk")).agg(pairs.alias("e")).select(
+    lane = F.shiftrightunsigned("key", 61).alias("lane")           # a slice is written by eight tasks at most, so in few files
+    table = addressed.select("*", lane).repartition("slice", "lane").groupBy(
+        "slice", "lane", "size", "kind", F.shiftrightunsigned("key", 56).alias("chunk")).agg(pairs.alias("e")).select(
         "slice", "size", "kind", "chunk", F.col("e.key").alias("keys"), F.col("e.value").alias("values"))
-    return materialize(map_arrow(table, _as_binary, "slice long, size int, kind string, chunk long, keys binary, values binary"), "lm-store"), slices
+    return materialize_by(map_arrow(table, _as_binary, "slice long, size int, kind string, chunk long, keys binary, values binary"),
+                          "lm-store", "slice"), slices
 
 
 def _as_binary(batches):
@@ -327,18 +332,23 @@ def repeated_words(words: list[bytes], window: int = WINDOW) -> int:
 _open: dict[tuple[str, int], Part] = {}
 
 
-def _part(key: tuple[str, int], shared) -> Part:
-    """Slice ``key`` (name of the model's pass, slice number), opened once per worker process (one at a time).  The name goes with the
-    task: the id of a broadcast's value is given anew once a reused worker has dropped the value."""
+def _part(key: tuple[str, int], files: list[str]) -> Part:
+    """Slice ``key`` (name of the model's pass, slice number), opened once per worker process (one at a time)."""
     if key not in _open:
         _open.clear()
-        _open[key] = Part(shared.value)
+        _open[key] = Part([r for f in files for r in _rows(f)])
     return _open[key]
 
 
-def _score(rows, model: str, k: int, slices: int, text_at: int, lang_at: int, base: bool):
+def _rows(file: str) -> list[dict]:
+    import pyarrow.parquet as pq
+    with open_uri(file) as f:
+        return pq.ParquetFile(f).read(["size", "kind", "chunk", "keys", "values"]).to_pylist()
+
+
+def _score(files: list[str], model: str, k: int, slices: int, text_at: int, lang_at: int, base: bool):
     def score(batches):
-        part = _part((model, k), rows)
+        part = _part((model, k), files)
         for b in batches:
             texts, langs = b.column(text_at).to_pylist(), b.column(lang_at).to_pylist()
             add, n = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
@@ -370,15 +380,13 @@ def _score(rows, model: str, k: int, slices: int, text_at: int, lang_at: int, ba
 
 def perplexities(docs: DataFrame, model: DataFrame, slices: int) -> DataFrame:
     """``docs`` (``text``, ``_lm_lang``) plus the base metrics, ``nll`` and ``n_predicted``: one pass per slice in one stage."""
-    spark, name = docs.sparkSession, uuid.uuid4().hex
+    name = uuid.uuid4().hex
     out = docs.withColumns({"nll": F.lit(0.0), "n_predicted": F.lit(0).cast("long")})
     for k in range(slices):
-        rows = model.where(F.col("slice").isin(-1, k)).collect()    # one slice: bounded by its number of entries
         fields = out.schema.fields
         if k == 0:
             fields = fields[:-2] + [StructField(x, LongType()) for x in _BASE] + [StructField("nll", DoubleType()), StructField("n_predicted", LongType())]
-        shared = spark.sparkContext.broadcast([r.asDict() for r in rows])
-        out = map_arrow(out, _score(shared, name, k, slices, docs.columns.index("text"), docs.columns.index("_lm_lang"), k == 0), StructType(fields))
+        out = map_arrow(out, _score(files_of(model, "slice", [-1, k]), name, k, slices, docs.columns.index("text"), docs.columns.index("_lm_lang"), k == 0), StructType(fields))
     return out
 
 

@@ -239,21 +239,6 @@ def test_model_equals_the_textbook_and_slices_agree(spark):
             assert abs(nll + sum(np.log(p(s[i:i + 4], s[i + 4], 5)) for i in range(len(s) - 4))) < 1e-6, t
 
 
-class Sent:
-    """A broadcast as a reused Python worker sees it: the value of the last one goes before the next one is read."""
-    holder = live = None
-
-    def __init__(self, value):
-        self.raw = pickle.dumps(value)
-
-    @property
-    def value(self):
-        if Sent.holder is not self:
-            Sent.holder, Sent.live = self, None
-            Sent.live = pickle.loads(self.raw)
-        return Sent.live
-
-
 def test_reused_workers_score_with_the_slice_of_their_task(spark, monkeypatch):
     r = random.Random(8)
     texts = ["".join(r.choice("abcdefgh ") for _ in range(60)) for _ in range(60)]
@@ -269,7 +254,8 @@ def test_reused_workers_score_with_the_slice_of_their_task(spark, monkeypatch):
 
     passes = []                                          # the same passes, all in one process and task by task
     monkeypatch.setattr(perplexity, "map_arrow", lambda df, fn, schema: passes.append(fn) or spark.createDataFrame([], schema))
-    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: Sent(value))
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: pytest.fail("the model is broadcast"))
+    monkeypatch.setattr(type(cut), "collect", lambda self: pytest.fail("the model is collected"))
     perplexity.perplexities(docs, cut, slices)
     for at in range(0, len(texts), 5):
         part = texts[at:at + 5]
