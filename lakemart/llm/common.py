@@ -46,15 +46,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def materialize_by(df: DataFrame, name: str, by: str) -> DataFrame:
-    """Like :func:`materialize`, with a folder per value of ``by``, whose files tasks can open by themselves (:func:`files_of`)."""
+    """Like :func:`materialize`, with a folder per value of ``by``, whose files tasks can open by themselves (:func:`files_by`)."""
     path = session.scratch_path(df.sparkSession, name, _scope.get())
     df.write.partitionBy(by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def files_of(table: DataFrame, by: str, values: list) -> list[str]:
-    """Files of the folders ``by=value`` of a table that :func:`materialize_by` wrote."""
-    return sorted(f for f in map(unquote, table.inputFiles()) if any(f"/{by}={v}/" in f for v in values))
+def files_by(table: DataFrame, by: str) -> dict[str, list[str]]:
+    """Files of each folder ``by=value`` of a table that :func:`materialize_by` wrote."""
+    found: dict[str, list[str]] = {}
+    for f in sorted(map(unquote, table.inputFiles())):
+        found.setdefault(f.rsplit(f"/{by}=", 1)[1].split("/", 1)[0], []).append(f)
+    return found
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -121,4 +124,4 @@ def own_names(df: DataFrame, names: list[str]) -> DataFrame:
 
 __all__ = ["WORD", "BATCH_BYTES", "load", "ascii_lower", "word_count", "utf8_bytes", "text_crc32", "map_arrow",
            "own_names", "scratch_scope", "shuffle_cleanup", "materialize",
-           "materialize_by", "files_of"]
+           "materialize_by", "files_by"]

@@ -9,9 +9,10 @@ white-space normalised, padded at the start and closed by an end symbol.
 
 *Store.*  Entries are addressed by 64-bit hashes and stored as sorted arrays, one row per (slice, order, kind).  Orders 3 to 5
 are cut into slices by the hash of the two characters before the predicted one: every look-up that a position can need
-lies in one slice (orders 1 and 2 are in all of them).  A slice holds about :data:`SLICE` entries; a model with more is applied in as many passes
-over the rows of one stage.  Each slice is a folder of files below the shared folder, written by Spark and opened by the tasks that
-need it: nothing of the model passes through the driver or a broadcast.  Documents never move.
+lies in one slice (orders 1 and 2 are in all of them).  A slice holds about :data:`SLICE` entries and is a folder of files below
+the shared folder, written by Spark and opened by the tasks that need it: nothing of the model passes through the driver or a broadcast.
+Documents never move: a task holds about :data:`HELD` bytes of texts, marks the slice of every position and opens one slice after the other,
+so its memory is that of the held texts and one slice, however many slices the model has.
 
 *Bands.*  Per language, documents whose log-perplexity is more than :data:`FENCE` times the distance between
 the median and the quartile outside that quartile (each side by its own distance) are rejected (above: noise; below: repetition).
@@ -20,12 +21,14 @@ Base rules per document: words, characters in words, symbols, repeated lines, wo
 windows; fewer than 20 words or over 30 % repeated words fail.
 
 Defined cases: null and empty texts have no words and fail (perplexity null); a null language is a language of its
-own; a language of few documents has its own bands like any other (documents all alike: nothing is outside); an empty table
-gives an empty result.  Other columns than the text are carried along.
+own; a language of few documents has its own bands like any other (documents all alike: nothing is outside); a text of any length is
+scored whole (one beyond :data:`HELD` is held alone); equal texts have equal scores wherever they lie, because logarithms are summed as
+integers (:data:`UNIT` to one); an empty table gives an empty result.  Other columns than the text are carried along.
 """
 
 from __future__ import annotations
 
+import itertools
 import uuid
 from collections.abc import Iterator
 
@@ -35,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from lakemart.llm.common import files_of, map_arrow, materialize, materialize_by, own_names
+from lakemart.llm.common import files_by, map_arrow, materialize, materialize_by, own_names
 from lakemart.sources.drift import open_uri
 
 ORDER = 5
@@ -43,8 +46,10 @@ ORDER = 5
 SLICE = 4_000_000
 #: Tukey's outer fence, three interquartile ranges, with each side's own spread: the range is twice median to quartile.
 FENCE = 6.0
-#: Characters that one task counts, and scores, at once.
-COUNTED, SCORED = 1 << 21, 1 << 18
+#: Characters that one task counts, and positions it scores, at once; bytes of texts it holds while the slices pass by.
+COUNTED, SCORED, HELD = 1 << 21, 1 << 18, 1 << 25
+#: Logarithms are rounded to multiples of 1 / UNIT: 2**18 of them sum to exact doubles, and any number of them to integers.
+UNIT = 1 << 28
 MIN_WORDS, WINDOW, MAX_REPEATED = 20, 8, 30
 SYMBOLS = "#*$%&|<>"
 _BOS, _EOS = 2, 3
@@ -271,21 +276,21 @@ class Part:
 
 
 def log_p(part: Part, c: np.ndarray, lang: np.ndarray, where: np.ndarray) -> np.ndarray:
-    """ln p of the characters at the ends of the windows ``where`` starts: the stored value of the longest known n-gram
-    plus the back-off weights of the longer known contexts."""
+    """ln p of the characters at the ends of the windows ``where`` starts (``lang``: the language hash of each): the stored value
+    of the longest known n-gram plus the back-off weights of the longer known contexts."""
     cols = lambda n, at: [c[at + ORDER - n + j] for j in range(n)]  # noqa: E731  the n characters that end the window
-    out = part.find(ORDER, "p", _hash(cols(ORDER, where), lang[where]))
+    out = part.find(ORDER, "p", _hash(cols(ORDER, where), lang))
     open_ = np.flatnonzero(np.isnan(out))
     if len(open_):
         total = np.zeros(len(out))
         for n in range(ORDER, 0, -1):
-            at = where[open_]
+            at, own = where[open_], lang[open_]
             if n > 1:
                 ctx = [c[at + ORDER - n + j] for j in range(n - 1)]
-                total[open_] += np.nan_to_num(part.find(n - 1, "b", _hash(ctx, lang[at])))
-                low = part.find(n - 1, "p", _hash(cols(n - 1, at), lang[at]))
+                total[open_] += np.nan_to_num(part.find(n - 1, "b", _hash(ctx, own)))
+                low = part.find(n - 1, "p", _hash(cols(n - 1, at), own))
             else:                                                    # an unknown character: what order 1 leaves to it
-                low = np.nan_to_num(part.find(0, "b", _hash([], lang[at])), nan=np.log(1 / 0x110000))
+                low = np.nan_to_num(part.find(0, "b", _hash([], own)), nan=np.log(1 / 0x110000))
             hit = ~np.isnan(low)
             out[open_[hit]] = low[hit] + total[open_[hit]]
             open_ = open_[~hit]
@@ -346,48 +351,79 @@ def _rows(file: str) -> list[dict]:
         return pq.ParquetFile(f).read(["size", "kind", "chunk", "keys", "values"]).to_pylist()
 
 
-def _score(files: list[str], model: str, k: int, slices: int, text_at: int, lang_at: int, base: bool):
+def _held(batches: Iterator[pa.RecordBatch], text_at: int, most: int) -> Iterator[list[pa.RecordBatch]]:
+    """Runs of consecutive batches with about ``most`` bytes of texts."""
+    held, size = [], 0
+    for b in batches:
+        held.append(b)
+        size += b.column(text_at).nbytes
+        if size >= most:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+def _joined(batches: list[pa.RecordBatch], text_at: int) -> tuple[np.ndarray, np.ndarray]:
+    """The padded symbols of all texts one after the other, and where each text's begin (and the last one's end)."""
+    starts = np.zeros(sum(b.num_rows for b in batches) + 1, np.int64)
+    c = np.empty(sum(b.column(text_at).nbytes + ORDER * b.num_rows for b in batches), np.uint32)
+    for i, text in enumerate(t.as_py() for b in batches for t in b.column(text_at)):
+        own = symbols(text)
+        starts[i + 1] = starts[i] + len(own)
+        c[starts[i]:starts[i + 1]] = own
+    return c[:starts[-1]], starts
+
+
+def negative_log_p(c: np.ndarray, starts: np.ndarray, seed: np.ndarray, order: list[int], open_slice, slices: int) -> np.ndarray:
+    """Per text the sum of -ln p of its characters, in units of 1 / :data:`UNIT`, from the slices opened in the given order."""
+    units = np.zeros(len(seed), np.int64)
+    place = np.full(max(0, len(c) - ORDER + 1), slices, np.min_scalar_type(slices))   # the slice of each window; `slices`: none
+    text_of = lambda where: np.searchsorted(starts, where, "right") - 1
+    for at in range(0, len(place), SCORED):
+        where = at + np.flatnonzero(c[at + ORDER - 1:at + ORDER - 1 + SCORED] != _BOS)
+        place[where] = 0 if slices == 1 else _slice_of(_hash([c[where + ORDER - 3], c[where + ORDER - 2]], seed[text_of(where)]), slices)
+    for k in order:
+        mine = np.flatnonzero(place == k)
+        part = open_slice(k) if len(mine) else None
+        for at in range(0, len(mine), SCORED):                       # a text of any length in bounded memory
+            where = mine[at:at + SCORED]
+            text = text_of(where)
+            bits = np.rint(-log_p(part, c, seed[text], where) * UNIT)
+            units[text[0]:text[-1] + 1] += np.bincount(text - text[0], bits).astype(np.int64)
+    return units
+
+
+def _score(files: list[list[str]], model: str, text_at: int, lang_at: int, held_bytes: int):
     def score(batches):
-        part = _part((model, k), files)
-        for b in batches:
-            texts, langs = b.column(text_at).to_pylist(), b.column(lang_at).to_pylist()
-            add, n = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
-            codes = [symbols(t) for t in texts]
-            seed = {x: _lang_hash(x) for x in set(langs)}
-            for run in _pieces(codes, SCORED):
-                c, size = np.concatenate([codes[i] for i in run]), [len(codes[i]) for i in run]
-                lang = np.repeat(np.array([seed[langs[i]] for i in run], np.uint64), size)
-                doc = np.repeat(np.arange(len(run)), size)
-                every = np.flatnonzero(c[ORDER - 1:] != _BOS)
-                if slices > 1:
-                    pair = _hash([c[every + ORDER - 3], c[every + ORDER - 2]], lang[every])
-                    every = every[_slice_of(pair, slices) == k]
-                for at in range(0, len(every), SCORED):              # a text of any length in bounded memory
-                    where = every[at:at + SCORED]
-                    add[run] -= np.bincount(doc[where], log_p(part, c, lang, where), len(run))
-                    n[run] += np.bincount(doc[where], minlength=len(run))
-            old = b.columns
-            lm = [pa.array(old[-2].to_numpy() + add), pa.array(old[-1].to_numpy() + n)]
-            names = b.schema.names
-            if base:
-                m = [base_metrics(t) for t in texts]
-                yield pa.RecordBatch.from_arrays(old[:-2] + [pa.array([x[j] for x in m], pa.int64()) for j in range(len(_BASE))] + lm,
-                                                 names=names[:-2] + _BASE + _LM)
-            else:
-                yield pa.RecordBatch.from_arrays(old[:-2] + lm, names=names)
+        slices = len(files)
+        ways = itertools.cycle([list(range(slices)), list(range(slices - 1, -1, -1))])   # the slice that is open comes first
+        for held in _held(batches, text_at, held_bytes):
+            c, starts = _joined(held, text_at)
+            langs = [x for b in held for x in b.column(lang_at).to_pylist()]
+            of = {x: _lang_hash(x) for x in set(langs)}
+            seed = np.array([of[x] for x in langs], np.uint64)
+            nll = negative_log_p(c, starts, seed, next(ways), lambda k: _part((model, k), files[k]), slices) / UNIT
+            n = np.maximum(np.diff(starts) - (ORDER - 1), 0)
+            del c
+            at = 0
+            for b in held:
+                m = [base_metrics(t.as_py()) for t in b.column(text_at)]
+                lm = [pa.array(nll[at:at + b.num_rows]), pa.array(n[at:at + b.num_rows])]
+                at += b.num_rows
+                yield pa.RecordBatch.from_arrays(b.columns + [pa.array([x[j] for x in m], pa.int64()) for j in range(len(_BASE))] + lm,
+                                                 names=b.schema.names + _BASE + _LM)
     return score
 
 
-def perplexities(docs: DataFrame, model: DataFrame, slices: int) -> DataFrame:
-    """``docs`` (``text``, ``_lm_lang``) plus the base metrics, ``nll`` and ``n_predicted``: one pass per slice in one stage."""
-    name = uuid.uuid4().hex
-    out = docs.withColumns({"nll": F.lit(0.0), "n_predicted": F.lit(0).cast("long")})
-    for k in range(slices):
-        fields = out.schema.fields
-        if k == 0:
-            fields = fields[:-2] + [StructField(x, LongType()) for x in _BASE] + [StructField("nll", DoubleType()), StructField("n_predicted", LongType())]
-        out = map_arrow(out, _score(files_of(model, "slice", [-1, k]), name, k, slices, docs.columns.index("text"), docs.columns.index("_lm_lang"), k == 0), StructType(fields))
-    return out
+def perplexities(docs: DataFrame, model: DataFrame, slices: int, held: int = HELD) -> DataFrame:
+    """``docs`` (``text``, ``_lm_lang``) plus the base metrics, ``nll`` and ``n_predicted``, in one pass over the rows."""
+    stored = files_by(model, "slice")
+    files = [stored.get("-1", []) + stored.get(str(k), []) for k in range(slices)]
+    schema = StructType(docs.schema.fields + [StructField(x, LongType()) for x in _BASE]
+                        + [StructField("nll", DoubleType()), StructField("n_predicted", LongType())])
+    score = _score(files, uuid.uuid4().hex, docs.columns.index("text"), docs.columns.index("_lm_lang"), held)
+    return map_arrow(docs, score, schema)
 
 
 def judge_quality(docs: DataFrame, fence: float = FENCE, slice_entries: int = SLICE) -> DataFrame:

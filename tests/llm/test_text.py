@@ -239,31 +239,44 @@ def test_model_equals_the_textbook_and_slices_agree(spark):
             assert abs(nll + sum(np.log(p(s[i:i + 4], s[i + 4], 5)) for i in range(len(s) - 4))) < 1e-6, t
 
 
-def test_reused_workers_score_with_the_slice_of_their_task(spark, monkeypatch):
+def test_slices_pass_by_the_held_texts_one_at_a_time(spark, monkeypatch):
     r = random.Random(8)
-    texts = ["".join(r.choice("abcdefgh ") for _ in range(60)) for _ in range(60)]
+    texts = ["".join(r.choice("abcdefgh ") for _ in range(60)) for _ in range(60)] + ["", "abc abd " * 40]
     docs = spark.createDataFrame([("l:en", t) for t in texts], "_lm_lang string, text string")
     grams, contexts = perplexity.kneser_ney(docs.withColumnRenamed("_lm_lang", "lang"))
     one, slices = perplexity.store(grams, contexts)
     assert slices == 1
-    want = {x.text: x.nll for x in perplexity.perplexities(docs, one, 1).collect()}
+    want = {x.text: (x.nll, x.n_predicted) for x in perplexity.perplexities(docs, one, 1).collect()}
     cut, slices = perplexity.store(grams, contexts, 4000)
     assert slices >= 3
-    for x in perplexity.perplexities(docs.repartition(24), cut, slices).collect():
-        assert abs(x.nll - want[x.text]) < 1e-6, x
+    for held in (perplexity.HELD, 200):                  # sums of integers: equal to the last bit, whatever is held together
+        for x in perplexity.perplexities(docs.repartition(9), cut, slices, held).collect():
+            assert (x.nll, x.n_predicted) == want[x.text], x
 
-    passes = []                                          # the same passes, all in one process and task by task
+    passes, most = [], []                                # the same pass in this process, task by task
     monkeypatch.setattr(perplexity, "map_arrow", lambda df, fn, schema: passes.append(fn) or spark.createDataFrame([], schema))
     monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: pytest.fail("the model is broadcast"))
     monkeypatch.setattr(type(cut), "collect", lambda self: pytest.fail("the model is collected"))
-    perplexity.perplexities(docs, cut, slices)
+    opened = perplexity._rows
+    monkeypatch.setattr(perplexity, "_rows", lambda f: most.append(len(perplexity._open)) or opened(f))
+    perplexity.perplexities(docs, cut, slices, 150)
+    assert len(passes) == 1
     for at in range(0, len(texts), 5):
         part = texts[at:at + 5]
-        batches = [pa.RecordBatch.from_pydict({"_lm_lang": ["l:en"] * len(part), "text": part, "nll": [0.0] * len(part), "n_predicted": [0] * len(part)})]
-        for fn in passes:
-            batches = list(fn(iter(batches)))
-        for text, nll in zip(part, batches[0].column("nll").to_pylist()):
-            assert abs(nll - want[text]) < 1e-6, text
+        batches = [pa.RecordBatch.from_pydict({"_lm_lang": ["l:en"] * len(x), "text": x}) for x in (part[:2], part[2:]) if x]
+        for b in passes[0](iter(batches)):
+            for text, nll, n in zip(b.column("text").to_pylist(), b.column("nll").to_pylist(), b.column("n_predicted").to_pylist()):
+                assert (nll, n) == want[text], text
+    assert most and max(most) == 0                       # the slice before is let go before the next one is read
+
+
+def test_equal_texts_score_alike_and_alike_texts_stay(spark):
+    text = "the cat sat on the mat and a dog ran over to the other side of it while nobody was looking at them"
+    rows = [(i, text if i % 3 else f"{text} number {i}", "en") for i in range(40)] + [(100 + i, text, "fr") for i in range(30)]
+    out = {x.doc_id: x for x in perplexity.judge_quality(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(6),
+                                                         slice_entries=300).collect()}
+    assert len({out[i].log_perplexity for i in range(40) if i % 3}) == 1
+    assert len({out[100 + i].log_perplexity for i in range(30)}) == 1 and all(out[100 + i].kept for i in range(30))
 
 
 def test_quality_bands(spark):
