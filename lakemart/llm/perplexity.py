@@ -47,7 +47,7 @@ SLICE = 4_000_000
 #: Tukey's outer fence, three interquartile ranges, with each side's own spread: the range is twice median to quartile.
 FENCE = 6.0
 #: Characters that one task counts, and positions it scores, at once; bytes of texts it holds while the slices pass by.
-COUNTED, SCORED, HELD = 1 << 21, 1 << 18, 1 << 25
+COUNTED, SCORED, HELD = 1 << 21, 1 << 18, 1 << 24
 #: Logarithms are rounded to multiples of 1 / UNIT: 2**18 of them sum to exact doubles, and any number of them to integers.
 UNIT = 1 << 28
 MIN_WORDS, WINDOW, MAX_REPEATED = 20, 8, 30
@@ -384,13 +384,15 @@ def negative_log_p(c: np.ndarray, starts: np.ndarray, seed: np.ndarray, order: l
         where = at + np.flatnonzero(c[at + ORDER - 1:at + ORDER - 1 + SCORED] != _BOS)
         place[where] = 0 if slices == 1 else _slice_of(_hash([c[where + ORDER - 3], c[where + ORDER - 2]], seed[text_of(where)]), slices)
     for k in order:
-        mine = np.flatnonzero(place == k)
-        part = open_slice(k) if len(mine) else None
-        for at in range(0, len(mine), SCORED):                       # a text of any length in bounded memory
-            where = mine[at:at + SCORED]
-            text = text_of(where)
-            bits = np.rint(-log_p(part, c, seed[text], where) * UNIT)
-            units[text[0]:text[-1] + 1] += np.bincount(text - text[0], bits).astype(np.int64)
+        part = None
+        for block in range(0, len(place), COUNTED):                  # positions as 64-bit numbers for one block at a time
+            mine = block + np.flatnonzero(place[block:block + COUNTED] == k)
+            for at in range(0, len(mine), SCORED):
+                part = part or open_slice(k)
+                where = mine[at:at + SCORED]
+                text = text_of(where)
+                bits = np.rint(-log_p(part, c, seed[text], where) * UNIT)
+                units[text[0]:text[-1] + 1] += np.bincount(text - text[0], bits).astype(np.int64)
     return units
 
 
