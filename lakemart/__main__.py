@@ -2,11 +2,12 @@
 
   bronze     raw CSV releases → period-partitioned Parquet bronze
   lakehouse  bronze → staging view → mart tables → expectations → gate
-  reports    the four ad-hoc reports over a bronze dataset, as CSV
+  reports    the four ad-hoc reports over a bronze dataset or a table of the catalog, as CSV
 
 Raw inputs are given per period: ``--single 2023=<file or folder>`` for a
 unified release, ``--split 2024=<participants>,<results>`` for two keyless
-files aligned by position.
+files aligned by position.  ``bronze --keep-going`` publishes period by period: a period that fails is
+reported with its error, the others are published, and the command ends with status 1.
 """
 
 from __future__ import annotations
@@ -36,11 +37,15 @@ def main(argv=None) -> int:
         p.add_argument("--encoding", default="ISO-8859-1")
         p.add_argument("--bronze", required=True, help="bronze dataset path")
         p.add_argument("--dynamic", action="store_true", help="replace only the periods given")
+        if name == "bronze":
+            p.add_argument("--keep-going", action="store_true", help="period by period; report those that fail")
         if name == "lakehouse":
             p.add_argument("--marts", required=True, help="folder for the mart tables")
             p.add_argument("--database", default="default")
     r = sub.add_parser("reports")
-    r.add_argument("--bronze", required=True)
+    source = r.add_mutually_exclusive_group(required=True)
+    source.add_argument("--bronze", help="bronze dataset path")
+    source.add_argument("--table", help="registered bronze table, DATABASE.TABLE")
     r.add_argument("--out", required=True)
     r.add_argument("--period", default="2024")
     ap.add_argument("--master", default=None)
@@ -48,8 +53,11 @@ def main(argv=None) -> int:
 
     spark = build_session(args.master)
     if args.command == "bronze":
-        from lakemart.plans.exam.bronze import build_bronze
-        info = build_bronze(spark, _inputs(args), args.bronze, dynamic=args.dynamic)
+        from lakemart.plans.exam.bronze import build_bronze, build_periods
+        if args.keep_going:
+            info = build_periods(spark, _inputs(args), args.bronze)
+        else:
+            info = build_bronze(spark, _inputs(args), args.bronze, dynamic=args.dynamic)
     elif args.command == "lakehouse":
         from lakemart.plans.lakehouse import LakehouseConfig, run_lakehouse
         info = run_lakehouse(spark, LakehouseConfig(inputs=_inputs(args), bronze_path=args.bronze,
@@ -59,7 +67,7 @@ def main(argv=None) -> int:
         from lakemart.plans.exam import adhoc
         from lakemart.plans.exam.bronze import read_bronze
         from lakemart.sources.files import write_csv
-        bronze = read_bronze(spark, args.bronze)
+        bronze = spark.table(args.table) if args.table else read_bronze(spark, args.bronze)
         reports = {"income_by_sex": adhoc.income_by_sex(bronze, args.period),
                    "race_by_year": adhoc.race_by_year(bronze),
                    "mother_schooling": adhoc.mother_schooling(bronze, args.period),
@@ -68,7 +76,7 @@ def main(argv=None) -> int:
             write_csv(df, f"{args.out.rstrip('/')}/{name}")
         info = {"reports": list(reports)}
     print(json.dumps(info, default=str))
-    return 0
+    return 1 if info.get("failures") else 0
 
 
 if __name__ == "__main__":

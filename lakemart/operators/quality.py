@@ -127,22 +127,27 @@ def _balance(rows: DataFrame, part: Column, whole: Column) -> DataFrame:
 
 
 def ingest_summary(inventory: DataFrame, expected: Sequence, period_col: str = "period",
-                   with_total: bool = True) -> DataFrame:
+                   with_total: bool = True, failures: Mapping | None = None) -> DataFrame:
     """Per expected period: files, bytes and status present/missing.
 
     ``inventory`` is the output of ``raw_inventory`` (period, path, name,
     length).  With ``with_total`` a last row (period ``total``) sums files and
-    bytes and reports ``<present>/<expected> present``.
+    bytes and reports ``<present>/<expected> present``.  With ``failures`` (period -> error of its
+    processing, empty if all went well) such a period has status failed, whatever files it has, and a column ``error``
+    holds the text.
     """
     spark: SparkSession = inventory.sparkSession
-    want = spark.createDataFrame([(str(v),) for v in expected], StructType([StructField(period_col, StringType())]))
+    errors = {str(k): str(v) for k, v in (failures or {}).items()}
+    want = spark.createDataFrame([(str(v), errors.get(str(v))) for v in expected],
+                                 StructType([StructField(period_col, StringType()), StructField("error", StringType())]))
     per = (inventory.groupBy(period_col)
            .agg(F.count(F.lit(1)).alias("files"), F.sum("length").cast(LongType()).alias("bytes")))
     out = want.join(per, period_col, "left").select(
         period_col,
         F.coalesce("files", F.lit(0)).cast(LongType()).alias("files"),
         F.coalesce("bytes", F.lit(0)).cast(LongType()).alias("bytes"),
-        F.when(F.col("files") > 0, F.lit("present")).otherwise(F.lit("missing")).alias("status"))
+        F.when(F.col("error").isNotNull(), F.lit("failed")).when(F.col("files") > 0, F.lit("present"))
+        .otherwise(F.lit("missing")).alias("status"), *(["error"] if failures is not None else []))
     if not with_total:
         return out
     total = out.agg(
@@ -151,4 +156,4 @@ def ingest_summary(inventory: DataFrame, expected: Sequence, period_col: str = "
         F.sum("bytes").cast(LongType()).alias("bytes"),
         F.format_string("%d/%d present", F.sum(F.when(F.col("status") == "present", 1).otherwise(0)),
                         F.count(F.lit(1))).alias("status"))
-    return out.unionByName(total)
+    return out.unionByName(total, allowMissingColumns=True)

@@ -8,7 +8,7 @@ becomes visible before the audit passed (:mod:`lakemart.sources.publish`).
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
@@ -143,6 +143,26 @@ def build_bronze(spark: SparkSession, inputs: BronzeInputs, path: str, dynamic:
     return info
 
 
+def build_periods(spark: SparkSession, inputs: BronzeInputs, path: str, max_records_per_file: int | None = None, audit=audit_bronze) -> dict:
+    """Like :func:`build_bronze`, but every period is written, audited and published by itself: one that fails (unreadable files, parts of
+    unequal length, a failed audit) leaves its partition as it was and does not keep the others from being published.
+
+    Returns ``periods`` (one ``{period, status, rows, error}`` each, ``status`` is ``published`` or ``failed``), ``rows`` and
+    ``failures`` (period -> error, as :func:`~lakemart.operators.quality.ingest_summary` takes it).
+    """
+    done = []
+    for period in sorted(set(inputs.single) | set(inputs.split)):
+        only = replace(inputs, single={p: v for p, v in inputs.single.items() if p == period},
+                       split={p: v for p, v in inputs.split.items() if p == period and p not in inputs.single})
+        try:
+            rows = build_bronze(spark, only, path, True, max_records_per_file, audit)["rows"]
+            done.append({"period": period, "status": "published", "rows": rows, "error": None})
+        except Exception as e:                          # reported by period; an interrupt still ends the run
+            done.append({"period": period, "status": "failed", "rows": 0, "error": f"{type(e).__name__}: {e}".split("\n", 1)[0]})
+    return {"path": path, "rows": sum(d["rows"] for d in done), "periods": done,
+            "failures": {d["period"]: d["error"] for d in done if d["status"] == "failed"}}
+
+
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
     """Bronze as written, ``ano`` pinned to string by the declared schema."""
     return spark.read.schema(BRONZE_SCHEMA).parquet(path)
