@@ -18,7 +18,8 @@ sequence              the compressed symbols (uint16 if all fit, else uint32)
 
 Re-Pair per shard: the pairs of neighbouring symbols are counted exactly; all pairs whose count
 is within :data:`BAND` of the most frequent one (and at least :data:`MIN_COUNT`) become
-nonterminals and are replaced, and so on with new counts until no pair is frequent; symbols become 32 bits wide when 16 bits have no
+nonterminals and are replaced, and so on with new counts until no pair is frequent (counting only places whose pair may
+have become the next to be replaced); symbols become 32 bits wide when 16 bits have no
 room for a rule.  Overlapping occurrences are resolved from the left.  Pairs never cross a document.  So every document is a symbol range
 of its own and the expansion lengths give the place of any token without decoding what is before
 (:func:`decode_range`).
@@ -50,8 +51,8 @@ SHARD_TOKENS = 1 << 20
 BAND = 8
 #: A rule takes 12 bytes and saves 2 at each place, so a pair seen 6 times or less gains nothing.
 MIN_COUNT = 8
-#: Words a worker keeps encoded before it starts anew.
-CACHE_WORDS = 1_000_000
+#: Words and pieces of words a worker keeps encoded before it starts anew.
+CACHE_WORDS = 2_000_000
 #: Signs that end a word often and are one piece together (no apostrophe, which may begin a contraction).
 _TAIL = b"!\"#$%&()*+,-./:;=>?@[\\]^_`{}~"
 #: Words, contractions, digits, signs, accents and white space in all their neighbourhoods.
@@ -68,7 +69,8 @@ class WordEncoder(dict):
 
     Valid for tokenizers whose pre-tokenizer drops white space and never joins across it: those with the steps named in
     ``by_word`` for which :meth:`check` finds both ways equal; otherwise whole texts are encoded.  Words of plain Latin letters skip the
-    normaliser: they are lower-cased and cut by the tokenizer's own pattern, and its model encodes the pieces.
+    normaliser: they are lower-cased and cut by the tokenizer's own pattern, and its model encodes the pieces.  Pieces are kept among
+    the words: the pattern cuts a piece that stands alone as itself.
     """
 
     _PLAIN = re.compile("[!-~¡-¬®-įĲ-ňŊ-ž]+")
@@ -90,8 +92,8 @@ class WordEncoder(dict):
         self.specials = tuple(t["content"] for t in spec.get("added_tokens", []))
         if self.by_word:
             self.cut = regex.compile(cuts[0]["pattern"]["Regex"])
-        self.pieces: dict[bytes, bytes] = {}
         self.as_bytes = _byte_letters()
+        self.cut_piece = self.tokenizer.model.tokenize
         self.by_word = self.by_word and self.check()
 
     def check(self) -> bool:
@@ -102,43 +104,46 @@ class WordEncoder(dict):
 
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= CACHE_WORDS:
-            self.clear()                               # the pieces stay: a word met again is put together from them
+            self.clear()
         head = word.rstrip(_TAIL)
         low = head.lower()
         if not low.isalpha():                          # bytes: ASCII letters only
             text = head.decode()
             low = text.lower().encode() if text.isalpha() and self._PLAIN.fullmatch(text) else None
         if low is not None:                            # letters, then signs: two pieces of the pattern at most
-            tail = word[len(head):]
-            ids = self.pieces.get(low) or self._piece(low)
-            if tail:
-                ids += self.pieces.get(tail) or self._piece(tail)
+            if low == word:
+                return self._piece(word)
+            ids = self.get(low) or self._piece(low)
+            if len(head) < len(word):
+                tail = word[len(head):]
+                ids += self.get(tail) or self._piece(tail)
         else:
             text = word.decode()
             if self._PLAIN.fullmatch(text) and not any(s in text for s in self.specials):
-                ids = b"".join([self.pieces.get(p) or self._piece(p) for p in map(str.encode, self.cut.findall(text.lower()))])
+                ids = b"".join([self.get(p) or self._piece(p) for p in map(str.encode, self.cut.findall(text.lower()))])
             else:
                 ids = self.whole(text)
         self[word] = ids
         return ids
 
     def _piece(self, piece: bytes) -> bytes:
-        if len(self.pieces) >= CACHE_WORDS:
-            self.pieces.clear()
         letters = piece.decode() if piece.isascii() else "".join([self.as_bytes[b] for b in piece])
-        ids = array("I", [t.id for t in self.tokenizer.model.tokenize(letters)])
+        ids = array("I", [t.id for t in self.cut_piece(letters)])
         if sys.byteorder == "big":
             ids.byteswap()
-        self.pieces[piece] = ids = ids.tobytes()
+        self[piece] = ids = ids.tobytes()
         return ids
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def encode(self, text: str | None) -> bytes:
+    def encode(self, text: str | bytes | None) -> bytes:
+        """Of a text or its UTF-8 bytes."""
         if not text:
             return b""
-        return b"".join(map(self.__getitem__, text.encode().split())) if self.by_word else self.whole(text)
+        if not self.by_word:
+            return self.whole(text if isinstance(text, str) else text.decode())
+        return b"".join(map(self.__getitem__, (text.encode() if isinstance(text, str) else text).split()))
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -166,69 +171,79 @@ def compress(tokens: np.ndarray, lengths: np.ndarray) -> bytes:
     base = int(tokens.max(initial=0)) + 1
     room = (1 << 31) - base                                          # nonterminals that 32-bit symbols have room for
     seq = tokens.astype(np.uint32)
-    last = np.zeros(len(seq), bool)                                  # last symbol of its document
-    last[np.cumsum(lengths) - 1] = True
+    # of the pair that begins at a place: its count's bits when last counted, _NEW if not counted yet, 0 if a document ends there.
+    # Symbols that a round leaves are paired as often as before or less, so the places of a rarer pair are counted again only
+    # when the bound has come down to it, or when a replacement beside them makes it another pair
+    level = np.full(len(seq), _NEW, np.uint8)
+    level[np.cumsum(lengths) - 1] = 0
     rules: list[np.ndarray] = []
-    n_rules = 0
-    while len(seq) > 1 and n_rules < room:
-        small = base + n_rules <= 1 << 16                            # all symbols so far have 16 bits: a pair has 32
-        pairs = (seq[:-1] << np.uint32(16) | seq[1:]) if small else seq[:-1].astype(np.uint64) << np.uint64(32) | seq[1:]
-        inner = ~last[:-1]
-        codes, counts = _count(pairs[inner])
-        if not len(codes) or (top := counts.max()) < MIN_COUNT:
+    size = np.ones(base, np.uint32)                                  # tokens that each symbol stands for
+    n_rules, cut = 0, MIN_COUNT.bit_length()
+    while n_rules < room:
+        while True:
+            codes, counts, places = _count(seq, np.flatnonzero(level >= cut), base + n_rules <= 1 << 16)
+            bound = max(MIN_COUNT, -(-int(counts.max(initial=0)) // BAND))
+            if bound.bit_length() >= cut:                            # pairs not counted are below it
+                break
+            cut = bound.bit_length()
+        frequent = np.flatnonzero(counts >= bound)
+        if not len(frequent):
             break
-        frequent = np.flatnonzero(counts >= max(MIN_COUNT, -(-top // BAND)))
         if len(frequent) > room - n_rules:
-            frequent = frequent[np.argsort(-counts[frequent], kind="stable")[:room - n_rules]]
-        chosen = np.sort(codes[frequent])
-        # positions of chosen pairs: a small table of hashes first, then the exact search on what it lets through
-        marked = np.zeros(1 << _MARKS, bool)
-        marked[_mark(chosen)] = True
-        where = np.flatnonzero(marked[_mark(pairs)] & inner)
-        rule = np.minimum(np.searchsorted(chosen, pairs[where]), len(chosen) - 1)
-        exact = chosen[rule] == pairs[where]
-        where, rule = where[exact], rule[exact]
+            frequent = np.sort(frequent[np.argsort(-counts[frequent], kind="stable")[:room - n_rules]])
+        level[places] = np.repeat(np.frexp(counts)[1].astype(np.uint8), counts)
+        symbol = np.zeros(len(codes), np.uint64)                     # that a pair becomes; 0: none
+        symbol[frequent] = base + n_rules + np.arange(len(frequent))
+        symbol = np.repeat(symbol, counts)
+        hit = np.flatnonzero(symbol)
+        hit = np.sort(places[hit].view(np.uint64) << _HALF | symbol[hit])
+        where = (hit >> _HALF).view(np.int64)
         # of overlapping occurrences (a run of neighbouring hits) every second one is taken, from the left
         run_start = np.maximum.accumulate(np.where(np.diff(where, prepend=-2) > 1, where, 0))
-        even = (where - run_start) % 2 == 0
-        where, rule = where[even], rule[even]
-        seq[where] = base + n_rules + rule.astype(np.uint32)
-        last[where] |= last[where + 1]
+        even = (where - run_start) & 1 == 0
+        where = where[even]
+        seq[where] = hit[even].astype(np.uint32)                     # the lower half
+        level[where] = np.where(level[where + 1], _NEW, 0)
+        level[where - 1] = np.where(level[where - 1], _NEW, 0)       # before place 0 comes the end, where a document ends
         stays = np.ones(len(seq), bool)
         stays[where + 1] = False
-        seq, last = seq[stays], last[stays]
-        bits = 16 if small else 32
-        rules.append(np.stack([chosen >> bits, chosen & ((1 << bits) - 1)], axis=1).astype(np.uint32))
+        seq, level = seq[stays], level[stays]
+        chosen = codes[frequent]
+        rules.append(np.stack([chosen >> _HALF, chosen & _LOW], axis=1).astype(np.uint32))
+        size = np.concatenate([size, size[rules[-1]].sum(axis=1, dtype=np.uint32)])
         n_rules += len(chosen)
+        cut = max(MIN_COUNT.bit_length(), bound.bit_length() - 1)
     table = np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)
     width = 2 if base + n_rules <= 1 << 16 else 4
-    symbols = np.diff(np.flatnonzero(last), prepend=-1).astype("<u4")
+    symbols = np.diff(np.flatnonzero(level == 0), prepend=-1).astype("<u4")
     return b"".join([_HEAD.pack(_MAGIC, len(lengths), base, n_rules, width), symbols.tobytes(), lengths.astype("<u4").tobytes(),
-                     table.astype("<u4").tobytes(), _expansions(base, table).astype("<u4").tobytes(), seq.astype(f"<u{width}").tobytes()])
-
-
-_MARKS = 20
-
-
-def _mark(pairs: np.ndarray) -> np.ndarray:
-    """A hash of pair codes to ``_MARKS`` bits."""
-    if pairs.dtype == np.uint32:
-        return (pairs * np.uint32(0x9E3779B1)) >> np.uint32(32 - _MARKS)
-    return (pairs * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _MARKS)
-
-
-def _count(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    s = np.sort(pairs)
-    first = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]])) if len(s) else np.zeros(0, int)
-    return s[first], np.diff(first, append=len(s))
-
-
-def _expansions(base: int, rules: np.ndarray) -> np.ndarray:
-    """Tokens that each rule stands for; a rule refers to earlier rounds only."""
-    size = np.ones(base + len(rules), np.uint32) if len(rules) else np.ones(base, np.uint32)
-    for r, (a, b) in enumerate(rules.tolist()):
-        size[base + r] = size[a] + size[b]
-    return size[base:]
+                     table.astype("<u4").tobytes(), size[base:].astype("<u4").tobytes(), seq.astype(f"<u{width}").tobytes()])
+
+
+_NEW = 255
+_HALF, _LOW = np.uint64(32), np.uint64(0xFFFFFFFF)
+
+
+def _count(seq: np.ndarray, at: np.ndarray, small: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The pairs that begin at the places ``at``: their codes (left symbol, then 32 bits of the right one) in ascending order, their counts,
+    and the places, pair by pair."""
+    if not len(at):
+        return np.zeros(0, np.uint64), np.zeros(0, int), at
+    if small and len(seq) <= 1 << 32:                                # all symbols have 16 bits: pair and place are sorted as one number
+        s = (seq[at] << np.uint32(16) | seq[1:][at]).astype(np.uint64)
+        s <<= _HALF
+        s |= at.view(np.uint64)
+        s.sort()
+        first = np.concatenate([[0], np.flatnonzero((s[1:] ^ s[:-1]) > _LOW) + 1])
+        codes, places = s[first] >> _HALF, (s & _LOW).view(np.int64)
+        codes = codes >> np.uint64(16) << _HALF | codes & np.uint64(0xFFFF)
+    else:
+        pairs = seq[at].astype(np.uint64) << _HALF | seq[1:][at]
+        order = np.argsort(pairs)
+        places, s = at[order], pairs[order]
+        first = np.concatenate([[0], np.flatnonzero(s[1:] != s[:-1]) + 1])
+        codes = s[first]
+    return codes, np.diff(first, append=len(at)), places
 
 
 class Shard:
@@ -253,20 +268,15 @@ class Shard:
 
     def _pool(self) -> tuple[np.ndarray, np.ndarray]:
         """All rule expansions one after the other, and where each begins."""
-        begin = np.concatenate([[0], np.cumsum(self.sizes, dtype=np.int64)])
-        pool = np.zeros(begin[-1], np.uint32)
-        for r, (a, b) in enumerate(self.rules.tolist()):
-            at = int(begin[r])
-            for s in (a, b):
-                if s < self.base:
-                    pool[at] = s
-                    at += 1
-                else:
-                    i = int(begin[s - self.base])
-                    n = int(self.sizes[s - self.base])
-                    pool[at:at + n] = pool[i:i + n]
-                    at += n
-        return pool, begin
+        pool = np.arange(self.base, self.base + len(self.rules), dtype=np.int64)
+        while len(at := np.flatnonzero(pool >= self.base)):          # each nonterminal gives way to its two symbols
+            pair = self.rules[pool[at] - self.base]
+            twice = np.ones(len(pool), np.int64)
+            twice[at] = 2
+            pool = np.repeat(pool, twice)
+            at += np.arange(len(at))
+            pool[at], pool[at + 1] = pair[:, 0], pair[:, 1]
+        return pool.astype(np.uint32), np.concatenate([[0], np.cumsum(self.sizes, dtype=np.int64)])
 
     def _size_of(self, symbols: np.ndarray) -> np.ndarray:
         out = np.ones(len(symbols), np.int64)
@@ -276,18 +286,16 @@ class Shard:
 
     def tokens(self) -> np.ndarray:
         """The tokens of the whole shard."""
-        pool, begin = self._pool()
-        seq = self.sequence.astype(np.int64)
-        pool = np.concatenate([pool, np.zeros(0, np.uint32)])
-        size = self._size_of(seq)
-        out_at = np.cumsum(size) - size
-        plain = seq < self.base
-        out = np.empty(int(size.sum()), np.uint32)
-        out[out_at[plain]] = seq[plain]
-        sym, size, out_at = seq[~plain] - self.base, size[~plain], out_at[~plain]
-        step = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
-        out[np.repeat(out_at, size) + step] = pool[np.repeat(begin[sym], size) + step]
-        return out
+        if not len(self.rules):
+            return self.sequence.astype(np.uint32)
+        pool, begin = self._pool()                                    # after all plain symbols, which stand for themselves
+        pool = np.concatenate([np.arange(self.base, dtype=np.uint32), pool])
+        begin = np.concatenate([np.arange(self.base), self.base + begin[:-1]])
+        size = np.concatenate([np.ones(self.base, np.int64), self.sizes])[self.sequence]
+        at = np.cumsum(size)
+        n = int(at[-1])
+        shift = begin[self.sequence] - (at - size)                    # from a token's place to its place in the pool
+        return pool[np.repeat(shift, size) + np.arange(n)]
 
     def decode_range(self, doc: int, lo: int, hi: int) -> list[int]:
         """Tokens ``lo`` to ``hi`` of a document, expanding only the symbols that cover them."""
@@ -344,7 +352,7 @@ def _write(tokenizer: str, end_id: int, shard_tokens: int):
 
         for b in batches:
             kind = b.column(0).type
-            for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            for i, text in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist()):
                 ids.append(i)
                 coded.append(encoder.encode(text) + end)
                 size += len(coded[-1]) // 4

@@ -1,4 +1,5 @@
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -54,6 +55,53 @@ def test_grammar_goes_on_until_no_pair_is_frequent(phrases):
     assert np.unique((s[:-1] << 32 | s[1:])[inner[:-1]], return_counts=True)[1].max(initial=0) < 16
 
 
+def _plain_rules(docs, band, least):
+    """The rules of :func:`repair.compress` with every pair of every round counted."""
+    top_id, rules = max(map(max, docs)) + 1, []
+    counted = 0
+    while True:
+        seen = Counter(p for d in docs for p in zip(d, d[1:]))
+        counted += sum(seen.values())
+        top = max(seen.values(), default=0)
+        chosen = sorted(p for p, c in seen.items() if c >= max(least, -(-top // band)))
+        if not chosen:
+            return rules, docs, counted
+        new = {p: top_id + len(rules) + i for i, p in enumerate(chosen)}
+        rules += chosen
+        for k, d in enumerate(docs):
+            out, i = [], 0
+            while i < len(d):
+                hit = new.get(tuple(d[i:i + 2]))
+                out.append(d[i] if hit is None else hit)
+                i += 1 if hit is None else 2
+            docs[k] = out
+
+
+@pytest.mark.parametrize("alphabet", [5, 3_000, 64_900, 150_000])
+def test_grammar_is_that_of_full_counts_with_fewer_places_counted(monkeypatch, alphabet):
+    g = np.random.default_rng(alphabet)
+    docs = [np.minimum(g.zipf(1.3, n) - 1, alphabet - 1).tolist() for n in g.integers(1, 900, 90)]
+    docs += [[1] * 301, [2, 2], [alphabet - 1], [1, 2] * 80]
+    tokens, lengths = np.array(sum(docs, []), np.uint32), np.array(list(map(len, docs)), np.uint32)
+    places, count = [], repair._count
+    monkeypatch.setattr(repair, "_count", lambda seq, at, *x: places.append(len(at)) or count(seq, at, *x))
+    shard = repair.Shard(repair.compress(tokens, lengths))
+    rules, left, counted = _plain_rules(docs, repair.BAND, repair.MIN_COUNT)
+    assert list(map(tuple, shard.rules.tolist())) == rules and shard.sequence.tolist() == sum(left, [])
+    assert shard.symbols.tolist() == list(map(len, left)) and (shard.tokens() == tokens).all()
+    assert sum(places) < counted * (0.75 if alphabet > 5 else 1)          # with five symbols most pairs stay frequent
+
+
+def test_a_word_that_is_its_own_piece_is_kept_once_and_the_cache_stays_small(monkeypatch):
+    monkeypatch.setattr(repair, "CACHE_WORDS", 50)
+    e = repair.WordEncoder(tokenizer_path())
+    e.encode("zebra Zebra ZEBRA, zebra!!")
+    assert set(e) == {b"zebra", b"Zebra", b"ZEBRA,", b"zebra!!", b",", b"!!"}
+    for t in [*ODD, *(f"x{i}y 漢{i} w{i}," for i in range(300))]:
+        assert np.frombuffer(e.encode(t.encode()), "<u4").tolist() == e.tokenizer.encode(t, add_special_tokens=False).ids, t
+        assert len(e) < 80
+
+
 def test_token_files(spark, encoder):
     docs = documents(spark)
     shards = repair.write_shards(docs, tokenizer_path(), shard_tokens=500)
