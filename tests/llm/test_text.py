@@ -172,6 +172,34 @@ def test_repeats_with_another_length(spark):
         assert sum(s.end - s.start for s in x.removed) == want[x.doc_id, x.text][0], x.doc_id
 
 
+def test_repeats_rank_a_share_of_the_texts_at_a_time(spark, monkeypatch):
+    """Short phrases that documents share agree on 20 bytes and not on 50: no sort may hold a row for each position or each window."""
+    r = random.Random(12)
+    make = lambda n: "".join(r.choice("abcdefghijklmnop ") for _ in range(n))
+    phrases, passages = [make(30) for _ in range(40)], [make(70) for _ in range(5)]
+    rows = [(i, "".join(r.choice(phrases) + make(r.randint(20, 40)) for _ in range(20)) + (r.choice(passages) + make(9) if i % 3 == 0 else "")) for i in range(300)]
+    size, sorted_at_once, passes = sum(len(t) for _, t in rows), [], []
+    real, written = suffixes.map_arrow, suffixes.materialize
+
+    def counted(df, fn, schema):
+        out = real(df, fn, schema)
+        if schema == suffixes._RANKED:
+            sorted_at_once.append(out.count())
+        return out
+
+    monkeypatch.setattr(suffixes, "map_arrow", counted)
+    monkeypatch.setattr(suffixes, "materialize", lambda df, name: passes.append(name) or written(df, name))
+    monkeypatch.setattr(suffixes, "SPARSE", 1000, raising=False)
+    monkeypatch.setattr(suffixes, "FEW", 1, raising=False)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = suffixes.remove_repeats(docs).collect()
+    want = brute_cut(rows, 50)
+    assert {x.doc_id: sum(s.end - s.start for s in x.removed) for x in got} == {i: want[i, t][0] for i, t in rows}
+    assert sum(n for n, _ in want.values()) > 1000
+    assert max(sorted_at_once) < size / 24, (size, sorted_at_once)              # one position in 16 is chosen
+    assert sum(name.startswith("repeat-windows") for name in passes) > 2, passes
+    assert all(x < size / 500 for x in sorted_at_once[suffixes.SLICES:]), (size, sorted_at_once)
+
 # -- perplexity -----------------------------------------------------------------------------------
 
 def test_base_metrics():
