@@ -45,6 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
+from lakemart import session
 from lakemart.llm.common import map_arrow, materialize, own_names, shuffle_cleanup
 
 LENGTH = 50
@@ -424,11 +425,12 @@ def repeat_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Dat
         first = reduce(DataFrame.union, found)
         if not first.where(F.octet_length("probes") > 0).isEmpty():
             asked = docs.join(_gathered(first, "probes"), ["id", "th"]).select("id", "th", "text", "probes")
-            pieces = materialize(map_arrow(asked, _pieces(length), _PIECES), "repeat-pieces")
-            windows = pieces.agg(F.sum(F.octet_length("piece") - (length - 1))).first()[0]
-            parts = 1 if windows <= FEW else -(-windows // max(docs.agg(F.sum(F.octet_length("text"))).first()[0] // SPARSE, FEW))
-            found += [_pass(map_arrow(pieces, _rank_windows(length, i, parts), _RANKED), _decide(length), f"repeat-windows-{i}")
-                      for i in range(parts)]
+            with session.Scratch(docs.sparkSession) as passes:       # the pieces go after the last pass
+                pieces = session.materialize(map_arrow(asked, _pieces(length), _PIECES), "repeat-pieces", passes)
+                windows = pieces.agg(F.sum(F.octet_length("piece") - (length - 1))).first()[0]
+                parts = 1 if windows <= FEW else -(-windows // max(docs.agg(F.sum(F.octet_length("text"))).first()[0] // SPARSE, FEW))
+                found += [_pass(map_arrow(pieces, _rank_windows(length, i, parts), _RANKED), _decide(length), f"repeat-windows-{i}")
+                          for i in range(parts)]
     return _gathered(reduce(DataFrame.union, found), "spans")
 
 
